@@ -19,10 +19,8 @@ SIMILARITY = 0.8
 BANDS, BAND_ROWS = 30, 5
 #: Pairs whose signatures agree less than the similarity by this much are not verified: about five standard errors.
 SLACK = 0.16
-#: Rounds of merging before all pairs that remain are generated.
-MERGE_ROUNDS = 3
-#: Members of a bucket that one task compares with as many others.
-BLOCK = 400
+#: Texts that one task compares with as many others.
+BLOCK = 200
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -132,29 +130,23 @@ def agreement(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series((x == y).mean(axis=1))
 
 
-def verified(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The pairs (a, b) whose multisets of shingles overlap enough."""
+def verified(pairs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The pairs (a, b) of (a, b, text_a, text_b) whose multisets of shingles overlap enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache: OrderedDict[int, tuple] = OrderedDict()
-
-        def bag(key: int, text: str) -> tuple:
-            if key not in cache:
-                if len(cache) >= 64:
-                    cache.popitem(last=False)
-                cache[key] = shingles(text)
-            cache.move_to_end(key)
-            return cache[key]
-
+        centres: OrderedDict[int, tuple] = OrderedDict()
         for batch in batches:
-            a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
-            ta, tb = batch.column("text_a"), batch.column("text_b")
-            good = [k for k in range(len(a)) if overlap(bag(a[k], ta[k].as_py()), bag(b[k], tb[k].as_py())) >= similarity]
+            good = []
+            for k, (key, text_a, text_b) in enumerate(zip(batch.column("a").to_pylist(), batch.column("text_a"), batch.column("text_b"), strict=True)):
+                if key not in centres:
+                    if len(centres) >= 64:
+                        centres.popitem(last=False)
+                    centres[key] = shingles(text_a.as_py())
+                if overlap(centres[key], shingles(text_b.as_py())) >= similarity:
+                    good.append(k)
             yield batch.take(pa.array(good, pa.int64())).select(["a", "b"])
 
-    half = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-    both = half.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-    return stored(both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long"), "near-links")
+    return stored(pairs.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long"), "near-links")
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -163,9 +155,9 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     Two texts are linked if the weighted Jaccard similarity of their multisets of five-word shingles is at least similarity;
     a text of fewer words has one shingle. class_id is the least doc_id with the same words, component_id the least
     doc_id that links reach; kept is true for that document. Texts with equal words are compared once, so groups of copies cost
-    no pairs. Buckets of equal bands are not expanded to all pairs: the most central member (that with the most
-    bucket mates) is compared with the best candidate of each other component, a few times over; then what is still apart in a
-    bucket is compared in blocks, by signature first.
+    no pairs. Buckets of equal bands are not expanded to pairs. Each bucket's most central member (that with the most
+    bucket mates) is its centre; every text is verified against the centre whose signature agrees best with its own. Components
+    that are still apart, though members share a bucket, are compared in blocks, by signature and then by shingles.
     Null, empty and blank texts have no words: they link with nothing and are kept. A null doc_id counts only if no other
     is in its component; then component_id is null and the row with the least hash is kept. Rows equal in id and text
     share row_hash and kept. An empty table gives an empty one; other columns are ignored.
@@ -181,33 +173,27 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     mates = stored(exploded.join(crowded, "bucket"), "near-mates")
     central = mates.groupBy("node").agg(F.sum("n").alias("mates"))
     central = stored(central.join(members, "node").select("node", "row_hash", "mates", "sig"), "near-central")
-    texts = docs.select(F.xxhash64("doc_id", "text").alias("row_hash"), "text").join(central.select("node", "row_hash"), "row_hash").select("node", "text").dropDuplicates(["node"])
-    texts = stored(texts, "near-texts")
-
-    spark = docs.sparkSession
-    links = spark.createDataFrame([], "a long, b long")
-    comps = central.select("node", F.col("node").alias("component"))
     least = similarity - SLACK
-    for turn in range(MERGE_ROUNDS):
-        now = mates.join(comps, "node").join(central.select("node", "mates"), "node")
-        top = now.groupBy("bucket").agg(F.max(F.struct("mates", "node", "component")).alias("top"), F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1")
-        pairs = now.join(top.select("bucket", F.col("top.node").alias("a"), F.col("top.component").alias("component_a")), "bucket").where("component <> component_a")
-        pairs = pairs.select("a", F.col("node").alias("b"), "component").distinct()
-        sig = central.select("node", "sig")
-        pairs = pairs.join(sig.withColumnsRenamed({"node": "b", "sig": "sig_b"}), "b").join(sig.withColumnsRenamed({"node": "a", "sig": "sig_a"}), "a")
-        pairs = pairs.withColumn("agree", agreement("sig_a", "sig_b")).where(F.col("agree") >= least)
-        if turn == 0:  # each member with its best centre
-            pairs = pairs.groupBy("b").agg(F.max(F.struct("agree", "a")).alias("best")).select("best.a", "b")
-        else:  # each component with its best member
-            pairs = pairs.groupBy("a", "component").agg(F.max(F.struct("agree", "b")).alias("best")).select("a", "best.b")
-        new = verified(pairs, texts, similarity)
-        if not new.take(1):
-            break
-        links = links.unionByName(new)
-        comps = _labelled(central, links)
-    new = verified(_apart(mates, comps, central, least), texts, similarity)
-    if new.take(1):
-        comps = _labelled(central, links.unionByName(new))
+
+    now = mates.join(central.select("node", "mates"), "node")
+    top = now.groupBy("bucket").agg(F.max(F.struct("mates", "node")).alias("top")).select("bucket", F.col("top.node").alias("a"))
+    pairs = mates.join(top, "bucket").where("a <> node").select("a", F.col("node").alias("b")).distinct()
+    sig = central.select("node", "sig")
+    pairs = pairs.join(sig.withColumnsRenamed({"node": "b", "sig": "sig_b"}), "b").join(sig.withColumnsRenamed({"node": "a", "sig": "sig_a"}), "a")
+    pairs = pairs.withColumn("agree", agreement("sig_a", "sig_b")).where(F.col("agree") >= least)
+    pairs = stored(pairs.groupBy("b").agg(F.max(F.struct("agree", "a")).alias("best")).select("b", "best.a"), "near-pairs")
+
+    # texts of members, each with the centre to compare it with, and whether it is one
+    centres = pairs.select(F.col("a").alias("node")).distinct().withColumn("centre", F.lit(True))
+    wanted = central.select("node", "row_hash").join(pairs.withColumnRenamed("b", "node"), "node", "left").join(centres, "node", "left")
+    texts = docs.select(F.xxhash64("doc_id", "text").alias("row_hash"), "text").join(wanted, "row_hash").select("node", "a", "centre", "text")
+    texts = stored(texts.dropDuplicates(["node"]), "near-texts")
+    sides = texts.where("a is not null").select("a", F.col("node").alias("b"), F.col("text").alias("text_b"))
+    links = verified(sides.join(texts.where("centre").select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a"), similarity)
+    comps = _labelled(central, links)
+    more = stored(_apart(mates, comps, central, texts, similarity), "near-more")
+    if more.take(1):
+        comps = _labelled(central, links.unionByName(more))
 
     nodes = by_words.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
     nodes = stored(nodes, "near-nodes")
@@ -226,40 +212,61 @@ def _labelled(central: DataFrame, links: DataFrame) -> DataFrame:
     return stored(central.select("node").join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component")), "near-labels")
 
 
-def _apart(mates: DataFrame, comps: DataFrame, central: DataFrame, least: float) -> DataFrame:
-    """All pairs of bucket mates in different components whose signatures agree enough.
+def _apart(mates: DataFrame, comps: DataFrame, central: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) between components that bucket mates hold apart, at least one for each two components that have any.
 
-    A bucket's members, in order of component, are cut into blocks; a pair of blocks is one group, so no group grows with the bucket. Pairs of
-    blocks that lie in one component are left out. Of a component only pairs within reach by signature come out.
+    Components that share buckets form a family. Its members are cut into blocks, those of a large component apart from others; two
+    blocks are compared in one task, so no task grows with the family, and two blocks of one component never meet. A task
+    compares signatures, then shingles, and stops for two components at their first link; it gives links, not pairs.
     """
-    now = mates.select("bucket", "node").join(comps, "node")
-    mixed = now.groupBy("bucket").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1").select("bucket")
-    now = stored(now.join(mixed, "bucket"), "near-apart")
-    sizes = now.groupBy("bucket", "component").count()
-    # blocks are numbered by component within the bucket; a large component has blocks of its own
-    parts = sizes.withColumn("parts", F.ceil(F.col("count") / BLOCK).cast("long")).groupBy("bucket").agg(F.sum("count").alias("members"))
-    dealt = now.join(parts, "bucket").withColumn("block", F.pmod(F.xxhash64("component", F.floor(F.pmod(F.xxhash64("node"), F.lit(1 << 20)) * F.ceil(F.col("members") / BLOCK) / F.lit(1 << 20))), F.ceil(F.col("members") / BLOCK)))
-    spread = dealt.groupBy("bucket", "block").agg(F.min("component").alias("c0"), F.max("component").alias("c1"))
-    x, y = (spread.select("bucket", *(F.col(c).alias(f"{c}_{s}") for c in ("block", "c0", "c1"))) for s in "xy")
-    two = x.join(y, "bucket").where("block_x <= block_y and not (c0_x = c1_x and c0_y = c1_y and c0_x = c0_y)").select("bucket", "block_x", "block_y")
-    rows = dealt.join(central.select("node", "sig"), "node").select("bucket", "block", "node", "component", "sig")
-    left = two.join(rows.withColumnRenamed("block", "block_x"), ["bucket", "block_x"]).withColumn("side", F.lit(0))
-    right = two.where("block_x <> block_y").join(rows.withColumnRenamed("block", "block_y"), ["bucket", "block_y"]).withColumn("side", F.lit(1))
+    held = mates.select("bucket", "node").join(comps, "node").select("bucket", "component").distinct()
+    first = held.groupBy("bucket").agg(F.min("component").alias("c0"), F.count("*").alias("n")).where("n > 1").select("bucket", "c0")
+    edges = held.join(first, "bucket").where("c0 <> component").select(F.col("c0").alias("a"), F.col("component").alias("b")).distinct()
+    families = components(edges, "near-families").select(F.col("node").alias("component"), F.col("component").alias("family"))
+    inside = stored(comps.join(families, "component"), "near-inside")
+    large = inside.groupBy("family", "component").agg(F.count("*").alias("n")).withColumn("large", F.col("n") >= BLOCK // 2)
+    rest = large.groupBy("family").agg(F.sum(F.when(~F.col("large"), F.col("n")).otherwise(0)).alias("n_rest"))
+    shape = large.join(rest, "family").withColumn("parts", F.ceil(F.when(F.col("large"), F.col("n")).otherwise(F.col("n_rest")) / BLOCK).cast("long"))
+    dealt = inside.join(shape.select("component", "large", "parts"), "component")
+    block = F.when(F.col("large"), F.xxhash64("component", F.pmod(F.xxhash64("node"), F.col("parts")))).otherwise(F.pmod(F.xxhash64("component"), F.col("parts")))
+    dealt = stored(dealt.select("family", "component", "node", block.alias("block")), "near-dealt")
+    spread = dealt.groupBy("family", "block").agg(F.min("component").alias("c0"), F.max("component").alias("c1"))
+    x, y = (spread.select("family", *(F.col(c).alias(f"{c}_{s}") for c in ("block", "c0", "c1"))) for s in "xy")
+    two = stored(x.join(y, "family").where("block_x <= block_y and not (c0_x = c1_x and c0_y = c1_y and c0_x = c0_y)").select("family", "block_x", "block_y"), "near-blocks")
+    rows = stored(dealt.join(central.select("node", "sig"), "node").join(texts.select("node", "text"), "node"), "near-rows")
+    left = two.join(rows.withColumnRenamed("block", "block_x"), ["family", "block_x"]).withColumn("side", F.lit(0))
+    right = two.where("block_x <> block_y").join(rows.withColumnRenamed("block", "block_y"), ["family", "block_y"]).withColumn("side", F.lit(1))
+    least = similarity - SLACK
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.reset_index(drop=True)
         sig = np.frombuffer(b"".join(frame.sig), np.uint8).reshape(len(frame), -1)
-        side, node, comp = frame.side.to_numpy(), frame.node.to_numpy(), frame.component.to_numpy()
+        side, node, text = frame.side.to_numpy(), frame.node.to_numpy(), frame.text
+        comp = np.unique(frame.component, return_inverse=True)[1]
+        root = np.arange(comp.max() + 1)
+        bags: dict[int, tuple] = {}
+        found = []
+
+        def bag(k: int) -> tuple:
+            if k not in bags:
+                bags[k] = shingles(text[k])
+            return bags[k]
+
         a, b = (np.flatnonzero(side == k) for k in (0, 1))
-        b = b if len(b) else a
-        pairs = [np.zeros((0, 2), np.int64)]
-        for i in a:
-            hit = b[(comp[b] != comp[i]) & ((sig[b] == sig[i]).mean(axis=1) >= least)]
-            hit = hit[node[hit] != node[i]]
-            pairs.append(np.column_stack((np.minimum(node[hit], node[i]), np.maximum(node[hit], node[i]))))
-        found = np.unique(np.concatenate(pairs), axis=0)
-        return pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
-
-    return left.unionByName(right).groupBy("bucket", "block_x", "block_y").applyInPandas(run, "a long, b long").distinct()
+        alone = not len(b)
+        b = a if alone else b
+        for i in a.tolist():
+            others = b[b > i] if alone else b
+            agree = (sig[others] == sig[i]).mean(axis=1)
+            near = np.flatnonzero(agree >= least)
+            for j in others[near[np.argsort(-agree[near], kind="stable")]].tolist():
+                if root[comp[i]] != root[comp[j]] and overlap(bag(i), bag(j)) >= similarity:
+                    found.append((int(node[i]), int(node[j])))
+                    root[root == root[comp[j]]] = root[comp[i]]
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    columns = ["family", "block_x", "block_y", "side", "node", "component", "sig", "text"]
+    return left.select(columns).unionByName(right.select(columns)).groupBy("family", "block_x", "block_y").applyInPandas(run, "a long, b long")
 
 
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
