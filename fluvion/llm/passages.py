@@ -18,7 +18,7 @@ PHRASE = 11
 #: Bytes of text in a block of documents; an automaton serves one block.
 BLOCK_BYTES = 12 << 20
 #: Phrases in one automaton; a block with more gets several.
-SHARD_PHRASES = 150_000
+SHARD_PHRASES = 50_000
 
 RUN = np.dtype([("phrase", "u8"), ("context", "u8")])
 
@@ -82,46 +82,66 @@ def _runs(batches: Iterator[pa.RecordBatch], window: int, phrase: int) -> Iterat
             yield pa.record_batch([pa.array(np.concatenate(blocks), pa.int32()), pa.array(runs["phrase"].view(np.int64)), pa.array(runs["context"].view(np.int64)), pa.array(np.concatenate(numbers), pa.int64())], ["block", "phrase", "context", "n"])
 
 
-class Located:
-    """Automata over the recurring phrases of a block of documents, in shards.
+def among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values are in known, which is sorted."""
+    if not len(known):
+        return np.zeros(len(values), bool)
+    at = np.searchsorted(known, values)
+    at[at == len(known)] = 0
+    return known[at] == values
 
-    A word is one character: its number among the words of the block's phrases. Characters run out at about 1.1 million
-    words, far beyond a block; words that no phrase has share a character.
-    """
 
-    def __init__(self, texts: list[Windows], recurring: np.ndarray):
-        import ahocorasick
-
-        first: dict[int, np.ndarray] = {}
-        for w in texts:
-            for run in np.flatnonzero(np.isin(w.phrase, recurring)):
-                key = int(w.phrase[run])
-                if key not in first:
-                    at = w.starts[run] + int(np.argmin(w.phrases[w.starts[run] : w.starts[run] + w.window - w.phrase_words + 1]))
-                    first[key] = w.words[at : at + w.phrase_words]
-        self.known = np.unique(np.concatenate(list(first.values()))) if first else np.zeros(0, np.uint64)
-        self.automata = []
-        keys = list(first)
-        for at in range(0, len(keys), SHARD_PHRASES):
-            automaton = ahocorasick.Automaton()
-            for key in keys[at : at + SHARD_PHRASES]:
-                automaton.add_word(self.coded(first[key]), key)
-            automaton.make_automaton()
-            self.automata.append(automaton)
-
-    def coded(self, words: np.ndarray) -> str:
+#: A word is DIGITS characters of base RADIX: an automaton looks through a node's children one by one, so they must be few.
+RADIX, DIGITS = 64, 3
+_FIRST, _NEXT, _OTHER = 0x100, 0x200, 0x300  # first digits, later digits and words of no phrase: matches can't start within a word
+
+
+class Coder:
+    """Words as characters, by their number among the words of a block's phrases."""
+
+    def __init__(self, words: np.ndarray):
+        self.known = np.unique(words)
+        self.digits = max(DIGITS, -(-len(self.known).bit_length() // 6))
+
+    def text(self, words: np.ndarray) -> str:
+        if not len(self.known):
+            return ""
         at = np.searchsorted(self.known, words)
         at[at == len(self.known)] = 0
-        number = np.where(self.known[at] == words, at + 1, 0).astype("<u4")
-        number[number >= 0xD800] += 0x800  # no surrogates
-        return number.tobytes().decode("utf-32-le")
-
-    def find(self, w: Windows) -> np.ndarray:
-        """The recurring phrases that a text holds."""
-        if not self.automata or not w.n:
-            return np.zeros(0, np.uint64)
-        text = self.coded(w.words)
-        return np.array(sorted({key for automaton in self.automata for _, key in automaton.iter(text)}), np.uint64)
+        there = self.known[at] == words
+        out = np.zeros((len(words), self.digits), "<u4")
+        for k in range(self.digits):
+            out[:, k] = at % RADIX + (_NEXT if k else _FIRST)
+            at = at // RADIX
+        out[~there] = 0
+        out[~there, 0] = _OTHER
+        flat = out.reshape(-1)
+        return flat[flat > 0].tobytes().decode("utf-32-le")
+
+
+def located(texts: list[Windows], recurring: np.ndarray) -> list[np.ndarray]:
+    """The recurring phrases that each text holds: sharded automata of a block's phrases stream its texts, one after the other."""
+    import ahocorasick
+
+    first: dict[int, np.ndarray] = {}
+    for w in texts:
+        for run in np.flatnonzero(among(w.phrase, recurring)).tolist():
+            key = int(w.phrase[run])
+            if key not in first:
+                at = w.starts[run] + int(np.argmin(w.phrases[w.starts[run] : w.starts[run] + w.window - w.phrase_words + 1]))
+                first[key] = w.words[at : at + w.phrase_words]
+    coder = Coder(np.concatenate([*first.values(), np.zeros(0, np.uint64)]))
+    found: list[set[int]] = [set() for _ in texts]
+    keys = list(first)
+    for at in range(0, len(keys), SHARD_PHRASES):
+        automaton = ahocorasick.Automaton()
+        for key in keys[at : at + SHARD_PHRASES]:
+            automaton.add_word(coder.text(first[key]), key)
+        automaton.make_automaton()
+        for k, w in enumerate(texts):
+            if w.n:
+                found[k].update(key for _, key in automaton.iter(coder.text(w.words)))
+    return [np.array(sorted(f), np.uint64) for f in found]
 
 
 def _bits(mask: np.ndarray) -> bytes:
@@ -171,15 +191,15 @@ def remove_passages(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE,
             order = np.argsort(told_runs)
             told_runs, settled, gives = told_runs[order], settled[order], gives[order]
         texts = [Windows(word_hashes(text_bytes(t.as_py())), window, phrase) for t in left["text"]]
-        located = Located(texts, np.unique(told_runs["phrase"]))
+        holds = located(texts, np.unique(told_runs["phrase"]))
         out: dict[str, list] = {"settled": [], "windows": [], "places": [], "given": []}
         gave = np.zeros(len(told_runs), bool)
-        for w in texts:
+        for w, held_phrases in zip(texts, holds, strict=True):
             covered, ask, places, given = np.zeros(len(w.words), bool), [], [], []
             if w.n:
                 hashes = w.hashes()
                 full = own_repeats(hashes)
-                hit = np.flatnonzero(np.isin(w.phrase, located.find(w)))
+                hit = np.flatnonzero(among(w.phrase, held_phrases))
                 mine = np.empty(len(hit), RUN)
                 mine["phrase"], mine["context"] = w.phrase[hit], w.contexts(hashes)[hit]
                 at = np.searchsorted(told_runs, mine)
