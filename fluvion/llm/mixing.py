@@ -65,15 +65,15 @@ def mix(docs: DataFrame, seed: str = SEED, weights: tuple[int, ...] = WEIGHTS, m
     """
     docs = docs.drop("size", "source_size", "target", "copies")
     sizes = stored(docs.select("source", size_of().alias("size")).groupBy("source").agg(F.sum("size").alias("source_size")), "mix-sources")
-    plan = stored(targets(sizes, weights, most), "mix-targets").withColumnRenamed("source", "mix_source")
+    plan = stored(targets(sizes, weights, most), "mix-targets").withColumnRenamed("source", "__source")
     if plan.count() <= BROADCAST_SOURCES:
         plan = F.broadcast(plan)
     rate = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(most)))).otherwise(0.0)
-    mixed = docs.withColumn("size", size_of()).join(plan, F.col("source").eqNullSafe(F.col("mix_source"))).drop("mix_source")
+    mixed = docs.withColumn("size", size_of()).join(plan, F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
     whole = F.floor(rate)
     return mixed.withColumn("copies", (whole + F.when(draw(seed) < rate - whole, 1).otherwise(0)).cast("int"))
 
 
 def emit(mixed: DataFrame) -> DataFrame:
     """The mix itself: each document copies times, without the columns that mix() added."""
-    return mixed.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).drop("size", "source_size", "target", "copies", "copy")
+    return mixed.where("copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).drop("size", "source_size", "target", "copies", "__copy")

@@ -272,8 +272,8 @@ def _apart(mates: DataFrame, comps: DataFrame, central: DataFrame, texts: DataFr
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The documents that near_duplicates() keeps, with all their columns; of equal rows one stays."""
     decided = near_duplicates(docs, similarity).where("kept").groupBy("row_hash").agg(F.count("*").alias("times"))
-    decided = stored(decided.select("row_hash", "times"), "near-kept")
-    rows = docs.withColumn("row_hash", F.xxhash64("doc_id", "text")).join(decided, "row_hash")
+    decided = stored(decided.select(F.col("row_hash").alias("__hash"), F.col("times").alias("__times")), "near-kept")
+    rows = docs.withColumn("__hash", F.xxhash64("doc_id", "text")).join(decided, "__hash")
     blank = ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    alone = (F.col("times") == 1) | blank
-    return rows.where(alone).unionByName(rows.where(~alone).dropDuplicates(["row_hash"])).select(*docs.columns)
+    alone = (F.col("__times") == 1) | blank
+    return rows.where(alone).unionByName(rows.where(~alone).dropDuplicates(["__hash"])).select(*docs.columns)

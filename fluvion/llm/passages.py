@@ -179,7 +179,7 @@ def remove_passages(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE,
     told = runs.join(whole, ["phrase", "context"]).select("block", "phrase", "context", (F.col("n_context") > 1).alias("settled"), ((F.col("n_context") < F.col("n_phrase")) & ((F.col("n_context") == 1) | (F.col("giver") == F.col("block")))).alias("gives"))
     lists = told.groupBy("block").agg(F.collect_list(F.struct("phrase", "context", "settled", "gives")).alias("told"))  # bounded by the block
 
-    inner = StructType([*docs.schema.fields, StructField("settled", BinaryType()), StructField("windows", ArrayType(LongType())), StructField("places", ArrayType(IntegerType())), StructField("given", ArrayType(LongType()))])
+    inner = StructType([*docs.schema.fields, StructField("__settled", BinaryType()), StructField("__windows", ArrayType(LongType())), StructField("__places", ArrayType(IntegerType())), StructField("__given", ArrayType(LongType()))])
 
     def locate(key, left: pa.Table, right: pa.Table) -> pa.Table:
         rows = right["told"].combine_chunks().flatten() if len(right) else None
@@ -220,18 +220,18 @@ def remove_passages(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE,
             out["given"].append(np.concatenate(given).view(np.int64) if given else np.zeros(0, np.int64))
         table = left.select(names)
         for name, kind in (("settled", pa.binary()), ("windows", pa.list_(pa.int64())), ("places", pa.list_(pa.int32())), ("given", pa.list_(pa.int64()))):
-            table = table.append_column(name, pa.array(out[name], kind))
+            table = table.append_column(f"__{name}", pa.array(out[name], kind))
         return table
 
-    held = docs.withColumn("passage_block", block).groupBy("passage_block").cogroup(lists.withColumnRenamed("block", "passage_block").groupBy("passage_block")).applyInArrow(locate, inner)
-    rows = numbered(stored(held, "passages-located"), "passage_row")
-    asked = rows.select("passage_row", F.explode(F.array_distinct("windows")).alias("window"))
+    held = docs.withColumn("__block", block).groupBy("__block").cogroup(lists.withColumnRenamed("block", "__block").groupBy("__block")).applyInArrow(locate, inner)
+    rows = numbered(stored(held, "passages-located"), "__row")
+    asked = rows.select("__row", F.explode(F.array_distinct("__windows")).alias("window"))
     # a window of a whole context that occurs again counts as two, whatever else it meets
-    votes = asked.groupBy("window").agg(F.count("*").alias("n")).unionByName(rows.select(F.explode("given").alias("window"), F.lit(2).cast("long").alias("n")))
+    votes = asked.groupBy("window").agg(F.count("*").alias("n")).unionByName(rows.select(F.explode("__given").alias("window"), F.lit(2).cast("long").alias("n")))
     again = stored(votes.groupBy("window").agg(F.sum("n").alias("n")).where("n > 1").select("window"), "passages-windows")
-    found = asked.join(again, "window").groupBy("passage_row").agg(F.collect_list("window").alias("again"))  # bounded by the text's own windows
-    waiting = rows.where(F.size("windows") > 0).join(found, "passage_row", "left")
-    ready = rows.where(F.size("windows") == 0).withColumn("again", F.lit(None).cast("array<bigint>"))
+    found = asked.join(again, "window").groupBy("__row").agg(F.collect_list("window").alias("__again"))  # bounded by the text's own windows
+    waiting = rows.where(F.size("__windows") > 0).join(found, "__row", "left")
+    ready = rows.where(F.size("__windows") == 0).withColumn("__again", F.lit(None).cast("array<bigint>"))
     schema = StructType([*docs.schema.fields, StructField("n_words", LongType()), StructField("n_removed", LongType()), StructField("kept", StringType())])
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,7 +239,7 @@ def remove_passages(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE,
             for at in range(0, len(whole_batch), 1000):
                 batch = whole_batch.slice(at, 1000)
                 kept, n_words, n_removed = [], [], []
-                columns = [batch.column(n) for n in ("text", "settled", "windows", "places", "again")]
+                columns = [batch.column(n) for n in ("text", "__settled", "__windows", "__places", "__again")]
                 for text, mask, windows, places, back in zip(*columns, strict=True):
                     words = text_bytes(text.as_py()).split()
                     covered = np.unpackbits(np.frombuffer(mask.as_py(), np.uint8))[: len(words)].astype(bool)
@@ -256,7 +256,7 @@ def remove_passages(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE,
                     kept.append(b" ".join(w for w, c in zip(words, covered.tolist(), strict=True) if not c) if gone else b" ".join(words))
                 yield pa.record_batch([*(batch.column(n) for n in names), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array([k.decode("utf-8", "surrogatepass") for k in kept], pa.string())], [*names, "n_words", "n_removed", "kept"])
 
-    columns = [*names, "settled", "windows", "places", "again"]
+    columns = [*names, "__settled", "__windows", "__places", "__again"]
     return waiting.select(columns).unionByName(ready.select(columns)).mapInArrow(finish, schema)
 
 

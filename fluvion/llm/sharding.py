@@ -32,12 +32,12 @@ def external_shuffle(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, bu
     key = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text"))
     weight = docs.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 64)).first()[0] or 0
     buckets = max(1, -(-weight // bucket_bytes))
-    dealt = docs.withColumn("bucket", F.pmod(key, F.lit(buckets)).cast("int")).withColumn("order_key", key)
+    dealt = docs.withColumn("bucket", F.pmod(key, F.lit(buckets)).cast("int")).withColumn("__key", key)
     counts = stored(dealt.groupBy("bucket").count(), "shuffle-counts")
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    places = counts.withColumn("first", F.coalesce(F.sum("count").over(before), F.lit(0))).select("bucket", "first").withColumn("total", F.lit(counts.agg(F.sum("count")).first()[0] or 0).cast("long"))
+    places = counts.withColumn("__first", F.coalesce(F.sum("count").over(before), F.lit(0))).select("bucket", "__first").withColumn("__total", F.lit(counts.agg(F.sum("count")).first()[0] or 0).cast("long"))
     columns = docs.columns
-    schema = StructType([*docs.schema.fields, StructField("bucket", LongType()), StructField("place", LongType())])
+    schema = StructType([*docs.schema.fields, StructField("bucket", LongType()), StructField("__place", LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         whole = pa.Table.from_batches(list(batches)) if (batches := list(batches)) else None
@@ -46,20 +46,20 @@ def external_shuffle(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, bu
         buckets_here = whole["bucket"].to_numpy()
         for b in np.unique(buckets_here):
             rows = whole.filter(pc.equal(whole["bucket"], int(b)))
-            rows = rows.take(pc.sort_indices(rows, [("order_key", "ascending"), ("doc_id", "ascending")]))
+            rows = rows.take(pc.sort_indices(rows, [("__key", "ascending"), ("doc_id", "ascending")]))
             place = np.random.default_rng([seed, int(b)]).permutation(len(rows))  # Fisher-Yates
             rows = rows.take(pa.array(np.argsort(place)))
-            out = rows.select(columns).append_column("bucket", rows["bucket"].cast(pa.int64())).append_column("place", pa.array(np.arange(len(rows)), pa.int64()))
+            out = rows.select(columns).append_column("bucket", rows["bucket"].cast(pa.int64())).append_column("__place", pa.array(np.arange(len(rows)), pa.int64()))
             yield from out.to_batches(max_chunksize=2000)
 
     scattered = dealt.repartitionById(buckets, F.col("bucket")).mapInArrow(run, schema)
-    at = F.col("first") + F.col("place")
-    joined = scattered.join(F.broadcast(places) if buckets <= 100_000 else places, "bucket").withColumn("at", at)
+    at = F.col("__first") + F.col("__place")
+    joined = scattered.join(F.broadcast(places) if buckets <= 100_000 else places, "bucket").withColumn("__at", at)
     # shard s holds the places from ceil(s * total / shards) on
-    shard = F.expr(f"cast(at * {shards} div total as int)")
+    shard = F.expr(f"cast(__at * {shards} div __total as int)")
     joined = joined.withColumn("shard", shard)
-    first = F.expr(f"(cast(shard as long) * total + {shards - 1}) div {shards}")
-    return joined.withColumn("slot", F.col("at") - first).drop("first", "total", "place", "at")
+    first = F.expr(f"(cast(shard as long) * __total + {shards - 1}) div {shards}")
+    return joined.withColumn("slot", F.col("__at") - first).drop("__first", "__total", "__place", "__at")
 
 
 def write_shards(shuffled: DataFrame, path: str) -> None:
