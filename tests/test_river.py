@@ -94,7 +94,7 @@ def test_config_and_product_round_trip(spark, tmp_path):
 
 
 def test_gauges_batch_and_stream_agree(spark, tmp_path):
-    rows = [(pd.Timestamp("2024-01-01") + pd.Timedelta(minutes=3 * i), i % 2, float(i)) for i in range(40)]
+    rows = [((pd.Timestamp("2024-01-01") + pd.Timedelta(minutes=3 * i)).to_pydatetime(), i % 2, float(i)) for i in range(40)]
     spark.createDataFrame(rows, "t timestamp, k long, v double").write.parquet(str(tmp_path / "in"))
     batch = gauges.windowed(spark.read.parquet(str(tmp_path / "in")), "t", "k", "v").orderBy("k", "start").collect()
     stream = gauges.windowed(spark.readStream.schema("t timestamp, k long, v double").parquet(str(tmp_path / "in")), "t", "k", "v")
