@@ -66,3 +66,13 @@ def bits(**failed: Column) -> Column:
     for k, c in enumerate(failed.values()):
         total = total + F.when(c, 1 << k).otherwise(0)
     return total
+
+
+def area_change(height: Column, breaks: tuple[Column, ...], lines: list[tuple[Column, Column]], median_area: Column) -> Column:
+    """Change of the cross-section from its median: widths are linear in height by pieces (slope, intercept) and integrated from the lowest break up."""
+    total: Column = F.lit(0.0)
+    for k, (slope, intercept) in enumerate(lines):
+        top = height if k == len(lines) - 1 else F.least(height, breaks[k + 1])
+        piece = slope / 2 * (top * top - breaks[k] * breaks[k]) + intercept * (top - breaks[k])
+        total = total + (F.when(height > breaks[k], piece).otherwise(0.0) if k else piece)
+    return total - median_area

@@ -6,6 +6,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
+from fluvion.plans import more  # noqa: F401
 from fluvion.plans.catalogue import QUERIES, SQL
 
 DATA = Path("/root/testdata/sf0.001")
