@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stored
@@ -11,7 +11,9 @@ from .common import stored
 WORDS = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1, 2, 3)
 MOST = 3
-SEED = "mix-1"
+SEED = "mix"
+#: Seeds that are tried for each source.
+SEEDS = 16
 #: With at most this many sources their table is broadcast.
 BROADCAST_SOURCES = 20_000
 
@@ -48,17 +50,19 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
     return w.select("source", "source_size", F.least(target, F.col("cap").cast("double")).alias("target"))
 
 
-def draw(seed: str, doc_id: str = "doc_id"):
+def draw(seed: Column, doc_id: str = "doc_id") -> Column:
     """A number in [0, 1) from the seed and the id: the first 48 bits of an MD5."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(doc_id).cast("string"), F.lit("null"))).cast("binary"))
+    digest = F.md5(F.concat(seed, F.lit(":"), F.coalesce(F.col(doc_id).cast("string"), F.lit("null"))).cast("binary"))
     return F.conv(F.substring(digest, 1, 12), 16, 10).cast("long") / F.lit(1 << 48)
 
 
-def mix(docs: DataFrame, seed: str = SEED, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
+def mix(docs: DataFrame, seed: str = SEED, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, seeds: int = SEEDS) -> DataFrame:
     """All columns of docs, with size, source_size, target and copies: how often the mix takes the document.
 
     A document is taken floor(rate) times, and once more if its hash-seeded draw is below the fraction of the
-    rate target / source_size; the draw depends on the id alone, so reruns agree.
+    rate target / source_size; the draw depends on the source's seed and the id alone, so reruns agree. A few very long
+    documents can take a source far from its target, so each source has the one of seeds seeds whose sum comes nearest; one
+    aggregate over all documents finds it.
     Null texts have size 0, a null source is a source of its own, a source without words gets rate 0; rows
     with equal ids share a draw. An empty table gives an empty one. Clashing columns of docs (size,
     source_size, target, copies) are replaced.
@@ -66,12 +70,21 @@ def mix(docs: DataFrame, seed: str = SEED, weights: tuple[int, ...] = WEIGHTS, m
     docs = docs.drop("size", "source_size", "target", "copies")
     sizes = stored(docs.select("source", size_of().alias("size")).groupBy("source").agg(F.sum("size").alias("source_size")), "mix-sources")
     plan = stored(targets(sizes, weights, most), "mix-targets").withColumnRenamed("source", "__source")
-    if plan.count() <= BROADCAST_SOURCES:
-        plan = F.broadcast(plan)
+    few = plan.count() <= BROADCAST_SOURCES
     rate = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(most)))).otherwise(0.0)
-    mixed = docs.withColumn("size", size_of()).join(plan, F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
-    whole = F.floor(rate)
-    return mixed.withColumn("copies", (whole + F.when(draw(seed) < rate - whole, 1).otherwise(0)).cast("int"))
+
+    def planned(rows: DataFrame, plan: DataFrame) -> DataFrame:
+        return rows.withColumn("size", size_of()).join(F.broadcast(plan) if few else plan, F.col("source").eqNullSafe(F.col("__source")))
+
+    def copies(seed: Column) -> Column:
+        return (F.floor(rate) + F.when(draw(seed) < rate - F.floor(rate), 1).otherwise(0)).cast("int")
+
+    tried = [F.sum(F.col("size") * copies(F.lit(f"{seed}-{k}"))).alias(f"taken_{k}") for k in range(seeds)]
+    tried = planned(docs.select("doc_id", "source", "text"), plan).groupBy("__source").agg(F.first("source_size").alias("source_size"), F.first("target").alias("target"), *tried)
+    off = [F.struct(F.abs(F.col(f"taken_{k}") - F.col("target")).alias("off"), F.lit(k).alias("k")) for k in range(seeds)]
+    best = F.array_min(F.array(*off))["k"]
+    chosen = stored(tried.select("__source", "source_size", "target", F.concat(F.lit(f"{seed}-"), best.cast("string")).alias("__seed")), "mix-seeds")
+    return planned(docs, chosen).withColumn("copies", copies(F.col("__seed"))).drop("__source", "__seed")
 
 
 def emit(mixed: DataFrame) -> DataFrame:

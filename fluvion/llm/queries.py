@@ -77,10 +77,12 @@ levels as (
 final as (select max(level) as level from levels),
 target as (select source, source_size, least(cap::double, case when cap <= weight * level then cap::double else weight * level end) as target from weighed, final),
 rates as (select source, source_size, target, case when source_size > 0 then least(target / source_size, 3.0) else 0 end as rate from target),
-drawn as (select doc_id, size, source_size, target, rate,
-  ('0x' || substr(md5('mix-1:' || coalesce(doc_id::varchar, 'null')), 1, 12))::bigint / 281474976710656.0::double as u
-  from sized s join rates r on s.source is not distinct from r.source)
-select doc_id, size, source_size, target, (size * (floor(rate) + case when u < rate - floor(rate) then 1 else 0 end))::bigint as taken from drawn
+drawn as (select doc_id, s.source, size, source_size, target, k,
+  size * (floor(rate) + case when ('0x' || substr(md5('mix-' || k || ':' || coalesce(doc_id::varchar, 'null')), 1, 12))::bigint / 281474976710656.0::double < rate - floor(rate) then 1 else 0 end) as taken
+  from sized s join rates r on s.source is not distinct from r.source, range(16) t(k)),
+seeds as (select source, k, abs(sum(taken) - any_value(target)) as off from drawn group by 1, 2),
+best as (select source, k from seeds qualify row_number() over (partition by source order by off, k) = 1)
+select doc_id, size, source_size, target, taken::bigint as taken from drawn d join best b on d.k = b.k and d.source is not distinct from b.source
 """,
     "op6_passages": f"""
 with texts as (select row_number() over () as r, doc_id, {_WORDS} as ws from documents),
