@@ -53,21 +53,32 @@ def total_weight(words: list[np.ndarray], weights: np.ndarray) -> np.ndarray:
     return np.bincount(np.repeat(np.arange(len(words)), lengths), weights[np.concatenate(words)], len(words))
 
 
+def _blocks(words: list[np.ndarray], rows: int = 500) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Features and their rows, some rows at a time: all rows at once would fill the driver's memory."""
+    for first in range(0, len(words), rows):
+        part = words[first : first + rows]
+        yield np.concatenate(part), np.repeat(np.arange(first, first + len(part)), [len(w) for w in part])
+
+
 def fit_linear(words: list[np.ndarray], dense: np.ndarray, y: np.ndarray, size: int, keep: int = KEEP, penalty: float = 1e-4, steps: int = STEPS) -> tuple[np.ndarray, np.ndarray]:
     """Weights of hashed features and of the dense columns (the last is the intercept): Adam on balanced logistic loss.
 
     Only the keep features whose log odds differ most between the classes, in standard errors, get a weight.
     """
-    lengths = np.array([len(w) for w in words], np.int64)
-    at, row = np.concatenate([*words, np.zeros(0, np.int64)]).astype(np.int64), np.repeat(np.arange(len(words)), lengths)
-    yes, both = np.bincount(at, y[row], size), np.bincount(at, minlength=size)
+    yes, both = np.zeros(size), np.zeros(size, np.int64)
+    for at, row in _blocks(words):
+        yes += np.bincount(at, y[row], size)
+        both += np.bincount(at, minlength=size)
     a, b, n_yes, n_no = yes + 0.5, both - yes + 0.5, y.sum() + 1, len(y) - y.sum() + 1
     odds = np.abs(np.log(a / (n_yes - a + 0.5)) - np.log(b / (n_no - b + 0.5))) / np.sqrt(1 / a + 1 / b)
     best = np.argsort(np.where(both >= min(LEAST, max(1, len(words) // 50)), -odds, 1.0), kind="stable")[:keep]
     column = np.full(size, -1)
     column[best] = np.arange(len(best))
-    inside = column[at] >= 0
-    at, row = column[at][inside], row[inside]
+    chosen = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    for at, row in _blocks(words):
+        inside = column[at] >= 0
+        chosen.append((column[at][inside], row[inside]))
+    at, row = (np.concatenate(x) for x in zip(*chosen, strict=True))
     weight = np.where(y == 1, 0.5 / max(y.mean(), 1e-9), 0.5 / max(1 - y.mean(), 1e-9)) / len(y)
     theta = [np.zeros(len(best)), np.zeros(dense.shape[1])]
     first, second = [np.zeros_like(t) for t in theta], [np.zeros_like(t) for t in theta]
@@ -126,11 +137,16 @@ def train(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, fit_rows: i
 
     # the sample is bounded by fit_rows, so it may be broadcast; its hashed words come to the driver
     sample = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("doc_id", "text", *names)
-    got = sample.mapInArrow(run, f"doc_id long, {', '.join(f'{n} int' for n in names)}, words array<int>").toPandas().drop_duplicates("doc_id").sort_values("doc_id")
+    got = sample.mapInArrow(run, f"doc_id long, {', '.join(f'{n} int' for n in names)}, words array<int>").toArrow()
     if not len(got):
         return None
-    fold = (got.doc_id.to_numpy() * 0x9E3779B1 % 2**32) // 65536 % folds
-    return Chain([n for n, _ in categories], bits).fit([np.asarray(w, np.int64) for w in got.words], got[names].to_numpy(), fold)
+    ids, first = np.unique(got["doc_id"].to_numpy(), return_index=True)
+    flags_of = np.column_stack([got[n].to_numpy()[first] for n in names])
+    lists = got["words"].combine_chunks()
+    flat, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
+    del got
+    fold = (ids * 0x9E3779B1 % 2**32) // 65536 % folds
+    return Chain([n for n, _ in categories], bits).fit([flat[ends[i] : ends[i + 1]] for i in first.tolist()], flags_of, fold)
 
 
 def score(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, threshold: float = THRESHOLD, reject: str = "toxic", **fit) -> DataFrame:
