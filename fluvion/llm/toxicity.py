@@ -167,7 +167,7 @@ def score(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, threshold:
         for whole in batches:
             for at in range(0, len(whole), 500):
                 batch = whole.slice(at, 500)
-                words = [features(t) for t in batch.column("text").to_pylist()]
+                words = [features(t, model.bits if model else BITS) for t in batch.column("text").to_pylist()]
                 p = model.probabilities(words) if model else np.zeros((len(words), len(names)))
                 bad = (p[:, which] >= threshold) & np.array([len(w) > 0 for w in words], bool)
                 yield pa.record_batch([*batch.columns, *(pa.array(p[:, k]) for k in range(len(names))), pa.array(bad)], [*batch.schema.names, *names, "rejected"])
