@@ -81,3 +81,20 @@ def degrees_text(angle: Column, positive: str, negative: str) -> Column:
 
 def quantize(value: Column, offset: float, scale: float, fill: int, kind: str = "int") -> Column:
     return F.when(value.isNull() | F.isnan(value), F.lit(fill)).otherwise(F.round((value - offset) / scale)).cast(kind)
+
+
+def utm_inverse(east: Column, north: Column, zone: int) -> tuple[Column, Column]:
+    """Longitude and latitude of UTM coordinates of the northern half, by the series in the third flattening (to n^3)."""
+    n = FLATTENING / (2 - FLATTENING)
+    radius = SEMI_MAJOR / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
+    xi, eta = north / (0.9996 * radius), (east - 500000.0) / (0.9996 * radius)
+    beta = (n / 2 - 2 * n**2 / 3 + 37 * n**3 / 96, n**2 / 48 + n**3 / 15, 17 * n**3 / 480)
+    delta = (2 * n - 2 * n**2 / 3 - 2 * n**3, 7 * n**2 / 3 - 8 * n**3 / 5, 56 * n**3 / 15)
+    x, e = xi, eta
+    for k, b in enumerate(beta, 1):
+        x, e = x - b * F.sin(2 * k * xi) * F.cosh(2 * k * eta), e - b * F.cos(2 * k * xi) * F.sinh(2 * k * eta)
+    chi = F.asin(F.sin(x) / F.cosh(e))
+    phi = chi
+    for k, d in enumerate(delta, 1):
+        phi = phi + d * F.sin(2 * k * chi)
+    return F.degrees(F.atan2(F.sinh(e), F.cos(x))) + (6 * zone - 183), F.degrees(phi)

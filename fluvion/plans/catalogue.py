@@ -170,13 +170,12 @@ def truth_match(spark, sf_dir):
     return f("F").join(f("O"), ["reach", "node"]).select("reach", "node", r((c("wse_F") - c("wse_O")) * 100, 4).alias("wse_cm"), r((c("area_F") - c("area_O")) / c("area_O") * 100, 4).alias("area_pct"))
 
 
-@query("""with $PIX, a as (select reach, sum(area) as area from pix where side = 'F' and reach % 3 <> 0 group by 1), b as (select reach, sum(area) as area from pix where side = 'O' and reach % 4 <> 0 group by 1)
-select coalesce(a.reach, b.reach) as reach, a.area - b.area as area from a full join b on a.reach = b.reach""")
+@query("""with $PIX, a as (select reach, node, klass, sum(area) as area from pix where side = 'F' group by 1, 2, 3), b as (select reach, node, klass, sum(area) as area from pix where side = 'O' group by 1, 2, 3)
+select coalesce(a.reach, b.reach) as reach, coalesce(a.node, b.node) as node, coalesce(a.klass, b.klass) as klass, a.area - b.area as area from a full join b on a.reach = b.reach and a.node = b.node and a.klass = b.klass""")
 def table_diff(spark, sf_dir):
     p = pixels(spark, sf_dir)
-    a = p.where("side = 'F' and reach % 3 <> 0").groupBy("reach").agg(F.sum("area").alias("area"))
-    b = p.where("side = 'O' and reach % 4 <> 0").groupBy("reach").agg(F.sum("area").alias("area"))
-    return joins.table_difference(a, b, ["reach"], ["area"])
+    a, b = (p.where(c("side") == s).groupBy("reach", "node", "klass").agg(F.sum("area").alias("area")) for s in "FO")
+    return joins.table_difference(a, b, ["reach", "node", "klass"], ["area"])
 
 
 @query("""select a.s_suppkey as reach, b.s_suppkey as neighbour from supplier a join supplier b on a.s_nationkey = b.s_nationkey and b.s_suppkey = a.s_suppkey + 25""")

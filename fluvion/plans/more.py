@@ -94,13 +94,13 @@ def pixel_index_match(spark, sf_dir):
     return both.withColumn("pixc_index", F.row_number().over(Window.partitionBy("reach").orderBy("node")).cast("long") - 1)
 
 
-@query("""with e as (select user_id, event_id, epoch_us(ts) as t, value from events), a as (select * from e where event_id % 10 = 0), b as (select * from e where event_id % 10 <> 0)
+@query("""with e as (select user_id, event_id, epoch_us(ts) as t, event_type from events), a as (select * from e where event_type = 'purchase'), b as (select * from e where event_type <> 'purchase')
 select a.event_id, b.event_id as before from a asof join b on a.user_id = b.user_id and a.t >= b.t""")
 def last_before(spark, sf_dir):
-    e = table(spark, sf_dir, "events").select("user_id", "event_id", F.unix_micros(c("ts").cast("timestamp")).alias("t"))
-    w = Window.partitionBy("user_id").orderBy("t", F.col("event_id") % 10 == 0).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    seen = e.withColumn("before", F.last(F.when(c("event_id") % 10 != 0, c("event_id")), True).over(w))
-    return seen.where((c("event_id") % 10 == 0) & c("before").isNotNull()).select("event_id", "before")
+    e = table(spark, sf_dir, "events").select("user_id", "event_id", F.unix_micros(c("ts").cast("timestamp")).alias("t"), (c("event_type") == "purchase").alias("bought"))
+    w = Window.partitionBy("user_id").orderBy("t", "bought").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = e.withColumn("before", F.last(F.when(~c("bought"), c("event_id")), True).over(w))
+    return seen.where(c("bought") & c("before").isNotNull()).select("event_id", "before")
 
 
 @query("""with $NODES select reach, node, round(wse, 5) as wse from nodes qualify row_number() over (partition by reach order by wse desc, node) <= 3""")

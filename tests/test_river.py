@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fluvion.functions import geo
 from fluvion.operators import discharge, fits, joins
 from fluvion.plans import river_tile
-from fluvion.sources import config, products, synthetic
+from fluvion.sources import config, field, products, synthetic
 from fluvion.streaming import gauges
 
 
@@ -101,3 +101,27 @@ def test_gauges_batch_and_stream_agree(spark, tmp_path):
     q = stream.writeStream.format("memory").queryName("gauges").outputMode("complete").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "ck")).start()
     q.awaitTermination()
     assert spark.table("gauges").orderBy("k", "start").collect() == batch
+
+
+def test_utm_inverse(spark):
+    lon, lat = geo.utm_inverse(F.col("e"), F.col("n"), 10)
+    row = spark.createDataFrame([(500000.0, 0.0), (500000.0, 4427757.218739)], "e double, n double").select(lon.alias("lon"), lat.alias("lat")).collect()
+    assert (row[0].lon, row[0].lat) == pytest.approx((-123, 0)) and (row[1].lon, row[1].lat) == pytest.approx((-123, 40), abs=1e-7)
+
+
+def test_transducer_text(spark, tmp_path):
+    lines = ["a b c P1 P2", "Northing m 4427757.218739 0", "Easting m 500000 500000", "River mile 3.5 4", "", "YYYYMMDD HHMMSS P1 P2", "20000101\t000010\t1.5\t ", "20000102\t000000\t2.5\t3"]
+    (tmp_path / "pt.txt").write_text("\n".join(lines) + "\n")
+    got = {(r.transducer, r.time): r for r in field.transducers(spark, str(tmp_path / "pt.txt")).collect()}
+    assert {k: r.wse for k, r in got.items()} == {("P1", 10.0): 1.5, ("P2", 10.0): None, ("P1", 86400.0): 2.5, ("P2", 86400.0): 3.0}
+    assert got["P1", 10.0].latitude == pytest.approx(40, abs=1e-7) and got["P1", 10.0].river_mile == 3.5
+
+
+def test_drifter_text_and_grid(spark, tmp_path):
+    (tmp_path / "d.txt").write_text(" 1.0  2 0.1\n\n3 x 0.5\n")
+    rows = field.drifter_pixels(field.drifters(spark, str(tmp_path / "d.txt"), ["time", "wse", "err"]), "err").orderBy("time").collect()
+    assert [(r.time, r.wse, r.classification) for r in rows] == [(1.0, 2.0, 1), (3.0, None, 0)]
+    header = field.grid_header("undef -9999\noptions yrev little_endian\nxdef 3 linear -125.0 0.5\nydef 2 linear 35.0 0.5\n")
+    np.array([[1, -9999, 3], [4, 5, -9999]], "<f4").tofile(tmp_path / "g.bin")
+    cells = {(r.longitude, r.latitude): r.value for r in field.grid(spark, str(tmp_path / "g.bin"), header).collect()}
+    assert cells == {(-125.0, 35.5): 1.0, (-124.0, 35.5): 3.0, (-125.0, 35.0): 4.0, (-124.5, 35.0): 5.0}
