@@ -8,23 +8,23 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
-from .common import mix, sliding_min, stored
+from .common import stored
 
 RATE, FRAME, HOP = 2000, 256, 128
-#: Frames that one code sees, and neighbouring codes of which one is a landmark.
-SPAN, LANDMARK = 16, 6
+#: Frames that one code sees.
+SPAN = 16
 #: Pitches of equal temperament that chroma folds: from A2 to A6.
 LOWEST, HIGHEST = 110.0, 1760.0
 QUERY_STEP = 50
 #: Semitones of the eight notes.
 SCALE = np.array([0, 2, 3, 5, 7, 8, 10, 11])
 LEAST_OVERLAP, MOST_ERRORS = 32, 0.2
+#: Codes of one block of recordings that are compared together.
+BLOCK = 1 << 16
 
 
 def filters() -> list[tuple[int, int, int, int, int]]:
@@ -105,29 +105,54 @@ def fingerprints(recordings: DataFrame, media: str = "media") -> DataFrame:
     return recordings.select("rec_id", media).mapInArrow(run, "rec_id long, codes array<int>")
 
 
-def landmarks(code: np.ndarray) -> np.ndarray:
-    """Places of the codes whose hash is least among LANDMARK neighbours: two recordings with so many equal codes in a row share one."""
-    h = mix(code.view(np.uint32).astype(np.uint64))
-    if not len(h):
-        return np.zeros(0, np.int64)
-    width = min(LANDMARK, len(h))
-    least = sliding_min(h, width)
-    return np.unique([i + int(np.argmin(h[i : i + width])) for i in range(len(least)) if i == 0 or least[i] != least[i - 1] or h[i + width - 1] == least[i]])
+def least_errors(a: np.ndarray, b: np.ndarray, most_errors: float = MOST_ERRORS) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of a against rows of b, at every offset: the least share of different bits (2 where no offset is within most_errors) and its offset, the least on ties.
 
-
-def bit_errors(a: np.ndarray, b: np.ndarray, offset: int) -> tuple[float, int]:
-    """The share of different bits where a, moved on by offset, lies over b; and how many codes overlap."""
-    start, end = max(0, offset), min(len(a), len(b) + offset)
-    if end <= start:
-        return 1.0, 0
-    x = a[start:end].view(np.uint32) ^ b[start - offset : end - offset].view(np.uint32)
-    return float(np.bitwise_count(x).mean() / 32), end - start
-
-
-@F.pandas_udf(DoubleType())
-def errors_of(a: pd.Series, b: pd.Series, offset: pd.Series) -> pd.Series:
-    found = [bit_errors(np.asarray(x, np.int32), np.asarray(y, np.int32), int(o)) for x, y, o in zip(a, b, offset, strict=True)]
-    return pd.Series([e if n >= min(LEAST_OVERLAP, len(x), len(y)) else 1.0 for (e, n), x, y in zip(found, a, b, strict=True)], dtype=float)
+    The offset is by how many places a lies ahead; at least LEAST_OVERLAP codes overlap, or all of the shorter one.
+    With bits as -1 and 1, d different bits are a squared distance of 4 d, and sums of three codes in a row, over the root of three,
+    lie no farther apart: where these are too far already, the bits need no counting. So the screen loses no pair.
+    """
+    share, where = np.full((len(a), len(b)), 2.0), np.zeros((len(a), len(b)), np.int32)
+    la, lb = a.shape[1], b.shape[1]
+    least = min(LEAST_OVERLAP, la, lb)
+    sums = []
+    for z in (a, b):
+        bits = np.unpackbits(np.ascontiguousarray(z).view(np.uint8), axis=1).reshape(*z.shape, 32).astype(np.float32) * 2 - 1
+        total = np.zeros((len(z), max(z.shape[1] - 2, 0), 32), np.float32)
+        for i in range(3):
+            total += bits[:, i : i + total.shape[1]]
+        sums.append(total)
+    for offset in range(least - lb, la - least + 1):
+        start, end = max(0, offset), min(la, lb + offset)
+        n = end - start
+        x, y = (t[:, s : s + n // 3 * 3 : 3].reshape(len(t), -1) for t, s in zip(sums, (start, start - offset), strict=True))
+        size = [(z * z).sum(axis=1, keepdims=True) for z in (x, y)]
+        x, y = np.hstack((-2 * x, np.ones_like(size[0]), size[0])), np.hstack((y, size[1], np.ones_like(size[1])))
+        most = 12 * most_errors * 32 * n * 1.0001 + 1
+        for i in range(0, len(a), 64):
+            row, column = np.divmod(np.flatnonzero(x[i : i + 64] @ y.T <= most), len(b))
+            row += i
+            errors = np.bitwise_count(a[row, start:end] ^ b[column, start - offset : end - offset]).sum(axis=1, dtype=np.int64) / (32 * n)
+            better = (errors <= most_errors) & (errors < share[row, column])
+            share[row[better], column[better]], where[row[better], column[better]] = errors[better], offset
+    return share, where
+
+
+def _by_length(side: pa.StructArray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places in side and codes, as a matrix, of the recordings of each length."""
+    codes = side.field("codes")
+    flat, start = codes.flatten().to_numpy().view(np.uint32), np.concatenate(([0], np.cumsum(codes.value_lengths().to_numpy())))
+    length = np.diff(start)
+    for n in np.unique(length):
+        at = np.flatnonzero(length == n)
+        yield at, flat[start[at][:, None] + np.arange(n)]
+
+
+def _blocks(rows: DataFrame, name: str, *columns: str) -> DataFrame:
+    """rows as lists, in one column, of about BLOCK codes together."""
+    n = 1 + (rows.agg(F.sum(F.size("codes"))).first()[0] or 0) // BLOCK
+    block = F.pmod(F.xxhash64("k"), F.lit(n)).alias("block")
+    return stored(rows.select(block, F.struct(*columns).alias("side")).repartition(n, "block").groupBy("block").agg(F.collect_list("side").alias(name)).select(name), f"audio-{name}")
 
 
 def align(prints: DataFrame, query_step: int = QUERY_STEP, most_errors: float = MOST_ERRORS) -> DataFrame:
@@ -135,8 +160,9 @@ def align(prints: DataFrame, query_step: int = QUERY_STEP, most_errors: float =
 
     Columns: rec_id, class_id (the least id with the same codes), n_codes, n_matches (query classes, other than its own, that align),
     best_query (the query with the fewest bit errors, then the least id), best_offset (places by which the query lies ahead) and best_errors.
-    Recordings with equal codes are one class, compared once. Classes meet over landmarks with equal codes; the offset with the most
-    hits wins (then the least), and is verified by its bit errors over at least LEAST_OVERLAP codes.
+    Recordings with equal codes are one class, compared once. Every query meets every class at every offset with at least LEAST_OVERLAP
+    codes in common, in blocks; the offset with the fewest bit errors wins (then the least). No index stands before it: a pair with
+    most_errors of its bits changed need not share one code, nor a run of five bits of one.
     Recordings without codes match nothing; a null rec_id is never a query; an empty table gives an empty one.
     """
     prints = stored(prints, "audio-prints")
@@ -146,23 +172,19 @@ def align(prints: DataFrame, query_step: int = QUERY_STEP, most_errors: float =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, query_ids, code, place = [], [], [], []
-            for k, q, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-                values = c.values.to_numpy()
-                at = landmarks(values)
-                keys += [k] * len(at)
-                query_ids += [q] * len(at)
-                code += values[at].tolist()
-                place += at.tolist()
-            yield pa.record_batch([pa.array(keys, pa.int64()), pa.array(query_ids, pa.int64()), pa.array(code, pa.int32()), pa.array(place, pa.int32())], ["k", "query_id", "code", "place"])
-
-    marks = stored(classes.select("k", "query_id", "codes").mapInArrow(run, "k long, query_id long, code int, place int"), "audio-marks")
-    asked = marks.where("query_id is not null").select(F.col("k").alias("q"), "query_id", "code", F.col("place").alias("place_q"))
-    hits = asked.join(marks.select("k", "code", "place"), "code").where("q <> k")
-    offsets = hits.groupBy("q", "query_id", "k", (F.col("place_q") - F.col("place")).alias("offset")).count()
-    best = offsets.groupBy("q", "query_id", "k").agg(F.max(F.struct("count", (-F.col("offset")).alias("back"))).alias("top")).select("q", "query_id", "k", (-F.col("top.back")).alias("offset"))
-    sides = best.join(classes.select("k", "codes"), "k").join(classes.select(F.col("k").alias("q"), F.col("codes").alias("codes_q")), "q")
-    good = sides.withColumn("errors", errors_of("codes_q", "codes", "offset")).where(F.col("errors") <= most_errors)
+            for r in range(batch.num_rows):
+                asked, other = (batch.column(c).slice(r, 1).flatten() for c in (0, 1))
+                parts = list(_by_length(other))
+                for at, a in _by_length(asked):
+                    for to, b in parts:
+                        errors, offset = least_errors(a, b, most_errors)
+                        x, y = np.nonzero(errors <= 1)
+                        q, k = asked.take(pa.array(at[x])), other.field("k").take(pa.array(to[y]))
+                        yield pa.record_batch([q.field("k"), q.field("query_id"), k, pa.array(offset[x, y]), pa.array(errors[x, y])], ["q", "query_id", "k", "offset", "errors"])
+
+    asked = _blocks(classes.where("query_id is not null"), "asked", "k", "query_id", "codes")
+    others = _blocks(classes, "others", "k", "codes")
+    good = asked.crossJoin(others).mapInArrow(run, "q long, query_id long, k long, offset int, errors double").where("q <> k")
     found = good.groupBy("k").agg(F.count("*").alias("n_matches"), F.min(F.struct("errors", "query_id", "offset")).alias("best"))
     told = stored(classes.join(found, "k", "left").select("k", "class_id", F.coalesce("n_matches", F.lit(0)).cast("long").alias("n_matches"), F.col("best.query_id").alias("best_query"), F.col("best.offset").cast("int").alias("best_offset"), F.col("best.errors").alias("best_errors")), "audio-told")
     rows = prints.withColumn("n_codes", F.size("codes")).withColumn("k", F.when(F.size("codes") > 0, F.xxhash64("codes"))).drop("codes")

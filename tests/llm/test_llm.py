@@ -122,6 +122,32 @@ def test_op3_recordings_align(spark):
     assert audio.align(audio.fingerprints(broken.limit(0))).count() == 0
 
 
+def test_op3_finds_what_all_offsets_give(spark):
+    r = np.random.default_rng(8)
+    tunes = r.normal(size=(12, 64))
+    rows = [(50 * i, v) for i, v in enumerate(tunes)]
+    for i, v in enumerate(tunes):
+        for k in range(1, 16):  # so many changed notes that few codes, if any, stay equal; some copies are also shifted
+            changed, shift = v.reshape(-1, 2).copy(), k % 3 * 4
+            changed[r.choice(32, 2 + k % 5, False), k % 2] *= -1
+            rows.append((50 * i + k, np.concatenate((changed.reshape(-1)[2 * shift :], r.normal(size=2 * shift)))))
+        rows.append((50 * i + 20, v[: 8 * i]))
+    prints = audio.fingerprints(audio.rendered(spark.createDataFrame([(i, v.tolist()) for i, v in rows], "vec_id long, embedding array<float>")))
+    codes = {x.rec_id: np.array(x.codes, np.int64) & 0xFFFFFFFF for x in prints.collect()}
+
+    def errors(a: np.ndarray, b: np.ndarray) -> float:
+        found = [1.0]
+        for offset in range(-len(b), len(a) + 1):
+            both = range(max(0, offset), min(len(a), len(b) + offset))
+            if both and len(both) >= min(32, len(a), len(b)):
+                found.append(np.bitwise_count(a[both.start : both.stop] ^ b[both.start - offset : both.stop - offset]).sum() / (32 * len(both)))
+        return min(found)
+
+    n = Counter(k for q in range(0, 600, 50) for k in codes if len(codes[k]) and codes[k].tolist() != codes[q].tolist() and errors(codes[q], codes[k]) <= 0.2)
+    got = {x.rec_id: x.n_matches for x in audio.align(prints).collect()}
+    assert got == {k: n[k] for k in codes} and sum(n.values()) > 60
+
+
 def test_op4_held_out_accuracy_and_awkward_rows(spark, awkward, empty):
     bad, n = ["zlorg", "vexum", "grimp"], 900
     rows = [(i, prose(i, 40) + (f" {bad[i % 3]}{'ab'[i % 2]} " if i % 5 == 0 else " ") + prose(i + 10**6, 20)) for i in range(n)]
