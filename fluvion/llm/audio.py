@@ -33,15 +33,17 @@ def filters() -> list[tuple[int, int, int, int, int]]:
 
 
 def chroma(samples: np.ndarray, rate: int) -> np.ndarray:
-    """Frames by 12: the share of each pitch class, from Hann-windowed spectra."""
-    if len(samples) < FRAME:
-        return np.zeros((0, 12))
-    at = np.arange(0, len(samples) - FRAME + 1, HOP)[:, None] + np.arange(FRAME)
-    power = np.abs(np.fft.rfft(samples[at] * np.hanning(FRAME), axis=1)) ** 2
-    frequency = np.fft.rfftfreq(FRAME, 1 / rate)
+    """Frames by 12: the share of each pitch class, from Hann-windowed spectra. A frame and a hop last as long at every rate as FRAME and HOP samples at RATE."""
+    size = max(1, round(FRAME * rate / RATE))
+    n = int((len(samples) - size) * RATE / (HOP * rate)) + 1 if rate > 0 and len(samples) >= size else 0
+    frequency = np.arange(size // 2 + 1) * (RATE / FRAME)
     heard = (frequency >= LOWEST) & (frequency <= min(HIGHEST, rate / 2))
     pitch = np.round(12 * np.log2(frequency[heard] / 440)).astype(int) % 12
-    out = np.stack([power[:, heard][:, pitch == c].sum(axis=1) for c in range(12)], axis=1)
+    out = np.zeros((n, 12))
+    for i in range(0, n, 256):  # so many frames at once, for long recordings
+        at = np.floor(np.arange(i, min(i + 256, n)) * (HOP * rate / RATE)).astype(int)[:, None] + np.arange(size)
+        power = np.abs(np.fft.rfft(samples[at] * np.hanning(size), axis=1)) ** 2
+        out[i : i + 256] = np.stack([power[:, heard][:, pitch == c].sum(axis=1) for c in range(12)], axis=1)
     return out / (out.sum(axis=1, keepdims=True) + 1e-9)
 
 
@@ -87,6 +89,10 @@ def decode(media: bytes | None) -> tuple[np.ndarray, int]:
     try:
         with wave.open(io.BytesIO(media or b"")) as f:
             width, channels, data = f.getsampwidth(), f.getnchannels(), f.readframes(f.getnframes())
+            if width == 3:  # as the upper bytes of 32 bits
+                wide = np.zeros((len(data) // 3, 4), np.uint8)
+                wide[:, 1:] = np.frombuffer(data, np.uint8).reshape(-1, 3)
+                width, data = 4, wide.tobytes()
             kind = {1: np.uint8, 2: np.int16, 4: np.int32}[width]
             x = np.frombuffer(data, kind).astype(float).reshape(-1, channels).mean(axis=1)
             return x - (128 if width == 1 else 0), f.getframerate()

@@ -1,7 +1,9 @@
 """Each operator against brute force, exact round trips or held-out accuracy, and on awkward tables."""
 
 import hashlib
+import io
 import random
+import wave
 import zlib
 from collections import Counter, defaultdict
 
@@ -148,6 +150,29 @@ def test_op3_finds_what_all_offsets_give(spark):
     assert got == {k: n[k] for k in codes} and sum(n.values()) > 60
 
 
+def test_op3_rates_widths_and_shifts_align():
+    notes = audio.SCALE[np.random.default_rng(3).integers(0, 8, 60)]
+
+    def recorded(rate: int, width: int, lead: float) -> np.ndarray:
+        t = np.arange(int(rate * (len(notes) * 0.128 + lead))) / rate - lead
+        x = np.where(t < 0, 0, np.sin(2 * np.pi * 220 * 2 ** (notes[np.clip(t // 0.128, 0, len(notes) - 1).astype(int)] / 12) * t))
+        full = np.round(x * (2 ** (8 * width - 1) - 1)).astype("<i4").view(np.uint8).reshape(-1, 4)[:, :width]
+        file = io.BytesIO()
+        with wave.open(file, "wb") as f:
+            f.setnchannels(1)
+            f.setsampwidth(width)
+            f.setframerate(rate)
+            f.writeframes(full.tobytes())
+        return audio.codes(audio.chroma(*audio.decode(file.getvalue())))[None]
+
+    first = recorded(2000, 2, 0)
+    for rate in (8000, 11025, 16000, 44100, 48000):
+        for width, lead in ((2, 0), (3, 0), (2, 0.016), (3, 0.032), (2, 0.1)):
+            errors, offset = audio.least_errors(first, recorded(rate, width, lead))
+            assert errors[0, 0] < (0.15 if lead else 0.02) and abs(offset[0, 0] + lead / 0.064) <= 0.6
+    assert audio.chroma(np.ones(10), 0).shape == audio.chroma(np.ones(10), 8000).shape == (0, 12)
+
+
 def test_op4_held_out_accuracy_and_awkward_rows(spark, awkward, empty):
     bad, n = ["zlorg", "vexum", "grimp"], 900
     rows = [(i, prose(i, 40) + (f" {bad[i % 3]}{'ab'[i % 2]} " if i % 5 == 0 else " ") + prose(i + 10**6, 20)) for i in range(n)]
