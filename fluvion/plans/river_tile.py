@@ -1,22 +1,25 @@
-"""Pixels to river nodes and reaches: the whole chain on one plan."""
+"""Pixels to river nodes and reaches on one plan; the README says which steps the chain leaves out."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import quality
 from ..operators import aggregates as A
+from ..operators import assign as channel
 from ..operators import fits, joins
 
-#: Pixels farther than this across the flow (m) belong to no node.
-MAX_CROSS = 80.0
+#: Pixels farther than this across the flow (m) belong to no node: half the default width of the channel, 600 m.
+MAX_CROSS = 300.0
 
 
 def assign(pixels: DataFrame, vertices: DataFrame, spacing: float, max_cross: float = MAX_CROSS) -> DataFrame:
     """Each pixel with its nearest vertex and s and n offsets, within the channel and of exactly one reach."""
-    met = joins.nearest_vertex(pixels.select("point_id", "x", "y"), vertices, cell=2 * max(spacing, max_cross))
-    near = met.where((F.abs("n") <= max_cross) & (F.abs("s") <= 3 * spacing))
+    met = joins.nearest_vertex(pixels.select("point_id", "x", "y"), vertices, cell=math.hypot(max_cross, 3 * spacing))
+    near = met.where(channel.in_channel(F.col("s"), F.col("n"), F.lit(2 * max_cross), F.lit(spacing)))
     return pixels.join(near, "point_id").join(vertices.select("vertex_id", "reach_id", "node_id"), "vertex_id")
 
 

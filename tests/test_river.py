@@ -35,6 +35,15 @@ def test_river_has_its_slope_and_outlier(spark):
     assert out[41].slope is None and out[41].reach_q == 3 and out[41].obs_frac == 0
 
 
+def test_wide_rivers_keep_their_pixels_wherever_cells_begin(spark):
+    offsets = [(-550.0, 0.0), (-550.0, 250.0), (0.0, 299.0), (100.0, -299.0), (-650.0, 0.0), (0.0, 301.0), (100.0, -301.0)]
+    for origin in (0.0, 130.0, 333.0, 520.0):
+        v = synthetic.vertices(spark, 1).withColumn("x", F.col("x") + origin)
+        p = spark.createDataFrame([(i, origin + x, y) for i, (x, y) in enumerate(offsets)], "point_id long, x double, y double")
+        kept = {r.point_id for r in river_tile.assign(p, v, synthetic.SPACING).collect()}
+        assert kept == {0, 1, 2, 3}
+
+
 def test_spline_reproduces_cubic():
     s = np.linspace(0, 3, 7)
     v, d = fits.cubic(s, s**3 - s, np.array([0.1, 1.7, 2.9]))
