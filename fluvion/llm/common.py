@@ -5,8 +5,11 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from functools import lru_cache
+from weakref import WeakKeyDictionary
 
 import numpy as np
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +28,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@lru_cache(maxsize=1)
+def _own_folder() -> str:
+    return "file://" + tempfile.mkdtemp(prefix="checkpoint-")
+
+
+def _filesystem(spark: SparkSession, path: str):
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the folder that all executors share (spark.checkpoint.dir).
 
@@ -34,20 +47,44 @@ def scratch(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _own_folder()
     path = f"{base}/{name}-{uuid.uuid4().hex}"
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    files, hadoop = _filesystem(spark, path)
+    files.deleteOnExit(hadoop)
     return path
 
 
+_PATHS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """df as a written table: cuts the lineage, survives lost executors and fixes the rows for later passes."""
     spark = df.sparkSession
     path = scratch(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _PATHS[out] = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables of stored() that nothing yet to run reads."""
+    for t in tables:
+        if path := _PATHS.pop(t, None):
+            files, hadoop = _filesystem(t.sparkSession, path)
+            files.delete(hadoop, True)
+
+
+def keyed(docs: DataFrame, name: str) -> DataFrame:
+    """docs with a long key of each row's file and place there: rows equal in all columns get keys of their own, the same in every pass.
+
+    A table that isn't read straight from files is stored first.
+    """
+    place = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+    try:
+        return docs.withColumn(name, place)
+    except AnalysisException:
+        return stored(docs, "keyed").withColumn(name, place)
 
 
 def numbered(df: DataFrame, name: str = "row_key") -> DataFrame:
@@ -159,24 +196,38 @@ def components(edges: DataFrame, name: str = "components", rounds: int = 60) ->
     """(node, component): the least node that each node of edges (a, b) reaches. Nodes without an edge get no row.
 
     Large-star and small-star steps in turn; every step is an aggregate and a join, so a node with many
-    edges is never gathered in one place. Each round is a written table.
+    edges is never gathered in one place. Each round is a written table; the one before it is deleted. Paths halve in every round, so
+    a graph that is not done after rounds rounds raises an error.
     """
     e = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), name)
 
     def star(pairs: DataFrame) -> DataFrame:
-        low = stored(pairs.groupBy("u").agg(F.min("v").alias("m")), f"{name}-low")
-        return pairs.join(low, "u")
+        return pairs.join(pairs.groupBy("u").agg(F.min("v").alias("m")), "u")
 
     mark = None
     for _ in range(rounds):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = star(both).where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v")).where("u <> v").distinct()
-        large = stored(large, f"{name}-large")
+        large = stored(star(both).where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v")).where("u <> v").distinct(), f"{name}-large")
         small = star(large)
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        e = stored(small, name)
+        small = stored(small, name)
+        discard(e, large)
+        e = small
         seen = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if seen == mark:
-            break
+            return e.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
         mark = seen
-    return e.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    raise RuntimeError(f"components: not done after {rounds} rounds")
+
+
+def union(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Joins the sets of a[k] and b[k] for every k, in place: root holds the least member of each place's set."""
+    while True:
+        x, y = root[a], root[b]
+        apart = x != y
+        if not apart.any():
+            return
+        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while (root[root] != root).any():
+            root[:] = root[root]

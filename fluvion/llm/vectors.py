@@ -2,27 +2,28 @@
 
 from __future__ import annotations
 
-import itertools
 import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
-from .common import components, stored
+from .common import components, discard, stored, union
 
 COSINE = 0.95
-#: The index's sample: this many pivots for each square root of the number of distinct vectors, within bounds.
-PIVOTS_PER_ROOT, LEAST_PIVOTS, MOST_PIVOTS = 2.5, 16, 8192
-#: Nearest pivots that describe a vector; candidates share two of them.
-NEAREST = 6
+#: The index's sample: this many vectors for each square root of the number of distinct vectors, within bounds. Pivots are those of the sample
+#: that are not within SEPARATION of an earlier one: two pivots in one dense cluster would only cut it in halves.
+PIVOTS_PER_ROOT, LEAST_PIVOTS, MOST_PIVOTS = 1.2, 16, 32_768
+SEPARATION = 0.7
+#: Nearest pivots that describe a vector; candidates share SHARED of them.
+NEAREST, SHARED = 6, 2
+#: A vector stands in the lists of so many of its nearest pivots.
+LISTS = 3
 #: Rows of a list that are compared in one piece.
-BLOCK = 256
-
-EXCHANGED = "list long, block_x long, block_y long"
+BLOCK = 4096
 
 
 def usable(embedding: str = "embedding"):
@@ -31,142 +32,133 @@ def usable(embedding: str = "embedding"):
     return F.col(embedding).isNotNull() & F.coalesce(finite, F.lit(False)) & F.exists(embedding, lambda x: x != 0)
 
 
-def matrix(column: pa.Array) -> np.ndarray:
+def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     """Rows of equal length, scaled to length 1 in double precision."""
-    x = np.stack([np.asarray(v, np.float64) for v in column.to_numpy(zero_copy_only=False)])
-    x /= np.abs(x).max(axis=1, keepdims=True)
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    x = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
+    x = x / np.abs(x).max(axis=1, keepdims=True)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def describe(classes: DataFrame, pivots: dict[int, np.ndarray], nearest: int = NEAREST) -> DataFrame:
-    """(list, node, copies, permutation, embedding): each vector once for every pair of its nearest pivots.
+def choose_pivots(sample: pa.Array | pa.ChunkedArray, separation: float = SEPARATION) -> dict[int, tuple[int, np.ndarray]]:
+    """Of each dimension, the number of its first pivot and the pivots, in the sample's order and none near an earlier one."""
+    sample = sample.combine_chunks() if isinstance(sample, pa.ChunkedArray) else sample
+    lengths = sample.value_lengths().to_numpy(zero_copy_only=False)
+    out, first = {}, 0
+    for size in np.unique(lengths).tolist():
+        x = matrix(sample.take(pa.array(np.flatnonzero(lengths == size))))
+        kept = np.zeros(len(x), bool)
+        for k in range(len(x)):
+            kept[k] = not kept[:k].any() or (x[:k][kept[:k]] @ x[k]).max() < separation
+        out[size] = (first, x[kept])
+        first += int(kept.sum())
+    return out
 
-    permutation holds the nearest pivots, nearest first. Vectors of a dimension without pivots share one list.
-    """
+
+def describe(classes: DataFrame, pivots: dict[int, tuple[int, np.ndarray]], nearest: int = NEAREST) -> DataFrame:
+    """Each vector with its permutation: its nearest pivots, nearest first. Vectors of a dimension without pivots share one of their own."""
     held = classes.sparkSession.sparkContext.broadcast(pivots)  # at most MOST_PIVOTS vectors
+    names = classes.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for begin in range(0, len(whole), 1000):
                 batch = whole.slice(begin, 1000)
-                sizes = np.array([len(v) for v in batch.column("embedding")])
-                for size in np.unique(sizes):
+                sizes = batch.column("embedding").value_lengths().to_numpy(zero_copy_only=False)
+                for size in np.unique(sizes).tolist():
                     rows = batch.take(pa.array(np.flatnonzero(sizes == size)))
-                    centres = held.value.get(int(size), np.zeros((0, size)))
-                    order = np.argsort(-(matrix(rows.column("embedding")) @ centres.T), axis=1, kind="stable")[:, :nearest]
-                    low = np.sort(order, axis=1)
-                    pairs = list(itertools.combinations(range(low.shape[1]), 2))
-                    keys = np.column_stack([low[:, a] * MOST_PIVOTS + low[:, b] for a, b in pairs]) if pairs else np.full((len(rows), 1), -1)
-                    repeat = pa.array(np.repeat(np.arange(len(rows)), keys.shape[1]))
-                    out = rows.take(repeat)
-                    permutation = pa.array([p.tolist() for p in order], pa.list_(pa.int32())).take(repeat)
-                    yield pa.record_batch([pa.array(keys.reshape(-1) * 100_003 + int(size), pa.int64()), out.column("node"), out.column("copies"), permutation, out.column("embedding")], ["list", "node", "copies", "permutation", "embedding"])
-
-    return classes.select("node", "copies", "embedding").mapInArrow(run, "list long, node long, copies long, permutation array<int>, embedding array<float>")
-
-
-def first_shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The least pair of pivots that two descriptions (rows, sorted) share."""
-    same = (a[:, :, None] == b[:, None, :]).any(axis=2)
-    first = same.argmax(axis=1)
-    rows = np.arange(len(a))
-    same[rows, first] = False
-    return a[rows, first] * MOST_PIVOTS + a[rows, same.argmax(axis=1)]
-
-
-def compare(frame: pd.DataFrame, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Links of one pair of blocks: nodes and how many others each gains, and the edges of a forest that connects them."""
-    side = frame.side.to_numpy()
-    x = matrix(pa.array(frame.embedding))
-    low = np.sort(np.stack(frame.permutation.to_numpy()).reshape(len(frame), -1), axis=1).astype(np.int64)
+                    first, centres = held.value.get(size, (-1 - size, None))
+                    if centres is None:
+                        order = np.full((len(rows), 1), first)
+                    else:
+                        order = first + np.argsort(-(matrix(rows.column("embedding")) @ centres.T), axis=1, kind="stable")[:, :nearest]
+                    flat = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1) * order.shape[1], pa.int32()), pa.array(order.reshape(-1), pa.int32()))
+                    yield pa.record_batch([*rows.columns, flat], [*names, "permutation"])
+
+    return classes.mapInArrow(run, classes.withColumn("permutation", F.lit(None).cast("array<int>")).schema)
+
+
+def compare(key: int, rows: pa.Table, cosine: float, lists: int = LISTS, shared: int = SHARED) -> tuple[np.ndarray, np.ndarray]:
+    """Of one pair of blocks of the list key (sides 0 and 1, or 0 alone): how many others each row gains, and for each the least row of those it is linked to.
+
+    Candidates are pairs of which at least one is at home in the list (its nearest pivot is the list's) that share enough pivots, by the
+    product of the rows' incidence with pivots; their cosines are verified. A pair that meets in two lists counts in the first.
+    """
+    n, side = len(rows), rows["side"].to_numpy()
+    x = matrix(rows["embedding"])
+    order = rows["permutation"].combine_chunks().flatten().to_numpy().reshape(n, -1)
+    home, copies = order[:, 0], rows["copies"].to_numpy()
+    local, at = np.unique(order, return_inverse=True)
+    has = np.zeros((n, len(local)), np.float32)
+    has[np.arange(n)[:, None], at.reshape(n, -1)] = 1
+    gain, root = np.zeros(n, np.int64), np.arange(n)
     left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
     alone = not len(right)
-    i, j = np.nonzero(x[left] @ x[left if alone else right].T >= cosine)
-    i, j = left[i], (left if alone else right)[j]
-    keep = i < j if alone else np.ones(len(i), bool)
-    i, j = i[keep], j[keep]
-    key = int(frame.list.iloc[0]) // 100_003
-    if key >= 0 and len(i):  # a pair is counted in the first list that both are in
-        keep = np.concatenate([first_shared(low[i[k : k + 20000]], low[j[k : k + 20000]]) == key for k in range(0, len(i), 20000)])
-        i, j = i[keep], j[keep]
-    copies, node = frame.copies.to_numpy(), frame.node.to_numpy()
-    gain = np.bincount(i, copies[j], len(frame)) + np.bincount(j, copies[i], len(frame))
-    root = np.arange(len(frame))
-    while True:
-        before = root.copy()
-        np.minimum.at(root, i, root[j])
-        np.minimum.at(root, j, root[i])
-        if (before == root).all():
-            break
-    hit = np.flatnonzero(gain)
-    return node[hit], gain[hit].astype(np.int64), node[hit], node[root[hit]]
-
-
-def near_vectors(vectors: DataFrame, cosine: float = COSINE, nearest: int = NEAREST) -> DataFrame:
+    right = left if alone else right
+    least = min(shared, order.shape[1])
+    for begin in range(0, len(left), 256):
+        a = left[begin : begin + 256]
+        candidates = (has[a] @ has[right].T >= least) & ((home[a] == key)[:, None] | (home[right] == key)[None, :])
+        i, j = np.nonzero(candidates & (x[a] @ x[right].T >= cosine))
+        i, j = a[i], right[j]
+        if alone:
+            i, j = i[i < j], j[i < j]
+        # of a pair with two homes the one at home here may also stand in the other's list
+        host, guest = np.where(home[i] == key, i, j), np.where(home[i] == key, j, i)
+        other = home[guest]
+        there = (order[host, :lists] == other[:, None]).any(axis=1) & (other < key)
+        i, j = i[~there], j[~there]
+        gain += np.bincount(i, copies[j], n).astype(np.int64) + np.bincount(j, copies[i], n).astype(np.int64)
+        union(root, i, j)
+    return gain, root
+
+
+def near_vectors(vectors: DataFrame, cosine: float = COSINE, nearest: int = NEAREST, lists: int = LISTS, block: int = BLOCK) -> DataFrame:
     """vec_id, n_links, component_id and kept of every vector.
 
-    Vectors are linked if their cosine, in double precision, is at least cosine. A sample of vectors, the first by a hash, serves as
-    pivots; it grows with the root of the number of distinct vectors and is at most MOST_PIVOTS. Every vector is described by its nearest
-    pivots in order and stands in an inverted list for each pair of them, so that two vectors meet if they share two; a pair is
-    verified in the first list that both stand in. Lists are compared in pairs of blocks, which give counts and the edges of a
+    Vectors are linked if their cosine, in double precision, is at least cosine. A sample of vectors, the first by a hash, gives the
+    pivots; it grows with the root of the number of distinct vectors and is at most MOST_PIVOTS, so that beyond 700 million distinct
+    vectors lists grow with their number. Every vector is described by its nearest pivots in order, the first of which is its home, and stands in the
+    inverted lists of the first lists of them. Two vectors meet in a list that is home to one of them; if they share SHARED of their
+    nearest pivots, their cosine is verified. Lists are compared in pairs of blocks, which give counts and the edges of a
     forest, never their pairs. Equal vectors are one class and are expanded nowhere.
     Null vectors, vectors of zeros and those with null or non-finite components link with nothing; so do vectors of different
-    dimensions. Rows with equal ids are different vectors. A null vec_id counts as the largest; kept is false for it.
-    Labels and other columns are ignored; an empty table gives an empty one.
+    dimensions. Rows with equal ids are different vectors, linked or not by their components alone. A null vec_id counts as the largest; kept is
+    false for it. Labels and other columns are ignored; an empty table gives an empty one.
     """
-    rows = vectors.select("vec_id", F.col("embedding").cast("array<float>").alias("embedding"), F.xxhash64("embedding").alias("k"))
-    good = rows.where(usable())
-    classes = good.groupBy("k", "embedding").agg(F.min("vec_id").alias("least_id"), F.count("*").alias("copies"))
-    # a class without an id is a node by its hash
-    classes = stored(classes.withColumn("node", F.coalesce("least_id", "k")), "vector-classes")
-    total = classes.count()
-    wanted = min(MOST_PIVOTS, max(LEAST_PIVOTS, math.ceil(PIVOTS_PER_ROOT * math.sqrt(total))))
-    sample = classes.orderBy(F.xxhash64(F.lit("pivot"), "node"), "node").limit(wanted).select("embedding").toPandas().embedding
-    by_size: dict[int, list] = {}
-    for v in sample:
-        by_size.setdefault(len(v), []).append(v)
-    pivots = {n: matrix(pa.array(v)) for n, v in by_size.items()}
-
-    lists = stored(describe(classes, pivots, nearest), "vector-lists")
-    sizes = lists.groupBy("list").agg(F.count("*").alias("members")).where("members > 1")
-    blocks = F.ceil(F.col("members") / BLOCK).cast("long")
-    dealt = lists.join(stored(sizes, "vector-sizes").withColumn("blocks", blocks), "list").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    kind = vectors.schema["embedding"].dataType
+    kind = "array<double>" if isinstance(kind, ArrayType) and isinstance(kind.elementType, DoubleType) else "array<float>"
+    rows = vectors.select("vec_id", F.col("embedding").cast(kind).alias("embedding"))
+    good = rows.where(usable()).withColumns({"k1": F.xxhash64("embedding"), "k2": F.xxhash64(F.lit("second"), "embedding")})
+    classes = good.groupBy("k1", "k2").agg(F.min("vec_id").alias("least_id"), F.count("*").alias("copies"), F.first("embedding").alias("embedding"))
+    classes = stored(classes.withColumn("node", F.monotonically_increasing_id()), "vector-classes")  # numbers are fixed by the write
+    wanted = min(MOST_PIVOTS, max(LEAST_PIVOTS, math.ceil(PIVOTS_PER_ROOT * math.sqrt(classes.count()))))
+    sample = classes.orderBy(F.xxhash64(F.lit("pivot"), "k1"), "k2").limit(wanted).select("embedding").toArrow()
+    described = stored(describe(classes, choose_pivots(sample["embedding"]), nearest), "vector-described")
+    discard(classes)
+
+    listed = described.withColumn("list", F.explode(F.slice("permutation", 1, lists)))
+    sizes = stored(listed.groupBy("list").agg(F.ceil(F.count("*") / block).cast("long").alias("blocks")), "vector-sizes")
+    dealt = listed.join(sizes, "list").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
     # a block meets every block of its list once: as the left one those from itself on, as the right one those before it
     meets = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     sided = meets.select(
-        "list", F.least("block", "other").alias("block_x"), F.greatest("block", "other").alias("block_y"), F.when(F.col("block") <= F.col("other"), 0).otherwise(1).alias("side"), "node", "copies", "permutation", "embedding"
-    )
+        "list", F.least("block", "other").cast("int").alias("block_x"), F.greatest("block", "other").cast("int").alias("block_y"), F.when(F.col("block") <= F.col("other"), 0).otherwise(1).alias("side"), "node", "copies", "permutation", "embedding"
+    )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pd.DataFrame] = []
-
-        def done(frame: pd.DataFrame) -> pa.RecordBatch:
-            parts = [compare(part, cosine) for _, part in frame.groupby(["list", "block_x", "block_y"], sort=False) if len(part) > 1]
-            columns = [np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, np.int64) for k in range(4)]
-            found = pd.DataFrame({"node": columns[0], "gain": columns[1], "root": columns[3]}).groupby(["node", "root"], as_index=False).gain.sum()
-            return pa.RecordBatch.from_pandas(found[["node", "root", "gain"]].astype("int64"), preserve_index=False)
-
-        for batch in batches:
-            frame = batch.to_pandas()
-            if not len(frame):
-                continue
-            last = frame.iloc[-1]
-            ends = int(((frame.list != last.list) | (frame.block_x != last.block_x) | (frame.block_y != last.block_y)).to_numpy().nonzero()[0].max(initial=-1)) + 1
-            if ends:
-                yield done(pd.concat([*held, frame[:ends]]))
-                held = []
-            held.append(frame[ends:])
-        if held:
-            yield done(pd.concat(held))
-
-    sorted_rows = sided.repartition("list", "block_x", "block_y").sortWithinPartitions("list", "block_x", "block_y")
-    linked = stored(sorted_rows.mapInArrow(run, "node long, root long, gain long"), "vector-links")
+    def run(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
+        gain, root = compare(key[0].as_py(), group, cosine, lists)
+        hit, node = np.flatnonzero(gain), group["node"].to_numpy()
+        return pa.table({"node": node[hit], "root": node[root[hit]], "gain": gain[hit]})
+
+    linked = stored(sided.groupBy("list", "block_x", "block_y").applyInArrow(run, "node long, root long, gain long"), "vector-links")
     found = components(linked.select(F.col("node").alias("a"), F.col("root").alias("b")), "vector-components")
     gains = linked.groupBy("node").agg(F.sum("gain").alias("gain"))
-    nodes = classes.join(gains, "node", "left").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    nodes = stored(nodes.withColumn("n_links", F.coalesce("gain", F.lit(0)) + F.col("copies") - 1), "vector-nodes")
+    nodes = described.select("node", "k1", "k2", "least_id", "copies").join(gains, "node", "left").join(found, "node", "left")
+    nodes = nodes.withColumn("component", F.coalesce("component", "node")).withColumn("n_links", F.coalesce("gain", F.lit(0)) + F.col("copies") - 1)
+    nodes = stored(nodes.select("k1", "k2", "least_id", "component", "n_links"), "vector-nodes")
     least = nodes.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    nodes = stored(nodes.join(least, "component").select("k", "embedding", "n_links", "component_id"), "vector-results")
-    linked_rows = good.join(nodes, ["k", "embedding"]).select("vec_id", "n_links", "component_id")
+    nodes = nodes.join(least, "component").select("k1", "k2", "n_links", "component_id")
+    linked_rows = good.select("vec_id", "k1", "k2").join(nodes, ["k1", "k2"]).select("vec_id", "n_links", "component_id")
     others = rows.where(~usable()).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked_rows.unionByName(others).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))

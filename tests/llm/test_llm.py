@@ -343,6 +343,28 @@ def test_op10_equals_brute_force(spark):
     assert vectors.near_vectors(df.limit(0)).count() == 0
 
 
+def test_op10_rows_with_one_id_are_different_vectors(spark):
+    r = np.random.default_rng(11)
+    a, b = r.normal(size=(2, 32))
+    rows = [(5, a), (5, b), (6, a + 0.01 * r.normal(size=32)), (7, b + 0.01 * r.normal(size=32)), (7, b)]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in rows], "vec_id long, embedding array<double>")
+    got = Counter((y.vec_id, y.n_links, y.component_id, y.kept) for y in vectors.near_vectors(df).collect())
+    assert got == Counter([(5, 1, 5, True), (5, 2, 5, True), (6, 1, 5, False), (7, 2, 5, False), (7, 2, 5, False)])
+
+
+def test_op10_recall_and_blocks(spark):
+    r = np.random.default_rng(12)
+    centres = r.normal(size=(40, 24))
+    x = np.concatenate([centres[k % 40] + r.normal(size=24) * r.uniform(0.05, 0.35) for k in range(3000)]).reshape(3000, 24)
+    x[2000:] = centres[0] + r.normal(size=(1000, 24)) * 0.2  # a third of all rows in one dense cluster
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    degree = (u @ u.T >= 0.95).sum(1) - 1
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    for block in (4096, 400):
+        got = {y.vec_id: y.n_links for y in vectors.near_vectors(df, block=block).collect()}
+        assert all(got[i] <= degree[i] for i in range(3000)) and sum(got.values()) >= 0.99 * degree.sum() > 100_000
+
+
 def test_pipeline_stages_on_awkward_rows(spark, awkward_rows, tmp_path):
     import corpus_pipeline
 
