@@ -47,25 +47,26 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = VOCABULA
     return docs.select("doc_id", "text").mapInArrow(run, PIECE_SCHEMA)
 
 
-def sum_of_squares(lengths: list[int], capacity: int) -> list[list[int]]:
-    """Sequences as lists of places in lengths.
+def sum_of_squares(lengths: list[int], capacity: int = CAPACITY) -> list[list[int]]:
+    """Sequences as lists of places in lengths, which are taken longest first.
 
-    Counts of open sequences are held for each gap. An item goes where the sum of the squared counts becomes
-    smallest: filling one of gap g takes 2 count(g) - 1 off and adds 2 count(g - item) + 1 for the new gap, if any
-    remains; a new sequence only adds. Ties prefer an open sequence, then the smaller gap.
+    Counts of open sequences are held for each gap. Of the gaps that hold a piece it goes into the one after which the sum of the squared
+    counts is smallest: filling one of gap g takes 2 count(g) - 1 off and adds 2 count(g - item) + 1 for the new gap, if any
+    remains. Ties prefer the smaller gap. A new sequence opens only where no open one holds the piece: the rule for endless
+    streams also opens one to keep the counts even for pieces to come, but here all pieces are known and none come.
     """
     count = np.zeros(capacity + 1, np.int64)
     held: list[list[int]] = [[] for _ in range(capacity + 1)]
     out: list[list[int]] = []
     far = np.iinfo(np.int64).max
-    for k, item in enumerate(lengths):
-        gap = capacity
+    for k in sorted(range(len(lengths)), key=lambda k: -lengths[k]):
+        item, gap = lengths[k], capacity
         if item < capacity:
             change = 2 * (count[: capacity - item] - count[item:capacity]) + 2
             change[0] = 1 - 2 * count[item]
             change[count[item:capacity] == 0] = far
             best = int(np.argmin(change))
-            if change[best] <= 2 * count[capacity - item] + 1:
+            if change[best] < far:
                 gap = item + best
         if gap == capacity:
             sequence = len(out)
@@ -80,42 +81,6 @@ def sum_of_squares(lengths: list[int], capacity: int) -> list[list[int]]:
     return out
 
 
-def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
-    """Longest first, each into the smallest gap that holds it."""
-    open_gaps = np.zeros(capacity + 1, np.int64)
-    held: list[list[int]] = [[] for _ in range(capacity + 1)]
-    out: list[list[int]] = []
-    for k in sorted(range(len(lengths)), key=lambda k: -lengths[k]):
-        item = lengths[k]
-        fit = np.flatnonzero(open_gaps[item:])
-        gap = item + int(fit[0]) if len(fit) else capacity
-        if len(fit):
-            sequence = held[gap].pop()
-            open_gaps[gap] -= 1
-            out[sequence].append(k)
-        else:
-            sequence = len(out)
-            out.append([k])
-        if gap > item:
-            held[gap - item].append(sequence)
-            open_gaps[gap - item] += 1
-    return out
-
-
-def pack_lengths(lengths: list[int], capacity: int = CAPACITY) -> list[list[int]]:
-    """Sum-of-squares packing, longest first; then the sequences that stayed open are packed once more by best fit.
-
-    The rule keeps some sequences of every gap open for items to come; at the end none come, so these few are undone.
-    """
-    order = sorted(range(len(lengths)), key=lambda k: -lengths[k])
-    packed = [[order[k] for k in s] for s in sum_of_squares([lengths[k] for k in order], capacity)]
-    full = [s for s in packed if sum(lengths[k] for k in s) == capacity]
-    rest = [s for s in packed if sum(lengths[k] for k in s) < capacity]
-    loose = [k for s in rest for k in s]
-    again = [[loose[k] for k in s] for s in best_fit([lengths[k] for k in loose], capacity)]
-    return full + (again if len(again) <= len(rest) else rest)
-
-
 def pack(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = VOCABULARY, end_id: int = END_ID, group: int = GROUP) -> DataFrame:
     """Each piece of each document with its sequence and place there.
 
@@ -131,7 +96,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = VOCABULARY
         frame = frame.sort_values("row_key", kind="stable").reset_index(drop=True)
         lengths = frame.length.tolist()
         sequence, offset = np.zeros(len(frame), np.int64), np.zeros(len(frame), np.int64)
-        for s, members in enumerate(pack_lengths(lengths, capacity)):
+        for s, members in enumerate(sum_of_squares(lengths, capacity)):
             at = 0
             for k in members:
                 sequence[k], offset[k] = s, at
