@@ -5,10 +5,12 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 from functools import lru_cache
 from weakref import WeakKeyDictionary
 
 import numpy as np
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -220,6 +222,27 @@ def components(edges: DataFrame, name: str = "components", rounds: int = 60) ->
     raise RuntimeError(f"components: not done after {rounds} rounds")
 
 
+def runs_of(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The rows of each key, from batches that are sorted by keys (without nulls); for many small groups, which cost a call each otherwise."""
+    held: list[pa.RecordBatch] = []
+    last: tuple | None = None
+    for batch in batches:
+        if not len(batch):
+            continue
+        columns = [batch.column(k).to_numpy() for k in keys]
+        new = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
+        edges = [0, *new.tolist(), len(batch)]
+        for k in range(len(edges) - 1):
+            key = tuple(c[edges[k]] for c in columns)
+            if held and key != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(edges[k], edges[k + 1] - edges[k]))
+            last = key
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def union(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
     """Joins the sets of a[k] and b[k] for every k, in place: root holds the least member of each place's set."""
     while True:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from .common import MASK, components, grams, mix, stored, text_bytes, word_hashes
+from .common import MASK, components, discard, grams, mix, runs_of, stored, text_bytes, union, word_hashes
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -154,18 +154,20 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
 
     Two texts are linked if the weighted Jaccard similarity of their multisets of five-word shingles is at least similarity;
     a text of fewer words has one shingle. class_id is the least doc_id with the same words, component_id the least
-    doc_id that links reach; kept is true for that document. Texts with equal words are compared once, so groups of copies cost
-    no pairs. Buckets of equal bands are not expanded to pairs. Each bucket's most central member (that with the most
+    doc_id that links reach; kept is true for the component's first row, by doc_id (null last) and then by hash. Texts with equal words are
+    one class, numbered when the classes are written, and compared once, so groups of copies cost no pairs. Buckets of equal bands are
+    not expanded to pairs. Each bucket's most central member (that with the most
     bucket mates) is its centre; every text is verified against the centre whose signature agrees best with its own. Components
     that are still apart, though members share a bucket, are compared in blocks, by signature and then by shingles.
-    Null, empty and blank texts have no words: they link with nothing and are kept. A null doc_id counts only if no other
-    is in its component; then component_id is null and the row with the least hash is kept. Rows equal in id and text
+    Null, empty and blank texts have no words: they link with nothing and are kept. component_id is null if all ids of the component are.
+    Rows with one doc_id and different words are different documents; rows equal in id and text
     share row_hash and kept. An empty table gives an empty one; other columns are ignored.
     """
     signed = stored(signatures(docs), "near-signatures")
-    by_words = signed.groupBy("k1", "k2").agg(F.min("doc_id").alias("class_id"), F.min("row_hash").alias("giver"))
-    by_words = stored(by_words.withColumn("node", F.coalesce("class_id", "k1")), "near-classes")
-    # one row of each class speaks for it
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_hash")
+    by_words = signed.groupBy("k1", "k2").agg(F.min("doc_id").alias("class_id"), F.min(order)["row_hash"].alias("giver"))
+    by_words = stored(by_words.withColumn("node", F.monotonically_increasing_id()), "near-classes")
+    # one row of each class speaks for it; rows equal in id and text are one
     members = signed.join(by_words.select("k1", "k2", "node", F.col("giver").alias("row_hash")), ["k1", "k2", "row_hash"]).select("node", "row_hash", "bands", "sig").dropDuplicates(["node"])
     members = stored(members, "near-members")
     exploded = members.select("node", F.explode("bands").alias("bucket"))
@@ -194,14 +196,15 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     more = stored(_apart(mates, comps, central, texts, similarity), "near-more")
     if more.take(1):
         comps = _labelled(central, links.unionByName(more))
+    discard(members, crowded, mates, texts)
 
     nodes = by_words.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
     nodes = stored(nodes, "near-nodes")
-    whole = nodes.groupBy("component").agg(F.min("class_id").alias("component_id"), F.min(F.when(F.col("class_id").isNull(), F.col("giver"))).alias("first"))
+    order = F.struct(F.col("class_id").isNull().alias("no_id"), "class_id", "giver")
+    whole = nodes.groupBy("component").agg(F.min("class_id").alias("component_id"), F.min(order)["giver"].alias("first"))
     known = nodes.join(whole, "component").select("k1", "k2", "class_id", "component_id", "first")
     worded = signed.select("row_hash", "doc_id", "k1", "k2").join(known, ["k1", "k2"])
-    kept = F.when(F.col("component_id").isNull(), F.col("row_hash") == F.col("first")).otherwise(F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
-    worded = worded.select("row_hash", "doc_id", "class_id", "component_id", kept.alias("kept"))
+    worded = worded.select("row_hash", "doc_id", "class_id", "component_id", (F.col("row_hash") == F.col("first")).alias("kept"))
     blank = docs.where(~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]"))
     blank = blank.select(F.xxhash64("doc_id", "text").alias("row_hash"), "doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))
     return worded.unionByName(blank)
@@ -212,44 +215,75 @@ def _labelled(central: DataFrame, links: DataFrame) -> DataFrame:
     return stored(central.select("node").join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component")), "near-labels")
 
 
+def _facing(inside: DataFrame, group: str, size: int) -> DataFrame:
+    """(group, block_x, block_y, side, node, component): which members of a group meet in one task.
+
+    Members are cut into blocks of about size, those of a large component apart from others; every two blocks of a group meet in one
+    task, but for those of a single component.
+    """
+    large = inside.groupBy(group, "component").agg(F.count("*").alias("n")).withColumn("large", F.col("n") >= size // 2)
+    rest = large.groupBy(group).agg(F.sum(F.when(~F.col("large"), F.col("n")).otherwise(0)).alias("n_rest"))
+    shape = large.join(rest, group).withColumn("parts", F.ceil(F.when(F.col("large"), F.col("n")).otherwise(F.col("n_rest")) / size).cast("long"))
+    block = F.when(F.col("large"), F.xxhash64("component", F.pmod(F.xxhash64("node"), F.col("parts")))).otherwise(F.pmod(F.xxhash64("component"), F.col("parts")))
+    dealt = stored(inside.join(shape.select(group, "component", "large", "parts"), [group, "component"]).select(group, "component", "node", block.alias("block")), "near-dealt")
+    spread = dealt.groupBy(group, "block").agg(F.min("component").alias("c0"), F.max("component").alias("c1"))
+    x, y = (spread.select(group, *(F.col(c).alias(f"{c}_{s}") for c in ("block", "c0", "c1"))) for s in "xy")
+    two = stored(x.join(y, group).where("block_x <= block_y and not (c0_x = c1_x and c0_y = c1_y and c0_x = c0_y)").select(group, "block_x", "block_y"), "near-blocks")
+    left = two.join(dealt.withColumnRenamed("block", "block_x"), [group, "block_x"]).withColumn("side", F.lit(0))
+    right = two.where("block_x <> block_y").join(dealt.withColumnRenamed("block", "block_y"), [group, "block_y"]).withColumn("side", F.lit(1))
+    columns = [group, "block_x", "block_y", "side", "node", "component"]
+    return left.select(columns).unionByName(right.select(columns))
+
+
+def _signature_rows(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
+
+
 def _apart(mates: DataFrame, comps: DataFrame, central: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """Links (a, b) between components that bucket mates hold apart, at least one for each two components that have any.
 
-    Components that share buckets form a family. Its members are cut into blocks, those of a large component apart from others; two
-    blocks are compared in one task, so no task grows with the family, and two blocks of one component never meet. A task
-    compares signatures, then shingles, and stops for two components at their first link; it gives links, not pairs.
+    1. In every bucket with several components, members of different ones are compared by signature, in blocks. A task gives a forest that
+       connects the nodes whose signatures agree enough, not its pairs.
+    2. What these forests connect is a family: sharing a bucket by chance does not make one.
+    3. Members of a family are compared in blocks, by signature and then by shingles; a task stops for two components at
+       their first link.
     """
-    held = mates.select("bucket", "node").join(comps, "node").select("bucket", "component").distinct()
-    first = held.groupBy("bucket").agg(F.min("component").alias("c0"), F.count("*").alias("n")).where("n > 1").select("bucket", "c0")
-    edges = held.join(first, "bucket").where("c0 <> component").select(F.col("c0").alias("a"), F.col("component").alias("b")).distinct()
-    families = components(edges, "near-families").select(F.col("node").alias("component"), F.col("component").alias("family"))
-    inside = stored(comps.join(families, "component"), "near-inside")
-    large = inside.groupBy("family", "component").agg(F.count("*").alias("n")).withColumn("large", F.col("n") >= BLOCK // 2)
-    rest = large.groupBy("family").agg(F.sum(F.when(~F.col("large"), F.col("n")).otherwise(0)).alias("n_rest"))
-    shape = large.join(rest, "family").withColumn("parts", F.ceil(F.when(F.col("large"), F.col("n")).otherwise(F.col("n_rest")) / BLOCK).cast("long"))
-    dealt = inside.join(shape.select("component", "large", "parts"), "component")
-    block = F.when(F.col("large"), F.xxhash64("component", F.pmod(F.xxhash64("node"), F.col("parts")))).otherwise(F.pmod(F.xxhash64("component"), F.col("parts")))
-    dealt = stored(dealt.select("family", "component", "node", block.alias("block")), "near-dealt")
-    spread = dealt.groupBy("family", "block").agg(F.min("component").alias("c0"), F.max("component").alias("c1"))
-    x, y = (spread.select("family", *(F.col(c).alias(f"{c}_{s}") for c in ("block", "c0", "c1"))) for s in "xy")
-    two = stored(x.join(y, "family").where("block_x <= block_y and not (c0_x = c1_x and c0_y = c1_y and c0_x = c0_y)").select("family", "block_x", "block_y"), "near-blocks")
-    rows = stored(dealt.join(central.select("node", "sig"), "node").join(texts.select("node", "text"), "node"), "near-rows")
-    left = two.join(rows.withColumnRenamed("block", "block_x"), ["family", "block_x"]).withColumn("side", F.lit(0))
-    right = two.where("block_x <> block_y").join(rows.withColumnRenamed("block", "block_y"), ["family", "block_y"]).withColumn("side", F.lit(1))
     least = similarity - SLACK
-
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.reset_index(drop=True)
-        sig = np.frombuffer(b"".join(frame.sig), np.uint8).reshape(len(frame), -1)
-        side, node, text = frame.side.to_numpy(), frame.node.to_numpy(), frame.text
-        comp = np.unique(frame.component, return_inverse=True)[1]
+    held = mates.select("bucket", "node").join(comps, "node")
+    mixed = held.groupBy("bucket").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1").select("bucket")
+    inside = stored(held.join(mixed, "bucket"), "near-mixed")
+    faced = _facing(inside, "bucket", 10 * BLOCK).join(central.select("node", "sig"), "node")
+
+    def agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in runs_of(batches, ["bucket", "block_x", "block_y"]):
+            sig, side = _signature_rows(rows["sig"]), rows["side"].to_numpy()
+            node, comp = rows["node"].to_numpy(), rows["component"].to_numpy()
+            a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+            b = b if len(b) else a
+            root = np.arange(len(node))
+            for i in a.tolist():
+                others = b[comp[b] != comp[i]]
+                near = others[(sig[others] == sig[i]).mean(axis=1) >= least]
+                union(root, np.full(len(near), i), near)
+            moved = np.flatnonzero(root != np.arange(len(node)))
+            yield pa.record_batch([pa.array(node[moved]), pa.array(node[root[moved]])], ["a", "b"])
+
+    keys = ["bucket", "block_x", "block_y"]
+    forest = stored(faced.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(agreeing, "a long, b long").distinct(), "near-forest")
+    families = components(forest, "near-families").select("node", F.col("component").alias("family"))
+    inside = stored(comps.join(families, "node"), "near-inside")
+    faced = _facing(inside, "family", BLOCK).join(central.select("node", "sig"), "node").join(texts.select("node", "text"), "node")
+
+    def linked(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        sig, side, text = _signature_rows(rows["sig"]), rows["side"].to_numpy(), rows["text"]
+        node, comp = rows["node"].to_numpy(), np.unique(rows["component"].to_numpy(), return_inverse=True)[1]
         root = np.arange(comp.max() + 1)
         bags: dict[int, tuple] = {}
-        found = []
+        found: list[tuple[int, int]] = []
 
         def bag(k: int) -> tuple:
             if k not in bags:
-                bags[k] = shingles(text[k])
+                bags[k] = shingles(text[k].as_py())
             return bags[k]
 
         a, b = (np.flatnonzero(side == k) for k in (0, 1))
@@ -263,10 +297,9 @@ def _apart(mates: DataFrame, comps: DataFrame, central: DataFrame, texts: DataFr
                 if root[comp[i]] != root[comp[j]] and overlap(bag(i), bag(j)) >= similarity:
                     found.append((int(node[i]), int(node[j])))
                     root[root == root[comp[j]]] = root[comp[i]]
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+        return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
 
-    columns = ["family", "block_x", "block_y", "side", "node", "component", "sig", "text"]
-    return left.select(columns).unionByName(right.select(columns)).groupBy("family", "block_x", "block_y").applyInPandas(run, "a long, b long")
+    return faced.groupBy("family", "block_x", "block_y").applyInArrow(linked, "a long, b long")
 
 
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:

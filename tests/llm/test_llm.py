@@ -207,13 +207,39 @@ def test_op5_packs_every_piece(awkward, awkward_rows, empty):
     assert packing.pack(empty).count() == 0
 
 
+def best_fit_decreasing(lengths: list[int]) -> int:
+    gaps: list[int] = []
+    for x in sorted(lengths, reverse=True):
+        fit = min((g for g in gaps if g >= x), default=None)
+        if fit is None:
+            gaps.append(1024 - x)
+        else:
+            gaps[gaps.index(fit)] = fit - x
+    return len(gaps)
+
+
 def test_op5_fills_sequences():
     r = random.Random(2)
-    lengths = [r.randint(1, 600) for _ in range(5000)]
-    packed = packing.pack_lengths(lengths)
-    assert sorted(k for s in packed for k in s) == list(range(5000))
-    assert all(sum(lengths[k] for k in s) <= 1024 for s in packed)
-    assert len(packed) <= 1.01 * -(-sum(lengths) // 1024)
+    for draw in (lambda: r.randint(1, 600), lambda: min(1024, 1 + int(r.expovariate(1 / 200))), lambda: r.randint(200, 500)):
+        lengths = [draw() for _ in range(2000)]
+        packed = packing.sum_of_squares(lengths)
+        assert sorted(k for s in packed for k in s) == list(range(2000))
+        assert all(sum(lengths[k] for k in s) <= 1024 for s in packed)
+        assert len(packed) <= best_fit_decreasing(lengths) + 1
+
+
+def test_op5_keeps_the_rule():
+    r = random.Random(6)
+    lengths = sorted((r.randint(1, 40) for _ in range(60)), reverse=True)
+    gaps: list[int] = []
+    for x in lengths:  # every choice tried out
+        tried = []
+        for g in sorted({g for g in gaps if g >= x}):
+            after = gaps.copy()
+            after[after.index(g)] -= x
+            tried.append((sum(n * n for h, n in Counter(after).items() if h), g, after))
+        gaps = min(tried)[2] if tried else [*gaps, 50 - x]
+    assert sorted(50 - sum(lengths[k] for k in s) for s in packing.sum_of_squares(lengths, 50)) == sorted(gaps)
 
 
 def test_op5_ids_are_those_of_the_library():
@@ -298,6 +324,18 @@ def test_op8_equals_brute_force(spark, awkward, awkward_rows, empty):
     assert near_duplicates.near_duplicates(empty).count() == 0 and near_duplicates.keep_one(empty).count() == 0
 
 
+def test_op8_rows_with_one_id_are_different_documents(spark):
+    a, b = prose(71, 120).split(), prose(72, 120).split()
+    near_a, near_b = [*a[:60], "changed", *a[61:]], [*b[:60], "changed", *b[61:]]
+    rows = [(5, a), (5, b), (6, near_a), (7, near_b), (5, near_b), (None, prose(73, 50).split()), (None, prose(74, 50).split())]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    got = near_duplicates.near_duplicates(df).collect()
+    assert Counter((x.doc_id, x.class_id, x.component_id) for x in got) == Counter([(5, 5, 5)] * 3 + [(6, 6, 5), (7, 5, 5), (None, None, None), (None, None, None)])
+    kept = {x.text for x in near_duplicates.keep_one(df).collect()}
+    assert len(kept) == 4 and " ".join(a) in kept and {" ".join(w) for _, w in rows[5:]} <= kept
+    assert len(kept & {" ".join(b), " ".join(near_b)}) == 1
+
+
 def test_op9_counts_are_exact(awkward, awkward_rows, empty):
     import sentencepiece
 
