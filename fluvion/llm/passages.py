@@ -9,77 +9,60 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from .common import grams, mix, numbered, sliding_min, stored, text_bytes, word_hashes
+from .common import discard, grams, keyed, mix, sliding_min, stored, text_bytes, word_hashes
 
 WINDOW = 35
 PHRASE = 11
 #: Bytes of text in a block of documents; an automaton serves one block.
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 6 << 20
 #: Phrases in one automaton; a block with more gets several.
 SHARD_PHRASES = 50_000
-
-RUN = np.dtype([("phrase", "u8"), ("context", "u8")])
+_SECOND = np.uint64(0xA0761D6478BD642F)
 
 
 class Windows:
-    """The windows of one text. Each has a phrase, the least hash of the phrases in it; equal windows have equal phrases.
+    """The windows of one text. Each has a phrase, the one of least hash among those in it, so equal windows have equal phrases.
 
-    Neighbouring windows with one phrase form a run; the words that a run covers are its context.
+    Neighbouring windows with one phrase form a run, which begins at one of starts and ends before the place in ends.
     """
 
     def __init__(self, words: np.ndarray, window: int = WINDOW, phrase: int = PHRASE):
         self.words, self.window, self.phrase_words = words, window, phrase
         self.n = max(0, len(words) - window + 1)
         self.phrases = grams(words, phrase) if self.n else np.zeros(0, np.uint64)
-        self.least = sliding_min(self.phrases, window - phrase + 1) if self.n else np.zeros(0, np.uint64)
-        self.starts = np.flatnonzero(np.concatenate(([True], self.least[1:] != self.least[:-1]))) if self.n else np.zeros(0, np.int64)
+        least = sliding_min(self.phrases, window - phrase + 1) if self.n else np.zeros(0, np.uint64)
+        self.starts = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1]))) if self.n else np.zeros(0, np.int64)
         self.ends = np.append(self.starts[1:], self.n) if self.n else self.starts
-        self.phrase = self.least[self.starts]
-
-    def hashes(self) -> np.ndarray:
-        return grams(self.words, self.window)
-
-    def contexts(self, hashes: np.ndarray) -> np.ndarray:
-        """A hash of each run's windows: runs with equal hashes have equal windows, as often."""
-        return np.add.reduceat(mix(hashes), self.starts)
-
-    def cover(self, windows: np.ndarray) -> np.ndarray:
-        """The words that these windows cover."""
-        step = np.zeros(len(self.words) + 1, np.int64)
-        np.add.at(step, windows, 1)
-        np.add.at(step, windows + self.window, -1)
-        return np.cumsum(step[:-1]) > 0
-
-
-def own_repeats(hashes: np.ndarray) -> np.ndarray:
-    """Which windows occur again in the same text."""
-    order = np.argsort(hashes, kind="stable")
-    same = hashes[order][1:] == hashes[order][:-1]
-    out = np.zeros(len(hashes), bool)
-    out[order[1:][same]] = True
-    out[order[:-1][same]] = True
-    return out
+        self.phrase = least[self.starts]
 
+    def twice(self) -> np.ndarray:
+        """Which runs hold their phrase more than once: those with more windows than one place of it can serve."""
+        return self.ends - self.starts > self.window - self.phrase_words + 1
 
-def _runs(batches: Iterator[pa.RecordBatch], window: int, phrase: int) -> Iterator[pa.RecordBatch]:
-    """(block, phrase, context, n) for the runs of each text: n is 2 if the text has the run twice."""
-    for batch in batches:
-        parts: list[np.ndarray] = []
-        blocks, numbers = [], []
-        for block, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            w = Windows(word_hashes(text_bytes(text.as_py())), window, phrase)
-            if w.n:
-                runs = np.empty(len(w.starts), RUN)
-                runs["phrase"], runs["context"] = w.phrase, w.contexts(w.hashes())
-                runs, count = np.unique(runs, return_counts=True)
-                parts.append(runs)
-                numbers.append(count)
-                blocks.append(np.full(len(runs), block))
-        if parts:
-            runs = np.concatenate(parts)
-            yield pa.record_batch([pa.array(np.concatenate(blocks), pa.int32()), pa.array(runs["phrase"].view(np.int64)), pa.array(runs["context"].view(np.int64)), pa.array(np.concatenate(numbers), pa.int64())], ["block", "phrase", "context", "n"])
+    def phrase_places(self) -> np.ndarray:
+        """Where each run's phrase stands first in its first window."""
+        inside = self.starts[:, None] + np.arange(self.window - self.phrase_words + 1)
+        return self.starts + self.phrases[inside].argmin(axis=1) if self.n else self.starts
+
+    def hashes(self) -> tuple[np.ndarray, np.ndarray]:
+        """128 bits of each window."""
+        return grams(self.words, self.window), grams(mix(self.words ^ _SECOND), self.window)
+
+    def contexts(self, hashes: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """128 bits of each run's windows: runs with equal ones have equal windows, as often."""
+        return tuple(np.add.reduceat(mix(h), self.starts) for h in hashes)
+
+
+def own_repeats(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of hashes in two halves: which occur again, and the places where each occurs first."""
+    order = np.lexsort((second, first))
+    same = (first[order][1:] == first[order][:-1]) & (second[order][1:] == second[order][:-1])
+    again = np.zeros(len(first), bool)
+    again[order[1:][same]] = True
+    again[order[:-1][same]] = True
+    return again, np.sort(order[np.concatenate(([True], ~same))]) if len(first) else order
 
 
 def among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -91,61 +74,133 @@ def among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[at] == values
 
 
-#: A word is DIGITS characters of base RADIX: an automaton looks through a node's children one by one, so they must be few.
-RADIX, DIGITS = 64, 3
-_FIRST, _NEXT, _OTHER = 0x100, 0x200, 0x300  # first digits, later digits and words of no phrase: matches can't start within a word
-
-
-class Coder:
-    """Words as characters, by their number among the words of a block's phrases."""
-
-    def __init__(self, words: np.ndarray):
-        self.known = np.unique(words)
-        self.digits = max(DIGITS, -(-len(self.known).bit_length() // 6))
-
-    def text(self, words: np.ndarray) -> str:
-        if not len(self.known):
-            return ""
-        at = np.searchsorted(self.known, words)
-        at[at == len(self.known)] = 0
-        there = self.known[at] == words
-        out = np.zeros((len(words), self.digits), "<u4")
-        for k in range(self.digits):
-            out[:, k] = at % RADIX + (_NEXT if k else _FIRST)
-            at = at // RADIX
-        out[~there] = 0
-        out[~there, 0] = _OTHER
-        flat = out.reshape(-1)
-        return flat[flat > 0].tobytes().decode("utf-32-le")
-
-
-def located(texts: list[Windows], recurring: np.ndarray) -> list[np.ndarray]:
-    """The recurring phrases that each text holds: sharded automata of a block's phrases stream its texts, one after the other."""
-    import ahocorasick
-
-    first: dict[int, np.ndarray] = {}
-    for w in texts:
-        for run in np.flatnonzero(among(w.phrase, recurring)).tolist():
-            key = int(w.phrase[run])
-            if key not in first:
-                at = w.starts[run] + int(np.argmin(w.phrases[w.starts[run] : w.starts[run] + w.window - w.phrase_words + 1]))
-                first[key] = w.words[at : at + w.phrase_words]
-    coder = Coder(np.concatenate([*first.values(), np.zeros(0, np.uint64)]))
-    found: list[set[int]] = [set() for _ in texts]
-    keys = list(first)
-    for at in range(0, len(keys), SHARD_PHRASES):
-        automaton = ahocorasick.Automaton()
-        for key in keys[at : at + SHARD_PHRASES]:
-            automaton.add_word(coder.text(first[key]), key)
-        automaton.make_automaton()
-        for k, w in enumerate(texts):
-            if w.n:
-                found[k].update(key for _, key in automaton.iter(coder.text(w.words)))
-    return [np.array(sorted(f), np.uint64) for f in found]
-
-
-def _bits(mask: np.ndarray) -> bytes:
-    return np.packbits(mask).tobytes()
+def _lists(values: list[np.ndarray], kind: pa.DataType) -> pa.Array:
+    ends = np.cumsum([0, *(len(v) for v in values)])
+    flat = np.concatenate(values) if values else np.zeros(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.view(np.int64) if flat.dtype == np.uint64 else flat).cast(kind))
+
+
+def _phrases(batches: Iterator[pa.RecordBatch], window: int, phrase: int) -> Iterator[pa.RecordBatch]:
+    """(block, phrase, n): hashes of the runs' phrases of each text, and how often it has them."""
+    for batch in batches:
+        blocks, hashes, numbers = [np.zeros(0, np.int32)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for block, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            w = Windows(word_hashes(text_bytes(text.as_py())), window, phrase)
+            found, at = np.unique(w.phrase, return_inverse=True)
+            hashes.append(found)
+            numbers.append(np.bincount(at, 1 + w.twice(), len(found)).astype(np.int64))
+            blocks.append(np.full(len(found), block, np.int32))
+        yield pa.record_batch([pa.array(np.concatenate(blocks)), pa.array(np.concatenate(hashes).view(np.int64)), pa.array(np.concatenate(numbers))], ["block", "phrase", "n"])
+
+
+def _stretches(text: bytes, told: np.ndarray, window: int, phrase: int) -> tuple[list[int], list[str]]:
+    """Where a text's windows whose phrase is in told lie: first words and texts of the stretches."""
+    w = Windows(word_hashes(text), window, phrase)
+    hit = np.flatnonzero(among(w.phrase, told))
+    if not len(hit):
+        return [], []
+    words, starts, parts = text.split(), [], []
+    for runs in np.split(hit, np.flatnonzero(np.diff(hit) > 1) + 1):
+        start = int(w.starts[runs[0]])
+        starts.append(start)
+        parts.append(b" ".join(words[start : int(w.ends[runs[-1]]) - 1 + window]).decode("utf-8", "surrogatepass"))
+    return starts, parts
+
+
+def _runs(batches: Iterator[pa.RecordBatch], window: int, phrase: int) -> Iterator[pa.RecordBatch]:
+    """(block, words, c1, c2, n, places) for each run of each stretch: the words of its phrase, its context, 1, and 2 if the run holds the phrase twice."""
+    for batch in batches:
+        for at in range(0, len(batch), 500):
+            blocks, phrases, first, second, places = [], [], [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+            for block, parts in zip(batch.column(0)[at : at + 500].to_pylist(), batch.column(1)[at : at + 500].to_pylist(), strict=True):
+                for part in parts:
+                    data = text_bytes(part)
+                    w, words = Windows(word_hashes(data), window, phrase), data.split()
+                    c1, c2 = w.contexts(w.hashes())
+                    first.append(c1)
+                    second.append(c2)
+                    places.append(1 + w.twice())
+                    phrases += [b" ".join(words[p : p + phrase]).decode("utf-8", "surrogatepass") for p in w.phrase_places().tolist()]
+                    blocks += [block] * len(c1)
+            c1, c2 = (pa.array(np.concatenate(x).view(np.int64)) for x in (first, second))
+            yield pa.record_batch([pa.array(blocks, pa.int32()), pa.array(phrases, pa.string()), c1, c2, pa.array(np.ones(len(blocks), np.int64)), pa.array(np.concatenate(places).astype(np.int64))], ["block", "words", "c1", "c2", "n", "places"])
+
+
+class Automata:
+    """Sharded Aho-Corasick automata over confirmed phrases; a match is a whole-word one."""
+
+    def __init__(self, phrases: list[str], shard: int = SHARD_PHRASES):
+        import ahocorasick
+
+        self.shards = []
+        for at in range(0, len(phrases), shard):
+            automaton = ahocorasick.Automaton()
+            for k, words in enumerate(phrases[at : at + shard]):
+                automaton.add_word(f" {words} ", (at + k, len(words)))
+            automaton.make_automaton()
+            self.shards.append(automaton)
+
+    def matches(self, text: str, n_words: int) -> np.ndarray:
+        """Of text, words joined by single spaces: the phrase that starts at each word, or -1. Phrases have equally many words, so there is one at most."""
+        out = np.full(n_words, -1, np.int64)
+        found = [(end - length - 1, k) for automaton in self.shards for end, (k, length) in automaton.iter(f" {text} ")]
+        if found:
+            space = np.flatnonzero(np.frombuffer(f" {text}".encode("utf-32-le", "surrogatepass"), "<u4") == 32)
+            begin, k = np.array(found, np.int64).T
+            out[np.searchsorted(space, begin)] = k
+        return out
+
+
+RUN = np.dtype([("phrase", "i8"), ("c1", "i8"), ("c2", "i8")])
+
+
+def _settle(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table, window: int, phrase: int) -> pa.Table:
+    """What a block's automata find in its stretches: covered words (from, to), windows to ask for and windows given out."""
+    told = right["told"].combine_chunks().flatten() if len(right) else None
+    dictionary = told.field("words").dictionary_encode() if told is not None else pa.array([], pa.string()).dictionary_encode()
+    automata = Automata(dictionary.dictionary.to_pylist())
+    runs, settled, gives = np.zeros(0, RUN), np.zeros(0, bool), np.zeros(0, bool)
+    if told is not None:
+        runs = np.empty(len(told), RUN)
+        runs["phrase"], runs["c1"], runs["c2"] = dictionary.indices.to_numpy(), told.field("c1").to_numpy(), told.field("c2").to_numpy()
+        order = np.argsort(runs)
+        runs, settled, gives = (runs[order], *(told.field(k).to_numpy(zero_copy_only=False).astype(bool)[order] for k in ("settled", "gives")))
+    gave = np.zeros(len(runs), bool)
+    none, out = np.zeros(0, np.int64), {n: [] for n in ("froms", "tos", "places", "w1", "w2", "g1", "g2")}
+    for starts, parts in zip(left["starts"].to_pylist(), left["parts"].to_pylist(), strict=True):
+        seen, full, asks, given = [], [none], [none], [(none.view(np.uint64),) * 2]
+        for start, part in zip(starts, parts, strict=True):
+            w = Windows(word_hashes(text_bytes(part)), window, phrase)
+            phrase_at = automata.matches(part, len(w.words))[w.phrase_places()]
+            hit = np.flatnonzero(phrase_at >= 0)
+            if not len(hit):
+                continue
+            hashes = w.hashes()
+            mine = np.empty(len(hit), RUN)
+            mine["phrase"], mine["c1"], mine["c2"] = phrase_at[hit], *(c[hit].view(np.int64) for c in w.contexts(hashes))
+            for run, k in zip(hit.tolist(), np.searchsorted(runs, mine).tolist(), strict=True):
+                windows = np.arange(w.starts[run], w.ends[run])
+                seen.append((start + windows, *(h[windows] for h in hashes)))
+                if settled[k]:
+                    full.append(start + windows)
+                    if gives[k] and not gave[k]:
+                        gave[k] = True
+                        given.append(tuple(h[windows] for h in hashes))
+                elif gives[k]:
+                    asks.append(start + windows)
+        places, h1, h2 = (np.concatenate(x) for x in zip(*seen, strict=True)) if seen else (none, *given[0])
+        again, firsts = own_repeats(h1, h2)
+        covered = np.unique(np.concatenate([*full, places[again]]))
+        gaps = np.flatnonzero(np.diff(covered) > window)
+        out["froms"].append(covered[np.concatenate(([0], gaps + 1))] if len(covered) else none)
+        out["tos"].append(covered[np.concatenate((gaps, [len(covered) - 1]))] + window if len(covered) else none)
+        ask = firsts[np.isin(places[firsts], np.concatenate(asks))]  # a window once for each document
+        for name, value in zip(("places", "w1", "w2"), (places, h1, h2), strict=True):
+            out[name].append(value[ask])
+        for name, value in zip(("g1", "g2"), zip(*given, strict=True), strict=True):
+            out[name].append(np.concatenate(value))
+    lists = {n: _lists(v, pa.int32() if n in ("froms", "tos", "places") else pa.int64()) for n, v in out.items()}
+    return pa.table({"row": left["row"].combine_chunks(), **lists})
 
 
 def remove_passages(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -154,110 +209,93 @@ def remove_passages(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE,
     Each word goes that lies in a window of window words whose word sequence also starts anywhere else in docs, the same
     document included. All decisions are made on the input.
 
-    1. Every text gives its runs (see Windows) as hashes. A phrase recurs if docs have it twice; only runs of recurring
-       phrases go on. A run whose whole context occurs twice is repeated in all its windows.
-    2. Documents are dealt to blocks by a hash of id and text. Automata of a block's recurring phrases stream its
-       documents and locate every occurrence. Runs that are repeated as a whole are settled; of the others the windows
-       are given out as hashes, and counted over all documents, a whole context giving its windows once.
-    3. Windows counted twice are joined back to the documents that wait for them.
+    1. Screen. Every text gives the hashes of its phrases (see Windows). Documents are dealt to blocks by their places in the input; a block
+       learns which of its phrase hashes docs have twice, and gives the stretches of text whose windows have such a phrase.
+    2. Confirm. The stretches' phrases are counted by their words, over all blocks; so are runs, by phrase and context.
+    3. Locate. A block's confirmed phrases are compiled to sharded automata that stream its stretches. Windows are examined only
+       where the automata match. Runs whose whole context occurs twice are repeated in all their windows; of the others the windows
+       are given out as 128-bit hashes, and counted over all documents, a whole context giving its windows once.
+    4. Windows counted twice are joined back to the documents that asked for them, and the words they cover go.
 
     A null or empty text has no words, nothing is removed from texts shorter than a window that repeats no window, repeated
     rows are copies of each other, an empty table gives an empty one. Clashing columns (n_words, n_removed, kept) are replaced.
+    Words are told apart by 64 bits, sequences of them by 128.
     """
     docs = docs.drop("n_words", "n_removed", "kept")
     names = docs.columns
     size = docs.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 32)).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
-    block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")
-
-    runs = docs.select(block.alias("block"), "text").mapInArrow(lambda b: _runs(b, window, phrase), "block int, phrase long, context long, n long")
-    runs = stored(runs.groupBy("block", "phrase", "context").agg(F.sum("n").alias("n")), "passages-runs")
-    often = stored(runs.groupBy("phrase").agg(F.sum("n").alias("n_phrase")).where("n_phrase > 1"), "passages-phrases")
-    runs = stored(runs.join(often, "phrase"), "passages-recurring")
-    whole = stored(runs.groupBy("phrase", "context").agg(F.sum("n").alias("n_context"), F.min("block").alias("giver")), "passages-contexts")
+    dealt = keyed(docs, "__key").withColumn("__block", F.pmod("__key", F.lit(blocks)).cast("int")).drop("__key")
+
+    phrases = dealt.select("__block", "text").mapInArrow(lambda b: _phrases(b, window, phrase), "block int, phrase long, n long")
+    phrases = stored(phrases.groupBy("block", "phrase").agg(F.sum("n").alias("n")), "passages-phrases")
+    often = phrases.groupBy("phrase").agg(F.sum("n").alias("n_phrase")).where("n_phrase > 1").select("phrase")
+    told = phrases.join(often, "phrase").groupBy(F.col("block").alias("__block")).agg(F.collect_list("phrase").alias("told"))  # bounded by the block
+
+    def cut(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
+        known = np.sort(right["told"].combine_chunks().flatten().to_numpy().view(np.uint64)) if len(right) else np.zeros(0, np.uint64)
+        found = [_stretches(text_bytes(t.as_py()), known, window, phrase) for t in left["text"]]
+        for name, kind, k in (("__starts", pa.int32(), 0), ("__parts", pa.string(), 1)):
+            left = left.append_column(name, pa.array([f[k] for f in found], pa.list_(kind)))
+        return left
+
+    inner = StructType([*docs.schema.fields, StructField("__block", IntegerType()), StructField("__starts", ArrayType(IntegerType())), StructField("__parts", ArrayType(StringType()))])
+    screened = dealt.groupBy("__block").cogroup(told.groupBy("__block")).applyInArrow(cut, inner)
+    rows = stored(screened.withColumn("__row", F.monotonically_increasing_id()), "passages-screened")  # numbers are fixed by the write
+    discard(phrases)
+
+    stretches = rows.where(F.size("__parts") > 0).select(F.col("__row").alias("row"), F.col("__block").alias("block"), F.col("__starts").alias("starts"), F.col("__parts").alias("parts"))
+    runs = stretches.select("block", "parts").mapInArrow(lambda b: _runs(b, window, phrase), "block int, words string, c1 long, c2 long, n long, places long")
+    runs = stored(runs.groupBy("block", "words", "c1", "c2").agg(F.sum("n").alias("n"), F.sum("places").alias("places")), "passages-runs")
+    confirmed = runs.groupBy("words").agg(F.sum("n").alias("n_phrase"), F.sum("places").alias("places")).where("places > 1").select("words", "n_phrase")
+    whole = runs.groupBy("words", "c1", "c2").agg(F.sum("n").alias("n_context"), F.min("block").alias("giver"))
     # settled: the whole context occurs again. gives: its windows must be counted, from one block if it is settled
-    told = runs.join(whole, ["phrase", "context"]).select("block", "phrase", "context", (F.col("n_context") > 1).alias("settled"), ((F.col("n_context") < F.col("n_phrase")) & ((F.col("n_context") == 1) | (F.col("giver") == F.col("block")))).alias("gives"))
-    lists = told.groupBy("block").agg(F.collect_list(F.struct("phrase", "context", "settled", "gives")).alias("told"))  # bounded by the block
-
-    inner = StructType([*docs.schema.fields, StructField("__settled", BinaryType()), StructField("__windows", ArrayType(LongType())), StructField("__places", ArrayType(IntegerType())), StructField("__given", ArrayType(LongType()))])
-
-    def locate(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        rows = right["told"].combine_chunks().flatten() if len(right) else None
-        told_runs = np.zeros(0, RUN)
-        if rows is not None and len(rows):
-            told_runs = np.empty(len(rows), RUN)
-            told_runs["phrase"], told_runs["context"] = (rows.field(k).to_numpy(zero_copy_only=False).view(np.uint64) for k in (0, 1))
-            settled, gives = (rows.field(k).to_numpy(zero_copy_only=False).astype(bool) for k in (2, 3))
-            order = np.argsort(told_runs)
-            told_runs, settled, gives = told_runs[order], settled[order], gives[order]
-        texts = [Windows(word_hashes(text_bytes(t.as_py())), window, phrase) for t in left["text"]]
-        holds = located(texts, np.unique(told_runs["phrase"]))
-        out: dict[str, list] = {"settled": [], "windows": [], "places": [], "given": []}
-        gave = np.zeros(len(told_runs), bool)
-        for w, held_phrases in zip(texts, holds, strict=True):
-            covered, ask, places, given = np.zeros(len(w.words), bool), [], [], []
-            if w.n:
-                hashes = w.hashes()
-                full = own_repeats(hashes)
-                hit = np.flatnonzero(among(w.phrase, held_phrases))
-                mine = np.empty(len(hit), RUN)
-                mine["phrase"], mine["context"] = w.phrase[hit], w.contexts(hashes)[hit]
-                at = np.searchsorted(told_runs, mine)
-                for run, k in zip(hit.tolist(), at.tolist(), strict=True):
-                    start, end = int(w.starts[run]), int(w.ends[run])
-                    if settled[k]:
-                        full[start:end] = True
-                        if gives[k] and not gave[k]:
-                            gave[k] = True
-                            given.append(hashes[start:end])
-                    elif gives[k]:
-                        ask.append(hashes[start:end])
-                        places.append(np.arange(start, end))
-                covered = w.cover(np.flatnonzero(full))
-            out["settled"].append(_bits(covered))
-            out["windows"].append(np.concatenate(ask).view(np.int64) if ask else np.zeros(0, np.int64))
-            out["places"].append(np.concatenate(places) if places else np.zeros(0, np.int64))
-            out["given"].append(np.concatenate(given).view(np.int64) if given else np.zeros(0, np.int64))
-        table = left.select(names)
-        for name, kind in (("settled", pa.binary()), ("windows", pa.list_(pa.int64())), ("places", pa.list_(pa.int32())), ("given", pa.list_(pa.int64()))):
-            table = table.append_column(f"__{name}", pa.array(out[name], kind))
-        return table
-
-    held = docs.withColumn("__block", block).groupBy("__block").cogroup(lists.withColumnRenamed("block", "__block").groupBy("__block")).applyInArrow(locate, inner)
-    rows = numbered(stored(held, "passages-located"), "__row")
-    asked = rows.select("__row", F.explode(F.array_distinct("__windows")).alias("window"))
+    gives = (F.col("n_context") < F.col("n_phrase")) & ((F.col("n_context") == 1) | (F.col("giver") == F.col("block")))
+    told = runs.join(confirmed, "words").join(whole, ["words", "c1", "c2"]).select("block", "words", "c1", "c2", (F.col("n_context") > 1).alias("settled"), gives.alias("gives"))
+    told = told.groupBy("block").agg(F.collect_list(F.struct("words", "c1", "c2", "settled", "gives")).alias("told"))  # bounded by the block
+
+    def settle(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
+        return _settle(key, left, right, window, phrase)
+
+    located = stretches.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(settle, "row long, froms array<int>, tos array<int>, places array<int>, w1 array<long>, w2 array<long>, g1 array<long>, g2 array<long>")
+    located = stored(located, "passages-located")
+    discard(runs)
+    asked = located.select("row", F.explode(F.arrays_zip("places", "w1", "w2")).alias("w")).select("row", "w.places", "w.w1", "w.w2")
     # a window of a whole context that occurs again counts as two, whatever else it meets
-    votes = asked.groupBy("window").agg(F.count("*").alias("n")).unionByName(rows.select(F.explode("__given").alias("window"), F.lit(2).cast("long").alias("n")))
-    again = stored(votes.groupBy("window").agg(F.sum("n").alias("n")).where("n > 1").select("window"), "passages-windows")
-    found = asked.join(again, "window").groupBy("__row").agg(F.collect_list("window").alias("__again"))  # bounded by the text's own windows
-    waiting = rows.where(F.size("__windows") > 0).join(found, "__row", "left")
-    ready = rows.where(F.size("__windows") == 0).withColumn("__again", F.lit(None).cast("array<bigint>"))
+    given = located.select(F.explode(F.arrays_zip("g1", "g2")).alias("w")).select(F.col("w.g1").alias("w1"), F.col("w.g2").alias("w2"), F.lit(2).cast("long").alias("n"))
+    votes = asked.groupBy("w1", "w2").agg(F.count("*").alias("n")).unionByName(given)
+    again = votes.groupBy("w1", "w2").agg(F.sum("n").alias("n")).where("n > 1").select("w1", "w2")
+    found = asked.join(again, ["w1", "w2"]).groupBy("row").agg(F.collect_list("places").alias("__again"))  # bounded by the text's own windows
+    cover = located.select("row", F.col("froms").alias("__froms"), F.col("tos").alias("__tos")).join(found, "row", "left").withColumnRenamed("row", "__row")
+    held = rows.where(F.size("__parts") > 0).join(stored(cover, "passages-cover"), "__row", "left")
+    free = rows.where(F.size("__parts") == 0)
     schema = StructType([*docs.schema.fields, StructField("n_words", LongType()), StructField("n_removed", LongType()), StructField("kept", StringType())])
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole_batch in batches:
-            for at in range(0, len(whole_batch), 1000):
-                batch = whole_batch.slice(at, 1000)
+            for at in range(0, len(whole_batch), 500):
+                batch = whole_batch.slice(at, 500)
                 kept, n_words, n_removed = [], [], []
-                columns = [batch.column(n) for n in ("text", "__settled", "__windows", "__places", "__again")]
-                for text, mask, windows, places, back in zip(*columns, strict=True):
+                for text, froms, tos, back in zip(*(batch.column(n) for n in ("text", "__froms", "__tos", "__again")), strict=True):
                     words = text_bytes(text.as_py()).split()
-                    covered = np.unpackbits(np.frombuffer(mask.as_py(), np.uint8))[: len(words)].astype(bool)
-                    if back.is_valid and len(back):
-                        hit = np.isin(windows.values.to_numpy(), back.values.to_numpy())
-                        step = np.zeros(len(words) + 1, np.int64)
-                        start = places.values.to_numpy()[hit]
-                        np.add.at(step, start, 1)
-                        np.add.at(step, start + window, -1)
-                        covered |= np.cumsum(step[:-1]) > 0
+                    step = np.zeros(len(words) + 1, np.int64)
+                    if froms.is_valid:
+                        step[froms.values.to_numpy()] += 1  # these ranges don't touch
+                        step[tos.values.to_numpy()] -= 1
+                    if back.is_valid:
+                        places = back.values.to_numpy()
+                        np.add.at(step, places, 1)
+                        np.add.at(step, places + window, -1)
+                    covered = np.cumsum(step[:-1]) > 0
                     gone = int(covered.sum())
                     n_words.append(len(words))
                     n_removed.append(gone)
                     kept.append(b" ".join(w for w, c in zip(words, covered.tolist(), strict=True) if not c) if gone else b" ".join(words))
                 yield pa.record_batch([*(batch.column(n) for n in names), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array([k.decode("utf-8", "surrogatepass") for k in kept], pa.string())], [*names, "n_words", "n_removed", "kept"])
 
-    columns = [*names, "__settled", "__windows", "__places", "__again"]
-    return waiting.select(columns).unionByName(ready.select(columns)).mapInArrow(finish, schema)
+    columns = [*names, "__froms", "__tos", "__again"]
+    none = {n: F.lit(None).cast("array<int>") for n in columns[-3:]}
+    return held.select(columns).unionByName(free.withColumns(none).select(columns)).mapInArrow(finish, schema)
 
 
 def digest(removed: DataFrame) -> DataFrame:

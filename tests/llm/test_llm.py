@@ -263,6 +263,24 @@ def test_op6_equals_brute_force(spark, awkward, awkward_rows, empty):
     assert passages.remove_passages(empty).count() == 0
 
 
+def test_op6_automata_find_whole_words():
+    r = random.Random(8)
+    words = [r.choice(["a", "ab", "b", "ba", "é日"]) for _ in range(400)]
+    phrases = sorted({" ".join(words[i : i + 3]) for i in range(0, 400, 7)})
+    want = [phrases.index(p) if (p := " ".join(words[i : i + 3])) in phrases and i <= 397 else -1 for i in range(400)]
+    for shard in (1000, 4):
+        assert passages.Automata(phrases, shard).matches(" ".join(words), 400).tolist() == want
+    assert set(passages.Automata([]).matches("a b", 2)) == {-1}
+
+
+def test_op6_repeated_rows_and_long_texts(spark):
+    long = prose(31, 120_000)  # more than half a megabyte
+    rows = [(1, prose(30, 90))] * 40 + [(2, long), (3, prose(32, 10) + " " + " ".join(long.split()[500:600])), (4, "la " * 36), (5, "do " * 35), (6, "do re " * 40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(tuple(x)[1:] for x in passages.digest(passages.remove_passages(df, block_bytes=20_000)).collect())
+    assert got == sorted(passages.brute_force([x[1] for x in rows]))
+
+
 def test_op7_is_a_permutation_with_even_shards(spark, awkward, empty):
     df = spark.range(1000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("ab "), (F.col("id") % 90).cast("int")).alias("text"))
     rows = sharding.external_shuffle(df, bucket_bytes=20_000).collect()
