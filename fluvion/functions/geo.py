@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # WGS84 semi-major axis (m) and flattening; the mean radius (m) of step distances on a sphere.
 SEMI_MAJOR, FLATTENING = 6378137.0, 1 / 298.257223563
 STEP_RADIUS = 6378000.0
+# Fixed value: the orbit's height (m).
+ORBIT = 970e3
 ECC2 = FLATTENING * (2 - FLATTENING)
 
 
@@ -50,6 +54,51 @@ def corrected_height(height: Column, geoid: Column, *tides: Column) -> Column:
     return F.when((geoid > -200) & (geoid < 200), height - total).otherwise(height)
 
 
+def uncorrected_height(height: Column, geoid: Column, *tides: Column) -> Column:
+    """Undoes corrected_height."""
+    total = geoid
+    for tide in tides:
+        total = total + tide
+    return F.when((geoid > -200) & (geoid < 200), height + total).otherwise(height)
+
+
+def dark_fraction(area: Column, detected: Column) -> Column:
+    """The share of an area that is dark, at most 1; null without an area."""
+    return F.when(area > 0, F.least(1 - detected / area, F.lit(1.0)))
+
+
+def unless_fill(value: Column, fill: float, replacement: Column) -> Column:
+    return F.when(value == fill, replacement).otherwise(value)
+
+
+def pixel_area(stored: Column, azimuth: Column, range_step: Column, look_angle: Column, ground_step: Column) -> Column:
+    """The area of a pixel: as stored, else from its azimuth spacing and the slant step on the ground, else from the ground spacing; null if all lack.
+
+    The incidence angle is the look angle (radians) enlarged by the orbit's height over the radius of the sphere.
+    """
+    slant = azimuth * range_step / F.sin(look_angle * (1 + ORBIT / STEP_RADIUS))
+    return F.coalesce(stored, slant, azimuth * ground_step)
+
+
+def flattened(re: Column, im: Column, wavelength: float, range_a: Column, range_b: Column) -> tuple[Column, Column]:
+    """An interferogram turned back by the phase of the difference of its two ranges."""
+    phase = -2 * math.pi / wavelength * (range_a - range_b)
+    return re * F.cos(phase) - im * F.sin(phase), re * F.sin(phase) + im * F.cos(phase)
+
+
+def great_circle(lon_a: Column, lat_a: Column, lon_b: Column, lat_b: Column) -> tuple[Column, Column]:
+    """Metres along a great circle of the mean sphere, by the haversine, and the heading at the start in degrees from north, 0 to 360."""
+    a, b, d = F.radians(lat_a), F.radians(lat_b), F.radians(lon_b - lon_a)
+    h = F.pow(F.sin((b - a) / 2), 2.0) + F.cos(a) * F.cos(b) * F.pow(F.sin(d / 2), 2.0)
+    heading = F.atan2(F.sin(d) * F.cos(b), F.cos(a) * F.sin(b) - F.sin(a) * F.cos(b) * F.cos(d))
+    return 2 * STEP_RADIUS * F.asin(F.sqrt(F.least(h, F.lit(1.0)))), F.pmod(F.degrees(heading), F.lit(360.0))
+
+
+def raster_index(x: Column, first: float, step: float, size: int) -> Column:
+    """The cell of an axis nearest to x, clamped to the axis."""
+    return F.greatest(F.least(F.rint((x - first) / step).cast("long"), F.lit(size - 1)), F.lit(0))
+
+
 def height_std(phase_std: Column, sensitivity: Column, worst: float = 1e5) -> Column:
     s = F.abs(phase_std * sensitivity)
     return F.when((s > 0) & ~F.isnan(s) & (s < float("inf")), s).otherwise(worst)

@@ -1,9 +1,12 @@
-"""Fits that need all nodes of a reach at once: grouped NumPy kernels, one reach a group (some hundred nodes)."""
+"""Fits that need all nodes of a reach at once (some hundred): NumPy kernels over batches of whole reaches."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,107 +37,261 @@ def robust_line(rows: DataFrame, key: list[str], x: str, y: str) -> DataFrame:
     )
 
 
-def smooth(s: np.ndarray, y: np.ndarray, window: float, sigma: float) -> np.ndarray:
-    """Gaussian moving average by distance within a window; NaN values carry no weight."""
-    d = np.abs(s[:, None] - s[None, :])
-    w = np.where(d <= window / 2, np.exp(-0.5 * (d / sigma) ** 2), 0) * np.isfinite(y)
-    return (w @ np.nan_to_num(y)) / np.where(w.sum(axis=1) > 0, w.sum(axis=1), np.nan)
+def weighted_line(rows: DataFrame, key: list[str], x: str, y: str, w: str) -> DataFrame:
+    """key, slope, intercept and n of a weighted line: weighted means first, then centred sums, which don't cancel. Null without two different x."""
+    rows = rows.select(*key, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"), F.col(w).cast("double").alias("_w")).dropna(subset=["_x", "_y", "_w"])
+    means = rows.groupBy(*key).agg((F.sum(F.col("_w") * F.col("_x")) / F.sum("_w")).alias("_mx"), (F.sum(F.col("_w") * F.col("_y")) / F.sum("_w")).alias("_my"))
+    dx, dy = F.col("_x") - F.col("_mx"), F.col("_y") - F.col("_my")
+    sums = rows.join(means, key).groupBy(*key).agg(F.first("_mx").alias("_mx"), F.first("_my").alias("_my"), F.sum(F.col("_w") * dx * dx).alias("_xx"), F.sum(F.col("_w") * dx * dy).alias("_xy"), F.count("*").alias("n"))
+    slope = F.col("_xy") / F.nullif(F.col("_xx"), F.lit(0.0))
+    return sums.select(*key, slope.alias("slope"), (F.col("_my") - slope * F.col("_mx")).alias("intercept"), "n")
+
+
+def by_reach(rows: DataFrame, columns: list[str], kernel: Callable[..., dict[str, np.ndarray]], schema: str) -> DataFrame:
+    """kernel(arrays of columns) for every reach_id; its arrays become rows. The first of columns orders a reach's rows.
+
+    Reaches are dealt to partitions and come sorted, so a call of Python serves a batch of many reaches; a reach is some hundred rows.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def done(tables: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            table = pa.Table.from_batches(tables)
+            ids = table["reach_id"].to_numpy()
+            edges = [0, *(np.flatnonzero(ids[1:] != ids[:-1]) + 1).tolist(), len(ids)]
+            values = [table[c].to_numpy(zero_copy_only=False) for c in columns]
+            out = []
+            for i, j in zip(edges[:-1], edges[1:], strict=True):
+                found = kernel(*(v[i:j] for v in values))
+                n = len(next(iter(found.values())))
+                out.append({"reach_id": np.full(n, ids[i]), **found})
+            yield pa.record_batch({k: pa.array(np.concatenate([o[k] for o in out]), from_pandas=True) for k in out[0]})
+
+        for batch in batches:
+            if not len(batch):
+                continue
+            ids = batch.column("reach_id").to_numpy()
+            last = int(np.flatnonzero(ids != ids[-1]).max(initial=-1)) + 1  # the last reach may go on in the next batch
+            if held and held[-1].column("reach_id")[0].as_py() != ids[0]:
+                yield from done(held)
+                held = []
+            if last:
+                yield from done([*held, batch.slice(0, last)])
+                held = []
+            held.append(batch.slice(last))
+        if held:
+            yield from done(held)
+
+    return rows.select("reach_id", *columns).repartition("reach_id").sortWithinPartitions("reach_id", columns[0]).mapInArrow(run, f"reach_id long, {schema}")
+
+
+def smooth(s: np.ndarray, y: np.ndarray, window: float, sigma: float, u: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Gaussian moving average by distance within a window and the deviation that it passes on; NaN values carry no weight. O(n) windows of a sorted s."""
+    ok = np.isfinite(y)
+    out, spread = np.full(len(s), np.nan), np.full(len(s), np.nan)
+    u = np.zeros(len(s)) if u is None else u
+    low, high = np.searchsorted(s, s - window / 2, "left"), np.searchsorted(s, s + window / 2, "right")
+    for k, (i, j) in enumerate(zip(low.tolist(), high.tolist(), strict=True)):
+        w = np.exp(-0.5 * ((s[i:j] - s[k]) / sigma) ** 2) * ok[i:j]
+        if w.sum() > 0:
+            out[k] = (w * np.nan_to_num(y[i:j])).sum() / w.sum()
+            spread[k] = np.sqrt((w * w * u[i:j] ** 2)[ok[i:j]].sum()) / w.sum()
+    return out, spread
+
+
+# The systematic parts (m, m/m) of the uncertainties of heights and slopes.
+HEIGHT_FLOOR, SLOPE_FLOOR = 0.09, 3e-6
 
 
 def enhanced_slope(nodes: DataFrame, min_sigma: float = 1000.0, max_window: float = 10000.0, ratio: float = 5.0) -> DataFrame:
-    """reach_id, slope: detrended heights are smoothed, the line is put back, the ends give the slope. Columns reach_id, s, wse."""
+    """reach_id, slope, slope_r_u, slope_u: detrended heights are smoothed, the line is put back, the ends give the slope. Columns reach_id, s, wse, wse_u.
 
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        f = frame.dropna(subset=["s", "wse"]).sort_values("s")
-        slope, intercept = wls(f.s.to_numpy(), f.wse.to_numpy())
+    slope_r_u propagates the deviations of the nodes through both ends' weights, of which those in both windows count as covariance.
+    """
+
+    def kernel(s, y, u) -> dict[str, np.ndarray]:
+        ok = np.isfinite(s) & np.isfinite(y)
+        s, y, u = s[ok], y[ok], np.nan_to_num(u[ok])
+        slope, intercept = wls(s, y)
+        r_u = np.nan
         if np.isfinite(slope):
-            s = f.s.to_numpy()
-            window = min(max_window, np.ptp(s))
-            y = smooth(s, f.wse.to_numpy() - slope * s - intercept, window, max(min_sigma, window / ratio)) + slope * s + intercept
-            slope = float((y[-1] - y[0]) / (s[-1] - s[0]))
-        return pd.DataFrame({"reach_id": [frame.reach_id.iloc[0]], "slope": [slope]})
+            length = s[-1] - s[0]
+            window = min(max_window, length)
+            sigma = max(min_sigma, window / ratio)
+            level = smooth(s, y - slope * s - intercept, window, sigma)[0] + slope * s + intercept
+            slope = (level[-1] - level[0]) / length
+            first, last = (np.where(np.abs(s - e) <= window / 2, np.exp(-0.5 * ((s - e) / sigma) ** 2), 0) for e in (s[0], s[-1]))
+            r_u = np.sqrt(((first / first.sum() - last / last.sum()) ** 2 * u * u).sum()) / length
+        return {"slope": np.array([slope]), "slope_r_u": np.array([r_u]), "slope_u": np.array([np.hypot(r_u, SLOPE_FLOOR)])}
 
-    return nodes.select("reach_id", "s", "wse").groupBy("reach_id").applyInPandas(run, "reach_id long, slope double")
+    return by_reach(nodes, ["s", "wse", "wse_u"], kernel, "slope double, slope_r_u double, slope_u double")
 
 
-def bayes_slope(nodes: DataFrame, tau: float = 10000.0, alpha: float = 1.0) -> DataFrame:
-    """reach_id, slope, height: heights reconstructed with an exponential prior covariance about the weighted line. Columns reach_id, s, wse, wse_u."""
+def reconstructed(s: np.ndarray, y: np.ndarray, u: np.ndarray, prior: np.ndarray | None, tau: float, alpha: float, noise_power: int) -> tuple[np.ndarray, np.ndarray]:
+    """Heights at all nodes and their covariance, given observed heights y (NaN where none) with deviations u.
 
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        f = frame.dropna(subset=["s"]).sort_values("s")
-        s, y, u = f.s.to_numpy(), f.wse.to_numpy(), f.wse_u.to_numpy()
-        seen = np.isfinite(y) & np.isfinite(u) & (u > 0)
+    The prior is the weighted line of the observed nodes, or the heights told; its covariance falls off exponentially with distance. Observation noise
+    has the deviations to the power noise_power on its diagonal: 1 as the published processing has it, 2 for variances.
+    """
+    seen = np.isfinite(y) & np.isfinite(u) & (u > 0)
+    if prior is None or not np.isfinite(prior).all():
         slope, intercept = wls(s[seen], y[seen], 1 / u[seen] ** 2)
-        height = np.nan
-        if np.isfinite(slope):
-            prior = slope * s + intercept
-            cov = alpha**2 * np.exp(-np.abs(s[:, None] - s[None, :]) / tau)
-            gain = cov[:, seen] @ np.linalg.pinv(cov[np.ix_(seen, seen)] + np.diag(u[seen] ** 2))
-            post = prior + gain @ (y[seen] - prior[seen])
-            slope, height = float((post[-1] - post[0]) / (s[-1] - s[0])), float(post.mean())
-        return pd.DataFrame({"reach_id": [frame.reach_id.iloc[0]], "slope": [slope], "height": [height]})
+        prior = slope * s + intercept
+    cov = alpha**2 * np.exp(-np.abs(s[:, None] - s[None, :]) / tau)
+    gain = np.linalg.solve(cov[np.ix_(seen, seen)] + np.diag(u[seen] ** noise_power), cov[seen]).T
+    return prior + gain @ (y[seen] - prior[seen]), cov - gain @ cov[seen]
+
+
+def bayes_slope(nodes: DataFrame, tau: float = 10000.0, alpha: float = 1.0, noise_power: int = 1, prior: str | None = None) -> DataFrame:
+    """reach_id, slope, height, slope_u, height_u: from heights reconstructed at all nodes. Columns reach_id, s, wse, wse_u and, if told, prior.
+
+    The slope joins the end nodes, the height is the mean. Their uncertainties are the quadratic forms of the covariance, scaled by 1e-4 and 1e-2 as
+    published, without a root. Null without two observed nodes.
+    """
+
+    def kernel(s, y, u, p=None) -> dict[str, np.ndarray]:
+        out = np.full(4, np.nan)
+        seen = np.isfinite(y) & np.isfinite(u) & (u > 0)
+        if seen.sum() > 1 and np.ptp(s[seen]) > 0:
+            level, cov = reconstructed(s, y, u, p, tau, alpha, noise_power)
+            ends = cov[0, 0] + cov[-1, -1] - 2 * cov[0, -1]
+            out[:] = (level[-1] - level[0]) / (s[-1] - s[0]), level.mean(), ends * 1e-4, cov.sum() * 1e-2
+        return {n: out[k : k + 1] for k, n in enumerate(("slope", "height", "slope_u", "height_u"))}
 
-    return nodes.select("reach_id", "s", "wse", "wse_u").groupBy("reach_id").applyInPandas(run, "reach_id long, slope double, height double")
+    rows = nodes.dropna(subset=["s"])
+    return by_reach(rows, ["s", "wse", "wse_u", *([prior] if prior else [])], kernel, "slope double, height double, slope_u double, height_u double")
 
 
-def linear_outliers(nodes: DataFrame, absolute: float = 10.0, share: float = 68.0, cap: float = 80.0, rounds: int = 2) -> DataFrame:
-    """reach_id, node_id, good: lines are refitted to the nodes near the last one; a node is good if its residual is below the share's percentile or the absolute bound.
+def last_cut(off: np.ndarray, absolute: float, upper: float) -> np.ndarray:
+    """Which distances stay: below the upper percentile, or below the absolute bound if that is larger."""
+    return off < max(np.percentile(off, upper), absolute)
 
-    Columns reach_id, node_id, s, wse, wse_u.
+
+def iterative_line(s: np.ndarray, y: np.ndarray, w: np.ndarray, absolute: float, share: float = 68.0, upper: float = 80.0, rounds: int = 3) -> np.ndarray:
+    """Which nodes are good: a line is refitted, with weights, to the nodes near the last one; distances are always those of all nodes.
+
+    A node is near below the share's percentile or the absolute bound; if that keeps no more than upper percent, all below the upper percentile are.
     """
+    slope, intercept = wls(s, y)
+    for _ in range(rounds):
+        off = np.abs(y - slope * s - intercept)
+        near = off < max(np.percentile(off, share), absolute)
+        if near.mean() * 100 <= upper:
+            near = off < np.percentile(off, upper)
+        slope, intercept = wls(s[near], y[near], w[near] if np.isfinite(w).all() else None)
+        if not np.isfinite(slope):
+            return near
+    return last_cut(np.abs(y - slope * s - intercept), absolute, upper)
 
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        s, y, u = frame.s.to_numpy(float), frame.wse.to_numpy(float), frame.wse_u.to_numpy(float)
-        ok = np.isfinite(s) & np.isfinite(y)
-        keep, weights = ok.copy(), np.ones(len(s))
-        for turn in range(rounds + 1):
-            slope, intercept = wls(s[keep], y[keep], weights[keep])
-            if not np.isfinite(slope):
-                break
-            r = np.abs(y - slope * s - intercept)
-            bound = min(max(np.percentile(r[keep], share), absolute), max(np.percentile(r[ok], cap), absolute))
-            keep = ok & (r <= bound)
-            weights = np.where(np.isfinite(u) & (u > 0), 1 / np.maximum(u, 1e-6) ** 2, 0) if turn == 0 else weights
-        return pd.DataFrame({"reach_id": frame.reach_id, "node_id": frame.node_id, "good": keep})
-
-    return nodes.select("reach_id", "node_id", "s", "wse", "wse_u").groupBy("reach_id").applyInPandas(run, "reach_id long, node_id long, good boolean")
-
-
-def broken_line(x: np.ndarray, v: np.ndarray, grid: int = 25) -> tuple[float, np.ndarray]:
-    """(break, coefficients of 1, x and max(x - break, 0)): the best break on a grid, refined by Gauss-Newton steps."""
-
-    def fit(b: float) -> tuple[float, np.ndarray]:
-        a = np.column_stack((np.ones(len(x)), x, np.maximum(x - b, 0)))
-        c = np.linalg.lstsq(a, v, rcond=None)[0]
-        return float(((v - a @ c) ** 2).sum()), c
-
-    best = min(np.linspace(x.min(), x.max(), grid + 2)[1:-1], key=lambda b: fit(b)[0])
-    for _ in range(5):
-        a = np.column_stack((np.ones(len(x)), x, np.maximum(x - best, 0), -(x > best).astype(float)))
-        d = np.linalg.lstsq(a, v, rcond=None)[0]
-        moved = best + (d[3] / d[2] if d[2] else 0)
-        if not x.min() < moved < x.max() or fit(moved)[0] >= fit(best)[0]:
-            break
-        best = moved
-    return best, fit(best)[1]
-
-
-def piecewise_outliers(nodes: DataFrame, absolute: float = 10.0, share: float = 68.0, rounds: int = 2) -> DataFrame:
-    """As linear_outliers, about a line with one break; reaches of fewer than five nodes have no outliers."""
 
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        s, y = frame.s.to_numpy(float), frame.wse.to_numpy(float)
-        ok = np.isfinite(s) & np.isfinite(y)
-        good = ok.copy()
+def reach_bound(s: np.ndarray, y: np.ndarray, w: np.ndarray, per_km: float) -> float:
+    """The absolute bound of a reach: per_km times its height change over a kilometre."""
+    slope, _ = wls(s, y, w)
+    return abs(slope * 1000 * per_km) if np.isfinite(slope) else 0.0
+
+
+def linear_outliers(nodes: DataFrame, absolute: float | None = 10.0, per_km: float = 1.5, share: float = 68.0, upper: float = 80.0, rounds: int = 3) -> DataFrame:
+    """reach_id, node_id, good, by iterative_line. Columns reach_id, node_id, s, wse, wse_u; without absolute the bound is that of the reach.
+
+    Nodes without a height or weight are not good; a reach of fewer than three such nodes has none that is.
+    """
+
+    def kernel(s, node, y, u) -> dict[str, np.ndarray]:
+        w = np.where(np.isfinite(u) & (u > 0), 1 / np.maximum(u, 1e-6) ** 2, 0)
+        ok = np.isfinite(s) & np.isfinite(y) & (w > 0)
+        good = np.zeros(len(s), bool)
+        if ok.sum() > 2 and np.ptp(s[ok]) > 0:
+            bound = reach_bound(s[ok], y[ok], w[ok], per_km) if absolute is None else absolute
+            good[ok] = iterative_line(s[ok], y[ok], w[ok], bound, share, upper, rounds)
+        return {"node_id": node, "good": good}
+
+    return by_reach(nodes, ["s", "node_id", "wse", "wse_u"], kernel, "node_id long, good boolean")
+
+
+class BrokenLine:
+    """A continuous line with breaks, fitted by weighted least squares: the slopes change at breaks that are moved until they settle."""
+
+    def __init__(self, x: np.ndarray, y: np.ndarray, w: np.ndarray, apart: float, edge: float):
+        self.x, self.y, self.root = x, y, np.sqrt(w)
+        self.low, self.high = np.quantile(x, edge), np.quantile(x, 1 - edge)
+        self.apart = apart * np.ptp(x)
+
+    def solve(self, breaks: np.ndarray, pick: np.ndarray | slice = slice(None), moves: bool = False) -> tuple[np.ndarray, float]:
+        x, y, root = self.x[pick], self.y[pick], self.root[pick]
+        bent = np.maximum(x[:, None] - breaks, 0)
+        parts = [np.ones((len(x), 1)), x[:, None], bent, *([-(x[:, None] > breaks).astype(float)] if moves else [])]
+        a = np.hstack(parts)
+        c = np.linalg.lstsq(a * root[:, None], y * root, rcond=None)[0]
+        return c, float((((y - a @ c) * root) ** 2).sum())
+
+    def settle(self, breaks: np.ndarray, pick: np.ndarray | slice = slice(None), rounds: int = 30) -> np.ndarray | None:
+        """Breaks where the fit's jumps vanish, or None if they leave the range, come too close or don't settle."""
+        k = len(breaks)
         for _ in range(rounds):
-            if good.sum() < 5:
-                break
-            b, c = broken_line(s[good], y[good])
-            r = np.abs(y - c[0] - c[1] * s - c[2] * np.maximum(s - b, 0))
-            good = ok & (r <= max(np.percentile(r[good], share), absolute))
-        return pd.DataFrame({"reach_id": frame.reach_id, "node_id": frame.node_id, "good": good})
-
-    return nodes.select("reach_id", "node_id", "s", "wse").groupBy("reach_id").applyInPandas(run, "reach_id long, node_id long, good boolean")
+            c, _ = self.solve(breaks, pick, True)
+            if (c[2 : 2 + k] == 0).any():
+                return None
+            moved = np.sort(breaks + c[2 + k :] / c[2 : 2 + k])
+            if moved[0] < self.low or moved[-1] > self.high or (np.diff(moved) < self.apart).any():
+                return None
+            if np.abs(moved - breaks).max() < 1e-5 * (self.high - self.low):
+                return moved
+            breaks = moved
+        return None
+
+    def fit(self, k: int, boots: int, rounds: int) -> np.ndarray | None:
+        """The values of the best fit with k breaks; restarts from fits to resampled points, drawn by a seed from the data."""
+        start = np.linspace(self.low, self.high, k + 2)[1:-1] if k == 1 else np.linspace(self.low, self.high, k)
+        best, least = self.settle(start, rounds=rounds), np.inf
+        if best is not None:
+            least = self.solve(best)[1]
+        draw = np.random.default_rng(abs(int(np.nanmean(self.y) * 1e6)) % 2**32)
+        for _ in range(boots):
+            pick = draw.integers(0, len(self.x), len(self.x))
+            from_sample = self.settle(start if best is None else best, pick, rounds)
+            again = self.settle(from_sample, rounds=rounds) if from_sample is not None else None
+            if again is not None and (off := self.solve(again)[1]) < least:
+                best, least = again, off
+        if best is None:
+            return None
+        c, _ = self.solve(best)
+        return c[0] + c[1] * self.x + np.maximum(self.x[:, None] - best, 0) @ c[2:]
+
+
+def piecewise_good(s, y, w, quality, absolute: float, upper: float, apart: float, edge: float, boots: int, rounds: int) -> np.ndarray:
+    """Which nodes are good: near a broken line with as many breaks as settle, from one for each ten nodes less one downwards, else near a plain one.
+
+    Nodes count 4, 3, 2 or 1 times by their quality, 0 to 3.
+    """
+    n = len(s)
+    times = np.clip(4 - np.nan_to_num(quality, nan=3.0), 1, 4)
+    share = lambda v: v if 0 < v < 1 else v / n
+    for k in range(n // 10 - 1, 0, -1) if n > 10 else ():
+        level = BrokenLine(s, y, times, share(apart), share(edge)).fit(k, boots, rounds)
+        if level is not None:
+            return last_cut(np.abs(y - level), absolute, upper)
+    return iterative_line(s, y, w, absolute, 68.0, upper, 3)
+
+
+def piecewise_outliers(
+    nodes: DataFrame, absolute: float | None = 10.0, per_km: float = 1.5, upper: float = 80.0, apart: float = 0.1, edge: float = 0.1, boots: int = 10, rounds: int = 30
+) -> DataFrame:
+    """reach_id, node_id, good, by piecewise_good. Columns reach_id, node_id, s, wse, wse_u, node_q.
+
+    apart and edge are the least distances of breaks from each other and from the ends, as shares of the reach if below 1, else in nodes.
+    """
+
+    def kernel(s, node, y, u, q) -> dict[str, np.ndarray]:
+        w = np.where(np.isfinite(u) & (u > 0), 1 / np.maximum(u, 1e-6) ** 2, 0)
+        ok = np.isfinite(s) & np.isfinite(y) & (w > 0)
+        good = np.zeros(len(s), bool)
+        if ok.sum() > 2 and np.ptp(s[ok]) > 0:
+            bound = reach_bound(s[ok], y[ok], w[ok], per_km) if absolute is None else absolute
+            good[ok] = piecewise_good(s[ok], y[ok], w[ok], q[ok].astype(float), bound, upper, apart, edge, boots, rounds)
+        return {"node_id": node, "good": good}
+
+    return by_reach(nodes, ["s", "node_id", "wse", "wse_u", "node_q"], kernel, "node_id long, good boolean")
 
 
 def flow_distance(nodes: DataFrame, key: list[str], order: list[str], length: str) -> DataFrame:
