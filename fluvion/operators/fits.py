@@ -277,7 +277,7 @@ def piecewise_good(s, y, w, quality, absolute: float, upper: float, apart: float
 def piecewise_outliers(
     nodes: DataFrame, absolute: float | None = 10.0, per_km: float = 1.5, upper: float = 80.0, apart: float = 0.1, edge: float = 0.1, boots: int = 10, rounds: int = 30
 ) -> DataFrame:
-    """reach_id, node_id, good, by piecewise_good. Columns reach_id, node_id, s, wse, wse_u, node_q.
+    """reach_id, node_id, good, by piecewise_good. Columns reach_id, node_id, s, wse, wse_u and node_q; without node_q all nodes count alike.
 
     apart and edge are the least distances of breaks from each other and from the ends, as shares of the reach if below 1, else in nodes.
     """
@@ -291,6 +291,8 @@ def piecewise_outliers(
             good[ok] = piecewise_good(s[ok], y[ok], w[ok], q[ok].astype(float), bound, upper, apart, edge, boots, rounds)
         return {"node_id": node, "good": good}
 
+    if "node_q" not in nodes.columns:
+        nodes = nodes.withColumn("node_q", F.lit(0))
     return by_reach(nodes, ["s", "node_id", "wse", "wse_u", "node_q"], kernel, "node_id long, good boolean")
 
 

@@ -462,10 +462,21 @@ def time_text(spark, sf_dir):
 
 def _reach_nodes(spark, sf_dir):
     n = node_rows(spark, sf_dir)
-    return n.select(c("reach").alias("reach_id"), c("node").alias("node_id"), (c("node") * 200.0).alias("s"), "wse", (1 / F.sqrt("n")).alias("wse_u"))
+    return n.select(c("reach").alias("reach_id"), c("node").alias("node_id"), (c("node") * 200.0).alias("s"), "wse", (1 / F.sqrt("n")).alias("wse_u"), (c("n") % 4).alias("node_q"))
 
 
-@query()
+def _refit(k: int) -> str:
+    """One round of the outlier rule: distances to line k, who is near, the weighted line k + 1 of those."""
+    return f"""o{k} as (select x.*, abs(y - b * s - a) as d from x join f{k} using (reach)),
+p{k} as (select reach, greatest(quantile_cont(d, 0.68), 10) as t, quantile_cont(d, 0.8) as u from o{k} group by 1),
+k{k} as (select o{k}.*, case when avg((d < t)::int) over (partition by reach) * 100 <= 80 then d < u else d < t end as near from o{k} join p{k} using (reach)),
+m{k} as (select reach, sum(w * s) / sum(w) as ms, sum(w * y) / sum(w) as my from k{k} where near group by 1),
+f{k + 1} as (select reach, sum(w * (s - ms) * (y - my)) / sum(w * (s - ms) * (s - ms)) as b, any_value(my) - b * any_value(ms) as a from k{k} join m{k} using (reach) where near group by 1)"""
+
+
+@query(f"""with $NODES, x as (select reach, node, node * 200.0::double as s, wse as y, n::double as w from nodes),
+f0 as (select reach, regr_slope(y, s) as b, regr_intercept(y, s) as a from x group by 1), {_refit(0)}, {_refit(1)}, {_refit(2)}, o3 as (select x.*, abs(y - b * s - a) as d from x join f3 using (reach)),
+p3 as (select reach, greatest(quantile_cont(d, 0.8), 10) as t from o3 group by 1) select reach as reach_id, node as node_id, d < t as good from o3 join p3 using (reach)""")
 def iterative_outliers(spark, sf_dir):
     return fits.linear_outliers(_reach_nodes(spark, sf_dir))
 
