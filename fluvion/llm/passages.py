@@ -38,8 +38,10 @@ class Windows:
         self.phrase = least[self.starts]
 
     def twice(self) -> np.ndarray:
-        """Which runs hold their phrase more than once: those with more windows than one place of it can serve."""
-        return self.ends - self.starts > self.window - self.phrase_words + 1
+        """Which runs hold their phrase more than once: its first place in the first window is not its last in the last one."""
+        inside = self.ends[:, None] - 1 + np.arange(self.window - self.phrase_words, -1, -1)
+        last = self.ends - 1 + self.window - self.phrase_words - self.phrases[inside].argmin(axis=1) if self.n else self.starts
+        return last != self.phrase_places()
 
     def phrase_places(self) -> np.ndarray:
         """Where each run's phrase stands first in its first window."""
