@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 import tempfile
 import uuid
@@ -24,6 +25,8 @@ SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
 #: Long texts are hashed in stretches of about this many bytes.
 STRETCH = 1 << 18
+#: Edges of a graph that a task contracts at once: some 100 MB at work.
+PIECE = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -194,14 +197,46 @@ def sliding_min(a: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(a[:n], a[width - have : width - have + n])
 
 
-def components(edges: DataFrame, name: str = "components", rounds: int = 60) -> DataFrame:
+def _contracted(edges: DataFrame, piece: int, roots: bool = False) -> DataFrame:
+    """Every node u of a piece of edges (u, v) with v, the least node that the piece's edges lead to; that node itself only if roots."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def stars() -> pa.RecordBatch:
+            rows = pa.Table.from_batches(held)
+            ends = np.concatenate([rows["u"].to_numpy(), rows["v"].to_numpy()])
+            names, at = np.unique(ends, return_inverse=True)
+            root = np.arange(len(names))
+            union(root, at[: len(rows)], at[len(rows) :])
+            given = np.arange(len(names)) if roots else np.flatnonzero(root != np.arange(len(names)))
+            return pa.record_batch([pa.array(names[given]), pa.array(names[root[given]])], ["u", "v"])
+
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if len(batch):
+                held.append(batch)
+            if sum(map(len, held)) >= piece:
+                yield stars()
+                held = []
+        if held:
+            yield stars()
+
+    return edges.mapInArrow(run, "u long, v long")
+
+
+def components(edges: DataFrame, name: str = "components", rounds: int = 60, piece: int = PIECE) -> DataFrame:
     """(node, component): the least node that each node of edges (a, b) reaches. Nodes without an edge get no row.
 
-    Large-star and small-star steps in turn; every step is an aggregate and a join, so a node with many
-    edges is never gathered in one place. Each round is a written table; the one before it is deleted. Paths halve in every round, so
-    a graph that is not done after rounds rounds raises an error.
+    Each piece of edges is contracted in a task, to a star for each part that hangs together in it; a graph of one piece is done then.
+    The stars of several pieces are joined by large-star and small-star steps in turn; every step is an aggregate and a join, so a
+    node with many edges is never gathered in one place. Each round is a written table; the one before it is deleted. Paths halve
+    in every round, so a graph that is not done after rounds rounds raises an error.
     """
-    e = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), name)
+    given = stored(edges.where("a <> b").select(F.col("a").cast("long").alias("u"), F.col("b").cast("long").alias("v")), f"{name}-edges")
+    pieces = math.ceil(given.count() / piece)
+    if pieces <= 1:
+        return stored(_contracted(given.coalesce(1), 2 * piece, roots=True).toDF("node", "component"), name)
+    e = stored(_contracted(given.coalesce(pieces), piece).distinct(), name)
+    discard(given)
 
     def star(pairs: DataFrame) -> DataFrame:
         return pairs.join(pairs.groupBy("u").agg(F.min("v").alias("m")), "u")

@@ -63,8 +63,26 @@ def test_hashes_of_words_and_phrases():
 
 def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (7, 7)], "a long, b long")
-    got = {r.node: r.component for r in common.components(edges).collect()}
-    assert got == {**dict.fromkeys(range(41), 0), 100: 100, 101: 100}
+    want = {**dict.fromkeys(range(41), 0), 100: 100, 101: 100}
+    for piece in (1000, 41, 10, 1):
+        got = common.components(edges.repartition(3), piece=piece).collect()
+        assert {r.node: r.component for r in got} == want and len(got) == len(want), piece
+    assert common.components(edges.limit(0)).collect() == []
+    with pytest.raises(RuntimeError):
+        common.components(edges, rounds=1, piece=1)
+
+
+def test_components_of_random_edges(spark):
+    r = random.Random(3)
+    pairs = [(r.randrange(400), r.randrange(400)) for _ in range(240)]
+    root = {n: n for p in pairs for n in p if p[0] != p[1]}
+    for _ in range(400):
+        for a, b in pairs:
+            if a != b:
+                root[a] = root[b] = min(root[a], root[b])
+    edges = spark.createDataFrame(pairs + pairs[:50], "a long, b long")
+    for piece in (10_000, 30):
+        assert {x.node: x.component for x in common.components(edges, piece=piece).collect()} == root
 
 
 def test_op1_permutation_and_round_trip(spark, awkward, awkward_rows, empty, tmp_path):
