@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import audio, counting, mixing, near_duplicates, ordering, packing, passages, sharding, toxicity, vectors
+from . import audio, codes, counting, mixing, near_duplicates, ordering, packing, passages, sharding, toxicity, vectors
 from .common import table
 
 
@@ -56,13 +56,26 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_training_order, op2_mix_sources, op3_audio_fingerprints, op4_toxicity, op5_pack, op6_passages, op7_shards, op8_near_duplicates, op9_token_counts, op10_near_vectors)
+    f.__name__: f for f in (op1_training_order, op2_mix_sources, op3_audio_fingerprints, op4_toxicity, op5_pack, op6_passages, op7_shards, op8_near_duplicates, op9_token_counts, op10_near_vectors, op12_vector_codes)
 }
 
 #: Words as the operators have them.
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+def _refined(k: int) -> str:
+    """One round over books k: every part's nearest entry, then the entries' means as books k + 1."""
+    return f"""
+near{k} as (select r, p, min(d * 64 + e) as best from (
+  select r, p, e, sum((x - y) * (x - y))::bigint as d from comps join books{k} using (p, j) group by r, p, e) group by r, p),
+means{k} as (select p, best % 64 as e, j, floor(sum(x)::double / count(*))::bigint as y from near{k} join comps using (r, p) group by 1, 2, 3),
+books{k + 1} as (select b.p, b.e, b.j, coalesce(m.y, b.y) as y from books{k} b left join means{k} m on b.p = m.p and b.e = m.e and b.j = m.j)"""
+
+
 SQL: dict[str, str] = {
     "op2_mix_sources": f"""
 with recursive sized as (select doc_id, source, len({_WORDS})::bigint as size from documents),
@@ -116,5 +129,16 @@ reach as (select vec_id, vec_id as other from v union select reach.vec_id, links
 parts as (select vec_id, min(other) as component_id from reach group by vec_id),
 degrees as (select x as vec_id, count(*) as n_links from links group by x)
 select vec_id, coalesce(n_links, 0)::bigint as n_links, component_id, vec_id = component_id as kept from parts left join degrees using (vec_id)
+""",
+    "op12_vector_codes": f"""
+with kept as (select row_number() over (order by vec_id) as r, vec_id, label, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as q
+  from embeddings where embedding is not null and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
+places as (select r, unnest(q) as x, generate_subscripts(q, 1) - 1 as i, len(q) // 16 as wide from kept),
+comps as (select r, i // wide as p, i % wide as j, x from places),
+books0 as (select p, r - 1 as e, j, x as y from comps where r <= 64),{_refined(0)},{_refined(1)},{_refined(2)},
+coded as (select r, string_agg(format('{{:02x}}', best % 64), '' order by p) as code, sum(best // 64)::bigint as error from near2 group by r),
+sums as (select label, sum(error)::bigint as label_error from kept join coded using (r) group by label)
+select vec_id, code, error, label_error, (select sha256(string_agg(y::varchar, ',' order by p, e, j)) from books2) as codebooks_sha256, k.label
+from kept k join coded using (r) join sums s on k.label is not distinct from s.label
 """,
 }
