@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import audio, codes, counting, mixing, near_duplicates, ordering, packing, passages, sharding, toxicity, vectors
+from . import audio, codes, counting, fill_middle, mixing, near_duplicates, ordering, packing, passages, sharding, toxicity, vectors
 from .common import table
 
 
@@ -60,8 +60,13 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.compress(table(spark, sf_dir, "embeddings"))
 
 
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fill_middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(fill_middle.restored(), 256).alias("restored_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_training_order, op2_mix_sources, op3_audio_fingerprints, op4_toxicity, op5_pack, op6_passages, op7_shards, op8_near_duplicates, op9_token_counts, op10_near_vectors, op12_vector_codes)
+    f.__name__: f for f in (op1_training_order, op2_mix_sources, op3_audio_fingerprints, op4_toxicity, op5_pack, op6_passages, op7_shards, op8_near_duplicates, op9_token_counts, op10_near_vectors, op12_vector_codes, op13_fill_middle)
 }
 
 #: Words as the operators have them.
@@ -140,5 +145,16 @@ coded as (select r, string_agg(format('{{:02x}}', best % 64), '' order by p) as
 sums as (select label, sum(error)::bigint as label_error from kept join coded using (r) group by label)
 select vec_id, code, error, label_error, (select sha256(string_agg(y::varchar, ',' order by p, e, j)) from books2) as codebooks_sha256, k.label
 from kept k join coded using (r) join sums s on k.label is not distinct from s.label
+""",
+    "op13_fill_middle": r"""
+with texts as (select doc_id, coalesce(text, '') as t, sha256('42:' || coalesce(doc_id::varchar, 'null')) as h from documents),
+drawn as (select doc_id, t, regexp_extract_all(t, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') as tokens,
+  ('0x' || h[1:8])::bigint as h1, ('0x' || h[9:16])::bigint as h2, ('0x' || h[17:24])::bigint as h3, ('0x' || h[25:32])::bigint as h4 from texts),
+cuts as (select *, len(tokens)::bigint as n, least(h1 % (len(tokens) + 1), h2 % (len(tokens) + 1)) as a, greatest(h1 % (len(tokens) + 1), h2 % (len(tokens) + 1)) as b,
+  case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 50 then 'plain' when h4 % 100 < 80 then 'spm' else 'psm' end as form from drawn),
+parts as (select *, array_to_string(tokens[1:a], '') as p, array_to_string(tokens[a + 1:b], '') as m, array_to_string(tokens[b + 1:], '') as s from cuts)
+select doc_id, n, form, case when form <> 'plain' then length(p) end as prefix_chars, case when form <> 'plain' then length(m) end as middle_chars,
+  sha256(case form when 'plain' then t when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256, sha256(t) as restored_sha256
+from parts
 """,
 }
