@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import audio, codes, counting, fill_middle, mixing, near_duplicates, ordering, packing, passages, sharding, toxicity, vectors
+from . import audio, codes, counting, fill_middle, languages, mixing, near_duplicates, ordering, packing, passages, sharding, toxicity, vectors
 from .common import table
 
 
@@ -56,6 +56,12 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op11_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = languages.identify(docs.select("doc_id", "text"), languages.fit(languages.learned(docs)))
+    return found.select("doc_id", languages.held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.compress(table(spark, sf_dir, "embeddings"))
 
@@ -66,7 +72,7 @@ def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_training_order, op2_mix_sources, op3_audio_fingerprints, op4_toxicity, op5_pack, op6_passages, op7_shards, op8_near_duplicates, op9_token_counts, op10_near_vectors, op12_vector_codes, op13_fill_middle)
+    f.__name__: f for f in (op1_training_order, op2_mix_sources, op3_audio_fingerprints, op4_toxicity, op5_pack, op6_passages, op7_shards, op8_near_duplicates, op9_token_counts, op10_near_vectors, op11_languages, op12_vector_codes, op13_fill_middle)
 }
 
 #: Words as the operators have them.
