@@ -105,12 +105,8 @@ select pixel, klass, m.node as node, round(m.d, 5) as distance from pix join bes
 def nearest_node(spark, sf_dir):
     p = pixels(spark, sf_dir).select("pixel", "klass", "h")
     n = table(spark, sf_dir, "part").select(c("p_size").alias("node"), c("p_size").alias("at")).distinct()
-    # the axis is cut into stretches of 8, a node stands in its own and in both neighbours; sizes are 1 to 50, prices reach beyond, so the outer stretches are clipped
-    stretch = F.least(F.greatest(F.floor(c("h") / 8), F.lit(0)), F.lit(6))
-    cells = n.withColumn("cell", F.explode(F.array(*(F.floor(c("at") / 8) + k for k in (-1, 0, 1))))).select("cell", "node").distinct()
-    best = F.min(F.struct(F.abs(c("h") - c("node")).alias("d"), c("node"))).alias("m")
-    met = p.select("h").distinct().withColumn("cell", stretch).join(cells, "cell").groupBy("h").agg(best)
-    return p.join(met, "h").select("pixel", "klass", c("m.node").alias("node"), r("m.d").alias("distance"))
+    out = joins.nearest_on_axis(p, n, [], "h", "at", "node", stretch=4.0)
+    return out.select("pixel", "klass", "node", r("distance").alias("distance"))
 
 
 @query("""with $PIX, ns as (select s_suppkey as reach, unnest([s_suppkey % 7, 20 + s_suppkey % 11, 55]) as node from supplier),
@@ -119,7 +115,7 @@ select pixel, klass, m.node as node, round(m.d, 5) as distance from met where m.
 def channel_filter(spark, sf_dir):
     p = pixels(spark, sf_dir).select("pixel", "klass", "reach", "h")
     n = table(spark, sf_dir, "supplier").select(c("s_suppkey").alias("reach"), F.explode(F.array(c("s_suppkey") % 7, 20 + c("s_suppkey") % 11, F.lit(55).cast("long"))).alias("node"))
-    out = joins.nearest_on_axis(p, n.withColumn("at", c("node")), ["reach"], "h", "at", "node")
+    out = joins.nearest_on_axis(p, n.withColumn("at", c("node")), ["reach"], "h", "at", "node", stretch=16.0)
     return out.where("distance <= 30").select("pixel", "klass", "node", r("distance").alias("distance"))
 
 
@@ -185,13 +181,17 @@ def topology_neighbours(spark, sf_dir):
     return down.join(s.withColumnRenamed("reach", "neighbour"), ["k", "neighbour"]).select("reach", "neighbour")
 
 
-@query("""select user_id, event_id, round(gap, 6) as gap from (select user_id, event_id, abs(epoch(ts) - (select floor(median(epoch(ts))) from events)) as gap from events)
-qualify row_number() over (partition by user_id order by gap, event_id) = 1""")
+_TIMES = "e as (select event_id, user_id, epoch_us(ts) / 1e6 as t, event_type = 'purchase' as bought from events), k as (select user_id, t, min(event_id) as reading from e where not bought group by 1, 2)"
+
+
+@query(f"""with {_TIMES}, lo as (select event_id, reading, e.t - k.t as gap from e asof join k on e.user_id = k.user_id and e.t >= k.t where bought), hi as (select event_id, reading, k.t - e.t as gap from e asof join k on e.user_id = k.user_id and e.t <= k.t where bought)
+select e.event_id, case when hi.gap is null or lo.gap <= hi.gap then lo.reading else hi.reading end as reading, round(least(lo.gap, hi.gap), 6) as gap, case when least(lo.gap, hi.gap) <= 1000 then 1 else 0 end as klass
+from e left join lo using (event_id) left join hi using (event_id) where bought""")
 def asof_nearest_event(spark, sf_dir):
-    e = table(spark, sf_dir, "events").withColumn("t", F.unix_micros(c("ts").cast("timestamp")) / 1e6)
-    mid = e.agg(F.floor(F.median("t")).alias("mid"))
-    best = F.min(F.struct(F.abs(c("t") - c("mid")).alias("gap"), c("event_id"))).alias("b")
-    return e.crossJoin(F.broadcast(mid)).groupBy("user_id").agg(best).select("user_id", c("b.event_id").alias("event_id"), r("b.gap", 6).alias("gap"))
+    """Every purchase is an instant of its own; the user's other events are the readings."""
+    e = table(spark, sf_dir, "events").select("event_id", "user_id", (F.unix_micros(c("ts").cast("timestamp")) / 1e6).alias("t"), (c("event_type") == "purchase").alias("bought"))
+    found = joins.nearest_in_time(e.where("bought").drop("bought"), e.where("not bought").select("user_id", "t", c("event_id").alias("reading")), ["user_id"], "t", "reading")
+    return found.select("event_id", "reading", r("gap", 6).alias("gap"), "klass")
 
 
 @query("""with $PIX select reach, node, count(*) as n, count(*) filter (where good) as n_good, round(avg(h) filter (where good), 5) as mean, round(median(h) filter (where good), 5) as median,

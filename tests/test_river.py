@@ -75,7 +75,7 @@ def test_components_follow_scan_order(spark):
 def test_nearest_on_axis_ties_and_missing(spark):
     p = spark.createDataFrame([(1, 1, 5.0), (2, 1, -3.0), (3, 2, 1.0), (4, 1, 99.0)], "id long, k long, h double")
     n = spark.createDataFrame([(1, 4.0, 10), (1, 6.0, 11)], "k long, at double, node long")
-    got = {r.id: (r.node, r.distance) for r in joins.nearest_on_axis(p, n, ["k"], "h", "at", "node").collect()}
+    got = {r.id: (r.node, r.distance) for r in joins.nearest_on_axis(p, n, ["k"], "h", "at", "node", 2.0).collect()}
     assert got == {1: (10, 1.0), 2: (10, 7.0), 3: (None, None), 4: (11, 93.0)}
 
 
