@@ -17,8 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MASK = (1 << 64) - 1
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
+#: Bases of the hash of a word's bytes, each modulo a prime below 2^31: a polynomial modulo a power of two would take words that differ
+#: by the Thue-Morse order of two letters for equal.
+_FIELDS = ((2_147_483_647, 1_103_515_245), (2_147_483_629, 1_664_525_017))
 _GRAM = 0xD6E8FEB86659FD93
 #: Words end at these bytes: U+0020 and U+0009 to U+000D.
 SPACE = np.zeros(256, bool)
@@ -102,16 +103,20 @@ def text_bytes(value) -> bytes:
     return b"" if value is None else value.encode("utf-8", "surrogatepass")
 
 
-_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_POWERS: list[tuple[np.ndarray, np.ndarray]] = [(np.ones(1, np.uint64), np.ones(1, np.uint64))] * len(_FIELDS)
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POWERS[0]) < n:
-        for k, base in enumerate((_BASE, _INVERSE)):
-            p = np.full(n, base, np.uint64)
-            p[0] = 1
-            _POWERS[k] = np.multiply.accumulate(p)
-    return _POWERS[0], _POWERS[1]
+def _powers(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Of each field the first n powers of the base and of its inverse."""
+    for k, (prime, base) in enumerate(_FIELDS):
+        if len(_POWERS[k][0]) < n:
+            grown = []
+            for b, have in zip((base, pow(base, -1, prime)), _POWERS[k], strict=True):
+                while len(have) < n:
+                    have = np.concatenate((have, have * np.uint64(pow(b, len(have), prime)) % np.uint64(prime)))
+                grown.append(have)
+            _POWERS[k] = tuple(grown)
+    return _POWERS
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -136,34 +141,39 @@ def word_hashes(data: bytes) -> np.ndarray:
     return np.concatenate(parts)
 
 
-def _edges(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of words, and running sums of the bytes' powers."""
+def _edges(data: bytes) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Starts and ends of words, and for each field running sums of the bytes' powers."""
     b = np.frombuffer(data, np.uint8)
     inside = np.concatenate(([False], ~SPACE[b], [False]))
     edge = np.flatnonzero(inside[1:] != inside[:-1])
-    total = np.zeros(len(b) + 1, np.uint64)
-    np.cumsum((b.astype(np.uint64) + np.uint64(1)) * _powers(len(b) + 1)[0][: len(b)], out=total[1:])
-    return edge[::2], edge[1::2], total
+    letters, totals = b.astype(np.uint64) + np.uint64(1), []
+    for (prime, _), (up, _) in zip(_FIELDS, _powers(len(b) + 1), strict=True):
+        total = np.zeros(len(b) + 1, np.uint64)
+        np.cumsum(letters * up[: len(b)] % np.uint64(prime), out=total[1:])
+        totals.append(total)
+    return edge[::2], edge[1::2], totals
 
 
-def _hash(total: np.ndarray, starts: np.ndarray, ends: np.ndarray, tag: int = 0) -> np.ndarray:
-    down = _powers(len(total))[1]
-    return mix((total[ends] - total[starts]) * down[starts] + ((ends - starts).astype(np.uint64) + np.uint64(tag << 32)) * np.uint64(_GRAM))
+def _hash(totals: list[np.ndarray], starts: np.ndarray, ends: np.ndarray, tag: int = 0) -> np.ndarray:
+    parts = []
+    for (prime, _), (_, down), total in zip(_FIELDS, _powers(len(totals[0])), totals, strict=True):
+        parts.append((total[ends] - total[starts]) % np.uint64(prime) * down[starts] % np.uint64(prime))
+    return mix((parts[0] << np.uint64(32) | parts[1]) + ((ends - starts).astype(np.uint64) + np.uint64(tag << 32)) * np.uint64(_GRAM))
 
 
 def _stretch(data: bytes) -> np.ndarray:
-    starts, ends, total = _edges(data)
-    return _hash(total, starts, ends)
+    starts, ends, totals = _edges(data)
+    return _hash(totals, starts, ends)
 
 
 def affix_hashes(data: bytes, n: int) -> np.ndarray:
     """A hash of the first n bytes (the last -n, if n is negative) of each word that has more."""
     parts = []
     for at in range(0, max(len(data), 1), STRETCH):  # a word across a border counts as two here
-        starts, ends, total = _edges(data[at : at + STRETCH])
+        starts, ends, totals = _edges(data[at : at + STRETCH])
         long = ends - starts > abs(n)
         starts, ends = starts[long], ends[long]
-        parts.append(_hash(total, starts, starts + n, n) if n > 0 else _hash(total, ends + n, ends, 64 - n))
+        parts.append(_hash(totals, starts, starts + n, n) if n > 0 else _hash(totals, ends + n, ends, 64 - n))
     return np.concatenate(parts)
 
 

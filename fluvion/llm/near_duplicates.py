@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections import OrderedDict
 from collections.abc import Iterator
 
@@ -94,7 +95,7 @@ def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """row_hash, doc_id, k1, k2 (a hash of the word sequence), bands and sig (a byte for each component) of texts with words."""
+    """row_hash, doc_id, k1, k2 (a cryptographic digest of the words themselves: rows with equal ones have equal words), bands and sig (a byte for each component) of texts with words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -105,14 +106,13 @@ def signatures(docs: DataFrame) -> DataFrame:
                     words = word_hashes(text_bytes(text))
                     if len(words):
                         every = grams(words, min(SHINGLE, len(words)))
-                        turn = np.arange(1, len(every) + 1, dtype=np.uint64)
-                        keys.append((int(mix(every * (turn * np.uint64(2) + np.uint64(1))).sum()), int(mix(every + turn * _STEP).sum() ^ np.uint64(len(words)))))
+                        keys.append(np.frombuffer(hashlib.blake2b(b" ".join(text_bytes(text).split()), digest_size=16).digest(), "<i8"))
                         bags.append(np.unique(every, return_counts=True))
                         keep.append(k)
                 if not keep:
                     continue
                 sig = bag_minhash(bags)
-                k = np.array(keys, np.uint64).view(np.int64)
+                k = np.array(keys)
                 rows = batch.take(pa.array(keep))
                 bands = band_keys(sig)
                 flat = pa.ListArray.from_arrays(pa.array(np.arange(len(keep) + 1) * bands.shape[1], pa.int32()), pa.array(bands.reshape(-1)))
