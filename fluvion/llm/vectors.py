@@ -15,13 +15,15 @@ from .common import components, discard, stored, union
 
 COSINE = 0.95
 #: The index's sample: this many vectors for each square root of the number of distinct vectors, within bounds. Pivots are those of the sample
-#: that are not within SEPARATION of an earlier one: two pivots in one dense cluster would only cut it in halves.
+#: that are not within a separation of an earlier one: two pivots in one dense cluster would only cut it in halves. The separation is this share
+#: of the way from the sample's median cosine to 1, so that vectors that all lie in a narrow cone have many pivots, too.
 PIVOTS_PER_ROOT, LEAST_PIVOTS, MOST_PIVOTS = 1.2, 16, 32_768
 SEPARATION = 0.7
-#: Nearest pivots that describe a vector; candidates share SHARED of them.
-NEAREST, SHARED = 6, 2
-#: A vector stands in the lists of so many of its nearest pivots.
-LISTS = 3
+#: A vector stands in the lists of its nearest pivots, and is described by half as many more. How many these are is fitted: so that of pairs
+#: of the sample's vectors and vectors at just the cosine, in random directions, this share meets. Beyond MOST_LISTS pivots are halved instead.
+TARGET, TRIALS, MOST_LISTS = 0.98, 512, 24
+#: Candidates share so many of the pivots that describe them.
+SHARED = 2
 #: Rows of a list that are compared in one piece.
 BLOCK = 4096
 
@@ -40,22 +42,58 @@ def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def choose_pivots(sample: pa.Array | pa.ChunkedArray, separation: float = SEPARATION) -> dict[int, tuple[int, np.ndarray]]:
-    """Of each dimension, the number of its first pivot and the pivots, in the sample's order and none near an earlier one."""
+def choose_pivots(sample: pa.Array | pa.ChunkedArray, cosine: float = COSINE, separation: float = SEPARATION) -> tuple[dict[int, tuple[int, np.ndarray]], int]:
+    """Of each dimension, the number of its first pivot and the pivots, in the sample's order and none near an earlier one; and the number of lists.
+
+    Of a dimension's sample the last TRIALS, half of it at most, only serve to fit the number of lists.
+    """
     sample = sample.combine_chunks() if isinstance(sample, pa.ChunkedArray) else sample
     lengths = sample.value_lengths().to_numpy(zero_copy_only=False)
-    out, first = {}, 0
+    out, first, most = {}, 0, 1
     for size in np.unique(lengths).tolist():
         x = matrix(sample.take(pa.array(np.flatnonzero(lengths == size))))
-        kept = np.zeros(len(x), bool)
-        for k in range(len(x)):
-            kept[k] = not kept[:k].any() or (x[:k][kept[:k]] @ x[k]).max() < separation
-        out[size] = (first, x[kept])
-        first += int(kept.sum())
-    return out
-
-
-def describe(classes: DataFrame, pivots: dict[int, tuple[int, np.ndarray]], nearest: int = NEAREST) -> DataFrame:
+        middle = max(0.0, float(np.median(x[: TRIALS // 2] @ x[-TRIALS // 2 :].T))) if len(x) > 2 else 0.0
+        near, kept = middle + (1 - middle) * separation, x[:0]
+        tried = min(TRIALS, len(x) // 2)  # these become no pivots: a pivot finds itself
+        for at in range(0, len(x) - tried, 256):
+            block = x[at : min(at + 256, len(x) - tried)]
+            block = block[(block @ kept.T).max(axis=1, initial=-1.0) < near]
+            chosen: list[int] = []
+            alike = block @ block.T
+            for k in range(len(block)):
+                if not chosen or alike[k, chosen].max() < near:
+                    chosen.append(k)
+            kept = np.concatenate((kept, block[chosen]))
+        pivots, lists = fitted(kept, x[len(x) - tried :], cosine)
+        out[size] = (first, pivots)
+        first, most = first + len(pivots), max(most, lists)
+    return out, most
+
+
+def fitted(pivots: np.ndarray, x: np.ndarray, cosine: float = COSINE) -> tuple[np.ndarray, int]:
+    """Pivots, fewer if need be, and the number of lists by which TARGET of the pairs of x and vectors at that cosine are found."""
+    rng = np.random.default_rng(len(x))
+    aside = rng.normal(size=x.shape)
+    aside -= (aside * x).sum(axis=1, keepdims=True) * x
+    length = np.linalg.norm(aside, axis=1, keepdims=True)
+    y = cosine * x + math.sqrt(max(0.0, 1 - cosine * cosine)) * np.divide(aside, length, out=np.zeros_like(aside), where=length > 0)
+    while True:
+        a, b = (np.argsort(-(v @ pivots.T), axis=1, kind="stable") for v in (x, y))
+        for lists in range(3, MOST_LISTS + 1):
+            wide = nearest_of(lists)
+            home = (b[:, :lists] == a[:, :1]).any(axis=1) | (a[:, :lists] == b[:, :1]).any(axis=1)
+            shared = (a[:, :wide, None] == b[:, None, :wide]).sum(axis=(1, 2)) >= min(SHARED, len(pivots))
+            if (len(x) and (home & shared).mean() >= TARGET) or lists >= len(pivots):
+                return pivots, min(lists, len(pivots))
+        pivots = pivots[: len(pivots) // 2]
+
+
+def nearest_of(lists: int) -> int:
+    """Pivots that describe a vector."""
+    return lists + lists // 2 + 1
+
+
+def describe(classes: DataFrame, pivots: dict[int, tuple[int, np.ndarray]], nearest: int) -> DataFrame:
     """Each vector with its permutation: its nearest pivots, nearest first. Vectors of a dimension without pivots share one of their own."""
     held = classes.sparkSession.sparkContext.broadcast(pivots)  # at most MOST_PIVOTS vectors
     names = classes.columns
@@ -78,7 +116,7 @@ def describe(classes: DataFrame, pivots: dict[int, tuple[int, np.ndarray]], near
     return classes.mapInArrow(run, classes.withColumn("permutation", F.lit(None).cast("array<int>")).schema)
 
 
-def compare(key: int, rows: pa.Table, cosine: float, lists: int = LISTS, shared: int = SHARED) -> tuple[np.ndarray, np.ndarray]:
+def compare(key: int, rows: pa.Table, cosine: float, lists: int, shared: int = SHARED) -> tuple[np.ndarray, np.ndarray]:
     """Of one pair of blocks of the list key (sides 0 and 1, or 0 alone): how many others each row gains, and for each the least row of those it is linked to.
 
     Candidates are pairs of which at least one is at home in the list (its nearest pivot is the list's) that share enough pivots, by the
@@ -113,13 +151,13 @@ def compare(key: int, rows: pa.Table, cosine: float, lists: int = LISTS, shared:
     return gain, root
 
 
-def near_vectors(vectors: DataFrame, cosine: float = COSINE, nearest: int = NEAREST, lists: int = LISTS, block: int = BLOCK) -> DataFrame:
+def near_vectors(vectors: DataFrame, cosine: float = COSINE, block: int = BLOCK) -> DataFrame:
     """vec_id, n_links, component_id and kept of every vector.
 
     Vectors are linked if their cosine, in double precision, is at least cosine. A sample of vectors, the first by a hash, gives the
     pivots; it grows with the root of the number of distinct vectors and is at most MOST_PIVOTS, so that beyond 700 million distinct
     vectors lists grow with their number. Every vector is described by its nearest pivots in order, the first of which is its home, and stands in the
-    inverted lists of the first lists of them. Two vectors meet in a list that is home to one of them; if they share SHARED of their
+    inverted lists of the first of them; how many is fitted to the sample (see TARGET). Two vectors meet in a list that is home to one of them; if they share SHARED of their
     nearest pivots, their cosine is verified. Lists are compared in pairs of blocks, which give counts and the edges of a
     forest, never their pairs. Equal vectors are one class and are expanded nowhere.
     Null vectors, vectors of zeros and those with null or non-finite components link with nothing; so do vectors of different
@@ -133,8 +171,9 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, nearest: int = NEAR
     classes = good.groupBy("k1", "k2").agg(F.min("vec_id").alias("least_id"), F.count("*").alias("copies"), F.first("embedding").alias("embedding"))
     classes = stored(classes.withColumn("node", F.monotonically_increasing_id()), "vector-classes")  # numbers are fixed by the write
     wanted = min(MOST_PIVOTS, max(LEAST_PIVOTS, math.ceil(PIVOTS_PER_ROOT * math.sqrt(classes.count()))))
-    sample = classes.orderBy(F.xxhash64(F.lit("pivot"), "k1"), "k2").limit(wanted).select("embedding").toArrow()
-    described = stored(describe(classes, choose_pivots(sample["embedding"]), nearest), "vector-described")
+    sample = classes.orderBy(F.xxhash64(F.lit("pivot"), "k1"), "k2").limit(wanted + TRIALS).select("embedding").toArrow()
+    pivots, lists = choose_pivots(sample["embedding"], cosine)
+    described = stored(describe(classes, pivots, nearest_of(lists)), "vector-described")
     discard(classes)
 
     listed = described.withColumn("list", F.explode(F.slice("permutation", 1, lists)))
