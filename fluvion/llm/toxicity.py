@@ -125,28 +125,38 @@ class Chain:
 
 
 def train(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, fit_rows: int = FIT_ROWS, folds: int = FOLDS, bits: int = BITS) -> Chain | None:
-    """The chain fitted on a bounded sample of labelled rows, or None without any. Ids with several labels count as the highest."""
+    """The chain fitted on a bounded sample of labelled documents, or None without any. Ids with several labels count as the highest.
+
+    Of documents with one id the one whose text has the least hash counts; a task keeps one for each id, so repeated rows don't reach the driver.
+    """
     flags = [F.max(F.when(F.expr(c), 1).otherwise(0)).alias(f"label_{k}") for k, (_, c) in enumerate(categories)]
     names = [f"label_{k}" for k in range(len(categories))]
-    known = labels.where("doc_id is not null").groupBy("doc_id").agg(*flags).orderBy(F.xxhash64(F.lit("fit"), "doc_id"), "doc_id").limit(fit_rows)
+    there = docs.select("doc_id").where("doc_id is not null").distinct()
+    known = labels.where("doc_id is not null").groupBy("doc_id").agg(*flags).join(there, "doc_id", "left_semi")
+    known = known.orderBy(F.xxhash64(F.lit("fit"), "doc_id"), "doc_id").limit(fit_rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[int, tuple] = {}
         for batch in batches:
-            found = pa.array([features(t, bits).tolist() for t in batch.column("text").to_pylist()], pa.list_(pa.int32()))
-            yield pa.record_batch([batch.column("doc_id").cast(pa.int64()), *(batch.column(n).cast(pa.int32()) for n in names), found], ["doc_id", *names, "words"])
-
-    # the sample is bounded by fit_rows, so it may be broadcast; its hashed words come to the driver
-    sample = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("doc_id", "text", *names)
-    got = sample.mapInArrow(run, f"doc_id long, {', '.join(f'{n} int' for n in names)}, words array<int>").toArrow()
+            for k, (doc_id, h) in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("h").to_pylist(), strict=True)):
+                if doc_id not in best or h < best[doc_id][0]:
+                    best[doc_id] = (h, [batch.column(n)[k].as_py() for n in names], features(batch.column("text")[k].as_py(), bits).astype(np.int32))
+        for doc_id, (h, flag, words) in best.items():
+            yield pa.record_batch([pa.array([doc_id], pa.int64()), pa.array([h]), *(pa.array([f], pa.int32()) for f in flag), pa.array([words], pa.list_(pa.int32()))], ["doc_id", "h", *names, "words"])
+
+    # the sample is bounded by fit_rows, so it may be broadcast; its hashed words, one row for each id, come to the driver
+    sample = docs.select("doc_id", "text", F.xxhash64("text").alias("h")).join(F.broadcast(known), "doc_id").select("doc_id", "h", "text", *names)
+    found = sample.mapInArrow(run, f"doc_id long, h long, {', '.join(f'{n} int' for n in names)}, words array<int>")
+    got = found.groupBy("doc_id").agg(F.min(F.struct("h", *names, "words")).alias("b")).select("doc_id", *(f"b.{n}" for n in names), "b.words").toArrow().sort_by("doc_id")
     if not len(got):
         return None
-    ids, first = np.unique(got["doc_id"].to_numpy(), return_index=True)
-    flags_of = np.column_stack([got[n].to_numpy()[first] for n in names])
+    ids = got["doc_id"].to_numpy()
+    flags_of = np.column_stack([got[n].to_numpy() for n in names])
     lists = got["words"].combine_chunks()
     flat, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
     del got
     fold = (ids * 0x9E3779B1 % 2**32) // 65536 % folds
-    return Chain([n for n, _ in categories], bits).fit([flat[ends[i] : ends[i + 1]] for i in first.tolist()], flags_of, fold)
+    return Chain([n for n, _ in categories], bits).fit([flat[ends[i] : ends[i + 1]] for i in range(len(ids))], flags_of, fold)
 
 
 def score(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, threshold: float = THRESHOLD, reject: str = "toxic", **fit) -> DataFrame:
