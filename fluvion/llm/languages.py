@@ -18,6 +18,8 @@ from .common import mix
 GRAM, BITS = 3, 14
 #: At most so many distinct texts of each language, the first by a hash of the text, and of so many languages, the most frequent, fit the centroids.
 FIT_TEXTS, FIT_LANGUAGES = 250, 200
+#: Ranges of hashes, by so many leading bits, in which a language's texts are counted to find its first ones.
+RANGE_BITS = 10
 #: Centroids of a language, and rounds of clustering.
 CENTROIDS, ROUNDS = 4, 12
 #: A text is rejected if it is farther from its centroid than all but this share of the language's fitting texts.
@@ -148,8 +150,13 @@ def fit(docs: DataFrame, fit_texts: int = FIT_TEXTS, centroids: int = CENTROIDS,
     idf = np.log((1 + texts) / (1 + having)) + 1
     often = docs.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(FIT_LANGUAGES).select("lang")
     hashed = docs.select("lang", "text", F.xxhash64(F.lit("fit"), "text").alias("h"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))  # every task ranks its own rows first and keeps fit_texts of them
-    chosen = hashed.select("lang", "h").distinct().join(F.broadcast(often), "lang").withColumn("rank", rank).where(F.col("rank") <= fit_texts).select("lang", "h")
+    # a language's first texts by hash: the ranges of hashes are counted, and only those up to the one in which the sample is full are ranked
+    distinct = hashed.select("lang", "h").distinct().join(F.broadcast(often), "lang").withColumn("range", F.shiftrightunsigned("h", 64 - RANGE_BITS))
+    ranges = distinct.groupBy("lang", "range").agg(F.count("*").alias("n"))
+    by_range = Window.partitionBy("lang").orderBy("range")
+    ranges = ranges.withColumn("before", F.sum("n").over(by_range) - F.col("n")).where(F.col("before") < fit_texts).select("lang", "range")
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("range", "h"))
+    chosen = distinct.join(ranges, ["lang", "range"]).withColumn("rank", rank).where(F.col("rank") <= fit_texts).select("lang", "h")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
