@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -61,6 +62,26 @@ def test_hashes_of_words_and_phrases():
     assert common.sliding_min(a, 7).tolist() == [a[i : i + 7].min() for i in range(44)]
 
 
+def thue_morse(n: int) -> tuple[str, str]:
+    """Two words that differ in every place and are alike to any polynomial modulo a power of two."""
+    word = "".join("ab"[bin(k).count("1") % 2] for k in range(n))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_words_of_the_thue_morse_order_are_told_apart(spark):
+    a, b = thue_morse(1024)
+    assert len(set(common.word_hashes(f"{a} {b} {a * 4} {b * 4}".encode()).tolist())) == 4
+    assert common.affix_hashes(f"{a}x {b}x".encode(), 1024)[0] != common.affix_hashes(f"{a}x {b}x".encode(), 1024)[1]
+    rest = prose(21, 40).split()
+    texts = [" ".join([*rest[:17], w, *rest[17:34]]) for w in (a, b)] + [a, b, " ".join([a] * 40), " ".join([b] * 40)]
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in enumerate(texts)], SCHEMA)
+    classes = {r.doc_id: r.class_id for r in near_duplicates.near_duplicates(docs).collect()}
+    assert classes == {i: i for i in range(6)}
+    assert {r.doc_id for r in near_duplicates.keep_one(docs).collect()} >= {2, 3, 4, 5}
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in passages.digest(passages.remove_passages(docs)).collect()}
+    assert [got[i] for i in range(6)] == passages.brute_force(texts)
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (7, 7)], "a long, b long")
     want = {**dict.fromkeys(range(41), 0), 100: 100, 101: 100}
@@ -439,6 +460,43 @@ def test_op10_recall_and_blocks(spark):
         assert all(got[i] <= degree[i] for i in range(3000)) and sum(got.values()) >= 0.99 * degree.sum() > 100_000
 
 
+@pytest.mark.parametrize(("size", "cone"), [(16, 0.0), (64, 0.0), (384, 0.0), (64, 0.8)])
+def test_op10_scattered_pairs_at_the_threshold(spark, size, cone):
+    """Pairs of otherwise unlike vectors at a cosine just above the threshold, in a ball and in a narrow cone."""
+    r = np.random.default_rng(size)
+
+    def unit(x):
+        return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+    x = unit(np.sqrt(cone) * np.eye(1, size) + np.sqrt(1 - cone) * unit(r.normal(size=(1500, size))))
+    aside = r.normal(size=x.shape)
+    aside = unit(aside - (aside * x).sum(axis=1, keepdims=True) * x)
+    both = np.concatenate((x, 0.952 * x + np.sqrt(1 - 0.952**2) * aside))
+    links = (both @ both.T >= 0.95).sum(axis=1) - 1
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(both)], "vec_id long, embedding array<double>")
+    got = {y.vec_id: y.n_links for y in vectors.near_vectors(df).collect()}
+    assert all(got[i] <= links[i] for i in range(3000)) and sum(got.values()) >= 0.95 * links.sum() >= 0.95 * 3000
+    pivots, lists = vectors.choose_pivots(pa.array(both[:100].tolist()))
+    assert len(pivots[size][1]) > 8 and 3 <= lists <= vectors.MOST_LISTS
+
+
+def test_op10_fitted_lists_keep_recall_as_pivots_grow():
+    """The rule itself, by the number of pivots that larger tables choose."""
+    r = np.random.default_rng(5)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    found = []
+    for pivots in (120, 1200, 12_000):
+        kept, lists = vectors.fitted(unit(r.normal(size=(pivots, 64))), unit(r.normal(size=(512, 64))))
+        x = unit(r.normal(size=(1000, 64)))
+        aside = r.normal(size=x.shape)
+        y = 0.95 * x + np.sqrt(1 - 0.95**2) * unit(aside - (aside * x).sum(axis=1, keepdims=True) * x)
+        wide = vectors.nearest_of(lists)
+        a, b = (np.argsort(-(v @ kept.T), axis=1)[:, :wide] for v in (x, y))
+        home = (b[:, :lists] == a[:, :1]).any(axis=1) | (a[:, :lists] == b[:, :1]).any(axis=1)
+        found.append((home & ((a[:, :, None] == b[:, None, :]).sum(axis=(1, 2)) >= vectors.SHARED)).mean())
+    assert min(found) >= 0.95
+
+
 def test_pipeline_stages_on_awkward_rows(spark, awkward_rows, tmp_path):
     import corpus_pipeline
 
