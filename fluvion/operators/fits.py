@@ -50,7 +50,8 @@ def weighted_line(rows: DataFrame, key: list[str], x: str, y: str, w: str) -> Da
 def by_reach(rows: DataFrame, columns: list[str], kernel: Callable[..., dict[str, np.ndarray]], schema: str) -> DataFrame:
     """kernel(arrays of columns) for every reach_id; its arrays become rows. The first of columns orders a reach's rows.
 
-    Reaches are dealt to partitions and come sorted, so a call of Python serves a batch of many reaches; a reach is some hundred rows.
+    Reaches are dealt to partitions and come sorted, so a call of Python serves a batch of many reaches; a reach is some hundred rows. Rows
+    without a reach belong to none and are left out.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,7 +84,7 @@ def by_reach(rows: DataFrame, columns: list[str], kernel: Callable[..., dict[str
         if held:
             yield from done(held)
 
-    return rows.select("reach_id", *columns).repartition("reach_id").sortWithinPartitions("reach_id", columns[0]).mapInArrow(run, f"reach_id long, {schema}")
+    return rows.where("reach_id is not null").select("reach_id", *columns).repartition("reach_id").sortWithinPartitions("reach_id", columns[0]).mapInArrow(run, f"reach_id long, {schema}")
 
 
 def smooth(s: np.ndarray, y: np.ndarray, window: float, sigma: float, u: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:

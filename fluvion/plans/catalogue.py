@@ -495,8 +495,3 @@ def bayes_slope(spark, sf_dir):
 def enhanced_slope(spark, sf_dir):
     return fits.enhanced_slope(_reach_nodes(spark, sf_dir))
 
-
-@query()
-def segment_components(spark, sf_dir):
-    grid = pixels(spark, sf_dir).select((c("reach") % 10).alias("tile"), (c("pixel") % 60).alias("az"), c("node").alias("rg"))
-    return fits.segment_grid(grid.where("(az * 7 + rg * 3) % 5 > 1").distinct())

@@ -6,7 +6,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from fluvion.plans import more, nodes, scoring, spatial  # noqa: F401
+from fluvion.plans import assignment, more, network, nodes, rasters, scoring, spatial  # noqa: F401
 from fluvion.plans.catalogue import QUERIES, SQL
 
 DATA = Path("/root/testdata/sf0.001")
