@@ -6,7 +6,7 @@ import math
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from weakref import WeakKeyDictionary
 
@@ -24,8 +24,10 @@ _GRAM = 0xD6E8FEB86659FD93
 #: Words end at these bytes: U+0020 and U+0009 to U+000D.
 SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
-#: Long texts are hashed in stretches of about this many bytes.
-STRETCH = 1 << 18
+#: Long texts are hashed in stretches of about this many bytes, short ones together.
+STRETCH = 1 << 15
+#: Sums of so many products of a byte and a power stay below 2^64.
+SHORT = 1 << 24
 #: Edges of a graph that a task contracts at once: some 100 MB at work.
 PIECE = 1_000_000
 
@@ -141,6 +143,30 @@ def word_hashes(data: bytes) -> np.ndarray:
     return np.concatenate(parts)
 
 
+def hashes_of_texts(texts: Iterable[bytes]) -> Iterator[np.ndarray]:
+    """word_hashes of each text, of many short ones at once."""
+    held: list[bytes] = []
+    size = 0
+
+    def together() -> Iterator[np.ndarray]:
+        starts, ends, totals = _edges(b" ".join(held))
+        found = _hash(totals, starts, ends)
+        edges = np.searchsorted(starts, np.cumsum([0, *(len(t) + 1 for t in held)])).tolist()
+        return (found[i:j] for i, j in zip(edges[:-1], edges[1:], strict=True))
+
+    for text in texts:
+        if held and size + len(text) > STRETCH:
+            yield from together()
+            held, size = [], 0
+        if len(text) > STRETCH:
+            yield word_hashes(text)
+        else:
+            held.append(text)
+            size += len(text) + 1
+    if held:
+        yield from together()
+
+
 def _edges(data: bytes) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
     """Starts and ends of words, and for each field running sums of the bytes' powers."""
     b = np.frombuffer(data, np.uint8)
@@ -149,7 +175,8 @@ def _edges(data: bytes) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
     letters, totals = b.astype(np.uint64) + np.uint64(1), []
     for (prime, _), (up, _) in zip(_FIELDS, _powers(len(b) + 1), strict=True):
         total = np.zeros(len(b) + 1, np.uint64)
-        np.cumsum(letters * up[: len(b)] % np.uint64(prime), out=total[1:])
+        terms = letters * up[: len(b)]
+        np.cumsum(terms if len(b) < SHORT else terms % np.uint64(prime), out=total[1:])
         totals.append(total)
     return edge[::2], edge[1::2], totals
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from .common import MASK, components, discard, grams, mix, runs_of, stored, text_bytes, union, word_hashes
+from .common import MASK, components, discard, grams, hashes_of_texts, mix, runs_of, stored, text_bytes, union, word_hashes
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -102,11 +102,11 @@ def signatures(docs: DataFrame) -> DataFrame:
             for at in range(0, len(whole), 400):
                 batch = whole.slice(at, 400)
                 keep, keys, bags = [], [], []
-                for k, text in enumerate(batch.column("text").to_pylist()):
-                    words = word_hashes(text_bytes(text))
+                texts = [text_bytes(t) for t in batch.column("text").to_pylist()]
+                for k, (text, words) in enumerate(zip(texts, hashes_of_texts(texts), strict=True)):
                     if len(words):
                         every = grams(words, min(SHINGLE, len(words)))
-                        keys.append(np.frombuffer(hashlib.blake2b(b" ".join(text_bytes(text).split()), digest_size=16).digest(), "<i8"))
+                        keys.append(np.frombuffer(hashlib.blake2b(b" ".join(text.split()), digest_size=16).digest(), "<i8"))
                         bags.append(np.unique(every, return_counts=True))
                         keep.append(k)
                 if not keep:

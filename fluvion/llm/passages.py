@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from .common import discard, grams, keyed, mix, sliding_min, stored, text_bytes, word_hashes
+from .common import discard, grams, hashes_of_texts, keyed, mix, sliding_min, stored, text_bytes
 
 WINDOW = 35
 PHRASE = 11
@@ -86,8 +86,8 @@ def _phrases(batches: Iterator[pa.RecordBatch], window: int, phrase: int) -> Ite
     """(block, phrase, n): hashes of the runs' phrases of each text, and how often it has them."""
     for batch in batches:
         blocks, hashes, numbers = [np.zeros(0, np.int32)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-        for block, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            w = Windows(word_hashes(text_bytes(text.as_py())), window, phrase)
+        for block, words in zip(batch.column(0).to_pylist(), hashes_of_texts(text_bytes(t.as_py()) for t in batch.column(1)), strict=True):
+            w = Windows(words, window, phrase)
             found, at = np.unique(w.phrase, return_inverse=True)
             hashes.append(found)
             numbers.append(np.bincount(at, 1 + w.twice(), len(found)).astype(np.int64))
@@ -95,9 +95,9 @@ def _phrases(batches: Iterator[pa.RecordBatch], window: int, phrase: int) -> Ite
         yield pa.record_batch([pa.array(np.concatenate(blocks)), pa.array(np.concatenate(hashes).view(np.int64)), pa.array(np.concatenate(numbers))], ["block", "phrase", "n"])
 
 
-def _stretches(text: bytes, told: np.ndarray, window: int, phrase: int) -> tuple[list[int], list[str]]:
+def _stretches(text: bytes, hashes: np.ndarray, told: np.ndarray, window: int, phrase: int) -> tuple[list[int], list[str]]:
     """Where a text's windows whose phrase is in told lie: first words and texts of the stretches."""
-    w = Windows(word_hashes(text), window, phrase)
+    w = Windows(hashes, window, phrase)
     hit = np.flatnonzero(among(w.phrase, told))
     if not len(hit):
         return [], []
@@ -115,9 +115,9 @@ def _runs(batches: Iterator[pa.RecordBatch], window: int, phrase: int) -> Iterat
         for at in range(0, len(batch), 500):
             blocks, phrases, first, second, places = [], [], [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
             for block, parts in zip(batch.column(0)[at : at + 500].to_pylist(), batch.column(1)[at : at + 500].to_pylist(), strict=True):
-                for part in parts:
-                    data = text_bytes(part)
-                    w, words = Windows(word_hashes(data), window, phrase), data.split()
+                texts = [text_bytes(part) for part in parts]
+                for data, hashes in zip(texts, hashes_of_texts(texts), strict=True):
+                    w, words = Windows(hashes, window, phrase), data.split()
                     c1, c2 = w.contexts(w.hashes())
                     first.append(c1)
                     second.append(c2)
@@ -169,10 +169,12 @@ def _settle(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table, window:
         runs, settled, gives = (runs[order], *(told.field(k).to_numpy(zero_copy_only=False).astype(bool)[order] for k in ("settled", "gives")))
     gave = np.zeros(len(runs), bool)
     none, out = np.zeros(0, np.int64), {n: [] for n in ("froms", "tos", "places", "w1", "w2", "g1", "g2")}
-    for starts, parts in zip(left["starts"].to_pylist(), left["parts"].to_pylist(), strict=True):
+    every = left["parts"].to_pylist()
+    hashed = hashes_of_texts(text_bytes(part) for parts in every for part in parts)
+    for starts, parts in zip(left["starts"].to_pylist(), every, strict=True):
         seen, full, asks, given = [], [none], [none], [(none.view(np.uint64),) * 2]
         for start, part in zip(starts, parts, strict=True):
-            w = Windows(word_hashes(text_bytes(part)), window, phrase)
+            w = Windows(next(hashed), window, phrase)
             phrase_at = automata.matches(part, len(w.words))[w.phrase_places()]
             hit = np.flatnonzero(phrase_at >= 0)
             if not len(hit):
@@ -236,7 +238,8 @@ def remove_passages(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE,
 
     def cut(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
         known = np.sort(right["told"].combine_chunks().flatten().to_numpy().view(np.uint64)) if len(right) else np.zeros(0, np.uint64)
-        found = [_stretches(text_bytes(t.as_py()), known, window, phrase) for t in left["text"]]
+        hashes = hashes_of_texts(text_bytes(t.as_py()) for t in left["text"])
+        found = [_stretches(text_bytes(t.as_py()), h, known, window, phrase) for t, h in zip(left["text"], hashes, strict=True)]
         for name, kind, k in (("__starts", pa.int32(), 0), ("__parts", pa.string(), 1)):
             left = left.append_column(name, pa.array([f[k] for f in found], pa.list_(kind)))
         return left
