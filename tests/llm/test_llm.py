@@ -54,6 +54,8 @@ def test_hashes_of_words_and_phrases():
     old, common.STRETCH = common.STRETCH, 64
     try:
         assert (common.word_hashes(data) == h).all()
+        texts = [common.text_bytes(t) for t in ("one two", "", None, prose(1, 40), " a\tb ", "x" * 200, "end")]
+        assert [x.tolist() for x in common.hashes_of_texts(texts)] == [common.word_hashes(t).tolist() for t in texts]
     finally:
         common.STRETCH = old
     g = common.grams(common.word_hashes(b"a b c d e f g a b c d e"), 5)
