@@ -338,37 +338,11 @@ def cubic(s: np.ndarray, v: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.
 
 
 def centerlines(vertices: DataFrame, ds: float) -> DataFrame:
-    """reach_id and resampled s, x, y, tx, ty from reach_id, seq, x, y."""
+    """reach_id, vertex_id and resampled s, x, y, tx, ty from reach_id, seq, x, y. Reaches of one place have no row."""
 
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        f = frame.sort_values("seq")
-        out = spline_resample(f.x.to_numpy(float), f.y.to_numpy(float), ds)
-        return out.assign(reach_id=frame.reach_id.iloc[0], vertex_id=np.arange(len(out)))
+    def kernel(seq: np.ndarray, x: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
+        apart = len(x) > 1 and np.hypot(x - x[0], y - y[0]).max() > 1e-6
+        out = spline_resample(x, y, ds) if apart else pd.DataFrame({k: np.zeros(0) for k in ("s", "x", "y", "tx", "ty")})
+        return {"vertex_id": np.arange(len(out)), **{k: out[k].to_numpy() for k in out}}
 
-    return vertices.groupBy("reach_id").applyInPandas(run, "reach_id long, vertex_id long, s double, x double, y double, tx double, ty double")
-
-
-def segment_grid(pixels: DataFrame) -> DataFrame:
-    """tile, az, rg, label: 4-connected components of each tile's pixels, numbered by the first pixel in scan order."""
-
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        f = frame.sort_values(["az", "rg"]).drop_duplicates(["az", "rg"]).reset_index(drop=True)
-        place = {p: k for k, p in enumerate(zip(f.az, f.rg, strict=True))}
-        parent = list(range(len(f)))
-
-        def root(k: int) -> int:
-            while parent[k] != k:
-                parent[k] = parent[parent[k]]
-                k = parent[k]
-            return k
-
-        for (az, rg), k in place.items():
-            for other in ((az - 1, rg), (az, rg - 1)):
-                if other in place:
-                    a, b = root(k), root(place[other])
-                    parent[max(a, b)] = min(a, b)
-        roots = [root(k) for k in range(len(f))]
-        number = {r: i + 1 for i, r in enumerate(sorted(set(roots)))}
-        return f.assign(label=[number[r] for r in roots])[["tile", "az", "rg", "label"]]
-
-    return pixels.select("tile", "az", "rg").groupBy("tile").applyInPandas(run, "tile long, az long, rg long, label long")
+    return by_reach(vertices.dropna(subset=["x", "y"]), ["seq", "x", "y"], kernel, "vertex_id long, s double, x double, y double, tx double, ty double")

@@ -10,7 +10,7 @@ from .catalogue import c, query, r, table
 # a join on each of the four steps, which can be hashed
 _STEPS = """{name}(az, rg, oaz, org) as (select az, rg, az, rg from {cells} union select f.az, f.rg, m.az, m.rg from (select az, rg, oaz + unnest([0, 0, 1, -1]) as oaz, org + unnest([1, -1, 0, 0]) as org from {name}) f join {cells} m on m.az = f.oaz and m.rg = f.org)"""
 _PIXELS = "pix as (select l_partkey as az, l_suppkey as rg, max(l_quantity) > 12 as is_water from lineitem group by 1, 2), water as (select az, rg from pix where is_water)"
-_MASK = "mask as (select l_partkey // 8 as az, l_suppkey // 2 as rg from lineitem group by 1, 2 having sum(l_quantity) >= 70)"
+_MASK = "mask as (select l_partkey // 8 as az, l_suppkey // 2 as rg from lineitem group by 1, 2 having sum(l_quantity) >= $Q)"
 
 
 def _numbered(name: str, flood: str) -> str:
@@ -21,15 +21,15 @@ def _raster(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").groupBy(c("l_partkey").alias("az"), c("l_suppkey").alias("rg")).agg((F.max("l_quantity") > 12).alias("is_water"))
 
 
-def _mask(spark, sf_dir):
+def _mask(spark, sf_dir, least):
     cells = table(spark, sf_dir, "lineitem").groupBy(F.floor(c("l_partkey") / 8).alias("az"), F.floor(c("l_suppkey") / 2).alias("rg"))
-    return cells.agg(F.sum("l_quantity").alias("q")).where("q >= 70").select("az", "rg")
+    return cells.agg(F.sum("l_quantity").alias("q")).where(c("q") >= least).select("az", "rg")
 
 
-@query(f"with recursive {_MASK}, {_STEPS.format(name='flood', cells='mask')}, {_numbered('found', 'flood')} select az, rg, label from found")
+@query(f"with recursive {_MASK.replace('$Q', '125')}, {_STEPS.format(name='flood', cells='mask')}, {_numbered('found', 'flood')} select az, rg, label from found")
 def segment_components(spark, sf_dir):
     """4-connected components of the whole raster, numbered in scan order."""
-    parts = labels.components(_mask(spark, sf_dir))
+    parts = labels.components(_mask(spark, sf_dir, 125))
     return parts.join(labels.numbered(parts), "part").select("az", "rg", c("number").alias("label"))
 
 
@@ -41,7 +41,7 @@ def water_labels(spark, sf_dir):
     return labels.water_labels(_raster(spark, sf_dir))
 
 
-@query(f"""with recursive {_MASK}, er as (select az, rg from (select az + unnest([0, 0, 0, 1, -1]) as az, rg + unnest([0, 1, -1, 0, 0]) as rg from mask) group by 1, 2 having count(*) = 5),
+@query(f"""with recursive {_MASK.replace('$Q', '70')}, er as (select az, rg from (select az + unnest([0, 0, 0, 1, -1]) as az, rg + unnest([0, 1, -1, 0, 0]) as rg from mask) group by 1, 2 having count(*) = 5),
 {_STEPS.format(name='flood', cells='er')}, {_numbered('first', 'flood')}, step as (select i, j from range(-2, 3) a(i), range(-2, 3) b(j)),
 bare as (select * from mask anti join first using (az, rg)), taken as (select b.az, b.rg, max(label) as label from (select az, rg, az + i as oaz, rg + j as org from bare, step) b join first f on f.az = oaz and f.rg = org group by 1, 2),
 labelled as (select * from first union all select * from taken), orphans as (select * from mask anti join labelled using (az, rg)),
@@ -51,7 +51,7 @@ given as (select az, rg, coalesce(own, label + (select coalesce(max(label), 0) f
 select az, rg, coalesce(given, label) as label from mask left join labelled using (az, rg) left join given using (az, rg)""")
 def erosion_labels(spark, sf_dir):
     """Labels of what erosion leaves, given back to what it took; what vanished is reattached or has labels of its own."""
-    return labels.eroded_labels(_mask(spark, sf_dir), 1)
+    return labels.eroded_labels(_mask(spark, sf_dir, 70), 1)
 
 
 _NODES = "nodes as (select s_suppkey as reach_id, unnest(range(6)) as node_id, s_suppkey * 17 % 2000 * 1.0 + node_id * 20 as x, s_suppkey * 29 % 100 * 25.0 + node_id % 2 * 30 as y from supplier)"

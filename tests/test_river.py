@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fluvion.functions import geo
-from fluvion.operators import discharge, fits, joins
+from fluvion.operators import discharge, fits, joins, labels
 from fluvion.plans import river_tile
 from fluvion.sources import config, field, products, synthetic
 from fluvion.streaming import gauges
@@ -67,8 +67,9 @@ def test_outlier_masks(spark):
 
 def test_components_follow_scan_order(spark):
     grid = ["110", "001", "101"]
-    p = spark.createDataFrame([(1, a, r) for a, row in enumerate(grid) for r, v in enumerate(row) if v == "1"], "tile long, az long, rg long")
-    got = {(r.az, r.rg): r.label for r in fits.segment_grid(p).collect()}
+    p = spark.createDataFrame([(a, r) for a, row in enumerate(grid) for r, v in enumerate(row) if v == "1"], "az long, rg long")
+    parts = labels.components(p)
+    got = {(r.az, r.rg): r.number for r in parts.join(labels.numbered(parts), "part").collect()}
     assert got == {(0, 0): 1, (0, 1): 1, (1, 2): 2, (2, 2): 2, (2, 0): 3}
 
 
