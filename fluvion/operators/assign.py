@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import joins
+from . import fits, joins
 
 
 def in_channel(s: Column, n: Column, max_width: Column, node_length: Column) -> Column:
@@ -53,15 +53,42 @@ def blocking_width(vertices: DataFrame, key: list[str], order: str, x: str = "x"
     return vertices.withColumn("blocking", F.array_min(F.array_compact(F.array(*found)))["radius"])
 
 
-def gap_free(nodes: DataFrame, key: list[str], order: str, limit: float) -> DataFrame:
-    """good is false from the first gap beyond limit on."""
-    w = Window.partitionBy(*key).orderBy(order)
-    gap = F.coalesce(F.col(order) - F.lag(order).over(w) > limit, F.lit(False))
-    return nodes.withColumn("good", ~F.max(gap).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-
-
 def flow_gradient(x: Column, y: Column, z: Column) -> tuple[Column, Column]:
     """Least-squares gradient of z over the plane, from covariances."""
     xx, yy, xy, xz, yz = F.var_pop(x), F.var_pop(y), F.covar_pop(x, y), F.covar_pop(x, z), F.covar_pop(y, z)
     d = F.nullif(xx * yy - xy * xy, F.lit(0.0))
     return (xz * yy - yz * xy) / d, (yz * xx - xz * xy) / d
+
+
+def neighbour_filter(rows: DataFrame, gap: float = 1000.0) -> DataFrame:
+    """Stitched nodes with good once more: reach_id, part (-1, 0, 1), ss, node_q, good.
+
+    Nodes of neighbours must not be bad (node_q of 3). Between neighbouring good nodes a distance beyond gap is a gap. Beyond the nearest gap that begins
+    among the downstream neighbour's nodes, these are not good; from the first one that begins among the upstream neighbour's on, those are not.
+    The reach's own nodes keep what they are. A reach and its neighbours are some hundred rows.
+    """
+    kept = F.col("good") & ((F.col("part") == 0) | (F.col("node_q") < 3))
+    w = Window.partitionBy("reach_id").orderBy("ss", "part", "node_id")
+    rows = rows.withColumn("good", F.coalesce(kept, F.lit(False)))
+    following = F.first(F.when(F.col("good"), F.col("ss")), True).over(w.rowsBetween(1, Window.unboundedFollowing))
+    rows = rows.withColumn("_gap", F.col("good") & (following - F.col("ss") > gap)).withColumn("_k", F.row_number().over(w))
+    whole = Window.partitionBy("reach_id")
+    down = F.max(F.when(F.col("_gap") & (F.col("part") == -1), F.col("_k"))).over(whole)
+    up = F.min(F.when(F.col("_gap") & (F.col("part") == 1), F.col("_k"))).over(whole)
+    beyond = F.coalesce(F.col("_k") <= down, F.lit(False)) | F.coalesce(F.col("_k") >= up, F.lit(False))
+    return rows.withColumn("good", F.col("good") & ~beyond).drop("_gap", "_k")
+
+
+def coarse_good(nodes: DataFrame, low: float = -1000.0, high: float = 100_000.0, per_km: float = 10.0, least: float = 20.0, min_points: int = 3) -> DataFrame:
+    """nodes (reach_id, s, wse, wse_u) with valid and good. valid: wse between low and high, and a weight above 0.
+
+    good are valid nodes near the reach's weighted line: within per_km times its height change over a kilometre, or least if that is less. In reaches of at most
+    min_points valid nodes all of these are good.
+    """
+    weight = 1 / F.nullif(F.col("wse_u") * F.col("wse_u"), F.lit(0.0))
+    rows = nodes.withColumn("_w", weight).withColumn("valid", F.coalesce((F.col("wse") > low) & (F.col("wse") < high) & (F.col("_w") > 0), F.lit(False)))
+    line = fits.weighted_line(rows.where("valid"), ["reach_id"], "s", "wse", "_w")
+    rows = rows.join(line, "reach_id", "left")
+    off = F.abs(F.col("wse") - F.col("slope") * F.col("s") - F.col("intercept"))
+    near = (F.col("n") <= min_points) | F.col("slope").isNull() | (off < F.greatest(F.abs("slope") * 1000 * per_km, F.lit(least)))
+    return rows.select(*nodes.columns, "valid", (F.col("valid") & F.coalesce(near, F.lit(False))).alias("good"))

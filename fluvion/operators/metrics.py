@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import joins
+
 # An error up to the first passes, beyond the second it fails (area %, height cm, slope cm/km).
 LIMITS = {"area": (15.0, 30.0), "wse": (10.0, 20.0), "slope": (1.7, 3.4)}
 
@@ -65,21 +67,15 @@ def median_filter(pixels: DataFrame, key: list[str], i: str, j: str, value: str,
     return given.groupBy(*key, i, j).agg(F.median(value).alias(value), F.bool_or("_own").alias("_own")).where("_own").drop("_own")
 
 
-def record_number(points: DataFrame, records: DataFrame, key: list[str], time: str, number: str) -> DataFrame:
+def record_number(points: DataFrame, records: DataFrame, key: list[str], time: str, number: str, stretch: float) -> DataFrame:
     """points with number: the nearest whole record number at their time, between the records before and after it.
 
-    Points and records of a key are merged in order of time; beyond the first or last record the number is null.
+    Beyond the first or last record the number is null. Times are merged by stretches of so long (see joins.bracketed).
     """
-    merged = points.withColumn("_n", F.lit(None).cast("double")).withColumn("_p", F.lit(1))
-    known = records.select(*key, time, F.col(number).cast("double").alias("_n")).groupBy(*key, time).agg(F.min("_n").alias("_n"))
-    merged = merged.unionByName(known.withColumn("_p", F.lit(0)), allowMissingColumns=True)
-    at = F.when(F.col("_p") == 0, F.struct(F.col(time).alias("t"), F.col("_n").alias("n")))
-    before = Window.partitionBy(*key).orderBy(time, "_p").rowsBetween(Window.unboundedPreceding, 0)
-    after = Window.partitionBy(*key).orderBy(F.col(time).desc(), "_p").rowsBetween(Window.unboundedPreceding, 0)
-    merged = merged.withColumn("_lo", F.last(at, True).over(before)).withColumn("_hi", F.last(at, True).over(after)).where("_p = 1")
-    part = F.coalesce((F.col(time) - F.col("_lo.t")) / F.nullif(F.col("_hi.t") - F.col("_lo.t"), F.lit(0)), F.lit(0.0))
+    met = joins.bracketed(points, records.withColumn("_number", F.col(number).cast("double")), key, time, time, "_number", stretch)
+    part = F.coalesce((F.col("_at") - F.col("_lo.at")) / F.nullif(F.col("_hi.at") - F.col("_lo.at"), F.lit(0.0)), F.lit(0.0))
     whole = F.rint(F.col("_lo.n") + part * (F.col("_hi.n") - F.col("_lo.n"))).cast("long")
-    return merged.select(*points.columns, F.when(F.col("_hi").isNotNull(), whole).alias(number))
+    return met.select(*points.columns, F.when(F.col("_hi").isNotNull(), whole).alias(number))
 
 
 def ranked_share(rows: DataFrame, key: list[str], value: str, order: list[str], width: float) -> DataFrame:
@@ -94,3 +90,33 @@ def ranked_share(rows: DataFrame, key: list[str], value: str, order: list[str],
     counts = counts.withColumn("_below", F.sum("_c").over(w) - F.col("_c")).withColumn("_n", F.sum("_c").over(Window.partitionBy(*key)))
     placed = binned.withColumn("_k", F.row_number().over(Window.partitionBy(*key, "_bin").orderBy(value, *order)))
     return placed.join(counts, [*key, "_bin"]).select(*rows.columns, ((F.col("_k") + F.col("_below")) / F.col("_n")).alias("share"))
+
+
+# Bounds within which the science requirements hold (m, m2, shares); reach flags above the last are bad.
+BOUNDS = {"min_xtrk": 10_000.0, "max_xtrk": 60_000.0, "min_width": 100.0, "min_area": 800_000.0, "min_length": 8000.0, "min_obs_frac": 0.5, "max_dark_frac": 1.0, "min_truth_obs_frac": 1.0, "min_xtrk_ratio": 0.5, "max_flag": 33_554_432}
+
+
+def science(rows: DataFrame, bounds: dict[str, float] = BOUNDS) -> DataFrame:
+    """rows with in_science: truth and data of a reach within all bounds; null values are outside.
+
+    Columns xtrk, width, area, length, truth_obs_frac, dark_frac of truth; obs_frac, flag of data; xtrk_ratio of the reach's nodes.
+    """
+    b, c = bounds, F.col
+    kept = [
+        F.abs("xtrk") > b["min_xtrk"], F.abs("xtrk") < b["max_xtrk"], c("width") > b["min_width"], c("area") > b["min_area"], c("length") >= b["min_length"], c("truth_obs_frac") >= b["min_truth_obs_frac"],
+        c("dark_frac") <= b["max_dark_frac"], c("flag") <= b["max_flag"], c("xtrk_ratio") >= b["min_xtrk_ratio"], c("obs_frac") >= b["min_obs_frac"],
+    ]
+    whole = kept[0]
+    for k in kept[1:]:
+        whole = whole & k
+    return rows.withColumn("in_science", F.coalesce(whole, F.lit(False)))
+
+
+def outside_counts(rows: DataFrame, bounds: dict[str, float] = BOUNDS) -> DataFrame:
+    """One row: how many reaches there are and how many each bound leaves out, by the columns of science() and data_dark_frac."""
+    b, c, n = bounds, F.col, F.count_if
+    return rows.agg(
+        F.count("*").alias("n"), n((F.abs("xtrk") < b["min_xtrk"]) | (F.abs("xtrk") > b["max_xtrk"])).alias("bad_xtrk"), n(c("width") < b["min_width"]).alias("bad_width"), n(c("area") < b["min_area"]).alias("bad_area"),
+        n(c("length") < b["min_length"]).alias("bad_length"), n(c("obs_frac") < b["min_obs_frac"]).alias("bad_obs_frac"), n(c("data_dark_frac") >= b["max_dark_frac"]).alias("bad_dark_frac"),
+        n(c("flag") > b["max_flag"]).alias("bad_flag"), n(c("xtrk_ratio") < b["min_xtrk_ratio"]).alias("bad_xtrk_ratio"),
+    )

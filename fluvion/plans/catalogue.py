@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from ..functions import geo
 from ..operators import aggregates as A
 from ..operators import discharge as Q
-from ..operators import fits, joins
+from ..operators import fits, joins, metrics, quantiles
+from ..sources.scratch import written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -217,13 +218,15 @@ def circular_median(spark, sf_dir):
 
 @query("""select user_id, event_id, round(row_number() over w / count(*) over (partition by user_id), 6) as share from events window w as (partition by user_id order by value, event_id)""")
 def ecdf(spark, sf_dir):
-    w = Window.partitionBy("user_id")
-    return table(spark, sf_dir, "events").select("user_id", "event_id", r(F.row_number().over(w.orderBy("value", "event_id")) / F.count("*").over(w), 6).alias("share"))
+    ranked = metrics.ranked_share(table(spark, sf_dir, "events").select("user_id", "event_id", "value"), ["user_id"], "value", ["event_id"], 5.0)
+    return ranked.select("user_id", "event_id", r("share", 6).alias("share"))
 
 
 @query("with $PIX select klass, cast(floor(h / 5) as bigint) as bin, count(*) as n, round(quantile_cont(area, 0.5), 4) as median, round(quantile_cont(area, 0.84), 4) as p84 from pix group by 1, 2")
 def histogram(spark, sf_dir):
-    return pixels(spark, sf_dir).groupBy("klass", F.floor(c("h") / 5).alias("bin")).agg(F.count("*").alias("n"), r(F.median("area"), 4).alias("median"), r(A.percentile(c("area"), 0.84), 4).alias("p84"))
+    p = pixels(spark, sf_dir).select("klass", F.floor(c("h") / 5).alias("bin"), "area")
+    found = quantiles.percentiles(p, ["klass", "bin"], "area", {"median": 0.5, "p84": 0.84})
+    return found.select("klass", "bin", "n", r("median", 4).alias("median"), r("p84", 4).alias("p84"))
 
 
 @query("""with $PIX, k as (select reach, klass, count(*) as n from pix group by 1, 2) select reach, klass, n from k qualify row_number() over (partition by reach order by n desc, klass) = 1""")
@@ -299,8 +302,12 @@ def avg_node_error(spark, sf_dir):
 @query(f"""with $PIX, {_ERRORS} select 'wse' as metric, round(quantile_cont(abs(e), 0.68), 5) as p68, round(median(e), 5) as p50, round(avg(e), 5) as mean, count(e) as n,
 round(avg(case when abs(e) < 10 then 1.0 else 0.0 end), 6) as passed from m""")
 def error_summary(spark, sf_dir):
-    e = _errors(spark, sf_dir)
-    return e.agg(F.lit("wse").alias("metric"), r(A.percentile(F.abs("e"), 0.68)).alias("p68"), r(F.median("e")).alias("p50"), r(F.avg("e")).alias("mean"), F.count("e").alias("n"), r(F.avg(F.when(F.abs("e") < 10, 1.0).otherwise(0.0)), 6).alias("passed"))
+    e = written(_errors(spark, sf_dir), "errors")
+    both = e.select(F.explode(F.array(F.struct(F.lit("size").alias("k"), F.abs("e").alias("v")), F.struct(F.lit("e").alias("k"), c("e").alias("v")))).alias("x")).select("x.k", "x.v")
+    found = quantiles.percentiles(both, ["k"], "v", {"p68": 0.68, "p50": 0.5})
+    marks = found.agg(r(F.max(F.when(c("k") == "size", c("p68")))).alias("p68"), r(F.max(F.when(c("k") == "e", c("p50")))).alias("p50"))
+    sums = e.agg(F.lit("wse").alias("metric"), r(F.avg("e")).alias("mean"), F.count("e").alias("n"), r(F.avg(F.when(F.abs("e") < 10, 1.0).otherwise(0.0)), 6).alias("passed"))
+    return sums.join(marks, F.lit(True)).select("metric", "p68", "p50", "mean", "n", "passed")  # one row each
 
 
 @query("""with $NODES, q as (select reach, sum(area) as area, count(*) as n, avg(wse) as wse from nodes group by 1)

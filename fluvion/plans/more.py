@@ -56,12 +56,6 @@ def neighbour_labels(spark, sf_dir):
     return assign.exchanged_labels(p, around, "reach", "label").select("pixel", "klass", "reach", "label")
 
 
-@query("""with $NODES, g as (select reach, node, area, node - lag(node) over (partition by reach order by node) > 1 as gap from nodes where n >= 8)
-select reach, node, not coalesce(bool_or(coalesce(gap, false)) over (partition by reach order by node rows unbounded preceding), false) as good from g""")
-def gap_filter(spark, sf_dir):
-    return assign.gap_free(node_rows(spark, sf_dir).where("n >= 8"), ["reach"], "node", 1).select("reach", "node", "good")
-
-
 @query("""with $NODES, q as (select reach, avg(wse) as h, 900.0 + reach % 50 as m from nodes group by 1)
 select reach, round((0.5 * (least(h, 33.0) * least(h, 33.0) - 400.0) + 10 * (least(h, 33.0) - 20.0))
  + case when h > 33 then 1.0 * (least(h, 36.0) * least(h, 36.0) - 1089.0) - 20 * (least(h, 36.0) - 33.0) else 0 end + case when h > 36 then 0.25 * (h * h - 1296.0) + 30 * (h - 36.0) else 0 end - m, 4) as d_area from q""")

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import quality
-from ..operators import metrics
+from ..operators import metrics, quantiles
 from .catalogue import c, node_rows, pixels, query, r, table
 
 
@@ -32,14 +32,16 @@ def sigma0_agg(spark, sf_dir):
 select bin, count(*) as n, round(quantile_cont(h, 0.16), 5) as p16, round(quantile_cont(h, 0.5), 5) as p50, round(quantile_cont(h, 0.84), 5) as p84 from b group by 1""")
 def binned_percentiles(spark, sf_dir):
     b = pixels(spark, sf_dir).select(metrics.bin_of(c("area"), 0.0, 50.0, 10).alias("bin"), "h").where("bin is not null")
-    return b.groupBy("bin").agg(F.count("*").alias("n"), *(r(v).alias(k) for k, v in metrics.spread(c("h")).items()))
+    found = quantiles.percentiles(b, ["bin"], "h", {"p16": 0.16, "p50": 0.5, "p84": 0.84})
+    return found.select("bin", "n", *(r(k).alias(k) for k in ("p16", "p50", "p84")))
 
 
 @query("""with $PIX, q as (select klass, quantile_cont(h, 0.01) as lo, quantile_cont(h, 0.99) as hi, avg(h) as mean, median(h) as mid, stddev_pop(h) as std from pix group by 1)
 select klass, round(mean, 5) as mean, round(mid, 5) as mid, round(std, 5) as std, floor(h / 5)::int as bin, count(*) as n from pix join q using (klass) where h between lo and hi group by 1, 2, 3, 4, 5""")
 def class_histogram(spark, sf_dir):
     p = pixels(spark, sf_dir).select("klass", "h")
-    q = p.groupBy("klass").agg(F.percentile("h", F.lit(0.01)).alias("lo"), F.percentile("h", F.lit(0.99)).alias("hi"), r(F.avg("h")).alias("mean"), r(F.median("h")).alias("mid"), r(F.stddev_pop("h")).alias("std"))
+    marks = quantiles.percentiles(p, ["klass"], "h", {"lo": 0.01, "hi": 0.99, "mid": 0.5}).select("klass", "lo", "hi", r("mid").alias("mid"))
+    q = p.groupBy("klass").agg(r(F.avg("h")).alias("mean"), r(F.stddev_pop("h")).alias("std")).join(marks, "klass")
     inside = p.join(q, "klass").where(c("h").between(c("lo"), c("hi")))
     return inside.groupBy("klass", "mean", "mid", "std", F.floor(c("h") / 5).cast("int").alias("bin")).agg(F.count("*").alias("n"))
 
@@ -108,7 +110,7 @@ def sensor_index(spark, sf_dir):
     e = table(spark, sf_dir, "events").select("event_id", "event_type", F.unix_micros(c("ts").cast("timestamp")).alias("t"))
     k = e.groupBy("event_type", F.floor(c("t") / 3600000000)).agg(F.min("t").alias("t")).select("event_type", "t")
     n = k.withColumn("record", F.row_number().over(Window.partitionBy("event_type").orderBy("t")) - 1)
-    return metrics.record_number(e, n, ["event_type"], "t", "record").select("event_id", "record")
+    return metrics.record_number(e, n, ["event_type"], "t", "record", stretch=86400e6).select("event_id", "record")
 
 
 @query("""with $NODES select reach, node, case when n >= 20 then 'linear' when area > 600 then 'multi_chn' when wse > 45 then 'bad' when wse < 25 then 'edge' else 'other' end as category from nodes""")
