@@ -64,7 +64,7 @@ def node_flag(n: dict[str, Column], wse: Column, xtrack: Column, water_frac: Col
     )
 
 
-def reach_flag(flags: Column, good: Column, valid: Column, observed: Column, min_fit: int) -> Column:
+def reach_flag(flags: Column, good: Column, valid: Column, observed: Column, min_fit: int, least_observed: float = 0.5) -> Column:
     """An aggregate: the flag of a reach from its nodes' flags, which of them are good, which have a valid height, and the observed share.
 
     Bits of good nodes are inherited but for NOT_INHERITED. Few pixels count if half of the valid nodes have few, missing ones if all good nodes miss them.
@@ -74,7 +74,7 @@ def reach_flag(flags: Column, good: Column, valid: Column, observed: Column, min
     half = lambda name: F.coalesce(F.avg(F.when(valid, has(flags, name).cast("double"))) >= 0.5, F.lit(False))
     own = flag(
         {
-            "few_area": half("few_area"), "few_wse": half("few_wse"), "partial": observed < 0.5, "min_fit": F.count_if(good) < min_fit,
+            "few_area": half("few_area"), "few_wse": half("few_wse"), "partial": observed < least_observed, "min_fit": F.count_if(good) < min_fit,
             "no_area": has(every, "no_area"), "no_wse": has(every, "no_wse"), "no_pixels": has(every, "no_pixels"),
         },
         REACH_BITS,

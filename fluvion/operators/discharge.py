@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import quality
+
 
 def _guard(width: Column, slope: Column, base: Column, area: Column) -> Column:
     return (width > 0) & (slope > 0) & (base > 0) & (area >= 0)
@@ -78,24 +80,14 @@ def area_change(height: Column, breaks: tuple[Column, ...], lines: list[tuple[Co
     return total - median_area
 
 
-# Bits of the discharge flag.
-BITS = {
-    "quality_suspect": 0, "slope_uncertain": 1, "metroman_area": 3, "bam_area": 4, "hivdi_area": 5, "momma_bed": 6, "sads_area": 7, "sic4dvar_area": 8,
-    "incomplete_consensus": 11, "quality_degraded": 18, "quality_bad": 22, "no_discharge": 23, "negative_slope": 24,
-}
-
-
-def flag(quality: Column, slope: Column, slope_u: Column, d_area: Column, bases: dict[str, Column], bed: Column, bankfull: Column, models: dict[str, Column]) -> Column:
+def flag(reach_q: Column, slope: Column, slope_u: Column, d_area: Column, bases: dict[str, Column], bed: Column, bankfull: Column, models: dict[str, Column]) -> Column:
     """The discharge flag of a reach: its quality, its slope, the cross-sections of the models (bases by name) and how many models have a value."""
     there = sum((m.isNotNull().cast("int") for m in models.values()), start=F.lit(0))
     tests = {
-        "quality_suspect": quality == 1, "quality_degraded": quality == 2, "quality_bad": quality == 3, "slope_uncertain": slope_u / F.nullif(slope, F.lit(0.0)) > 0.4, "negative_slope": slope < 0,
-        "momma_bed": bed > bankfull, "incomplete_consensus": (there > 0) & (there < len(models)), "no_discharge": there == 0, **{f"{name}_area": d_area + base < 0 for name, base in bases.items()},
+        "reach_suspect": reach_q == 1, "reach_degraded": reach_q == 2, "reach_bad": reach_q == 3, "big_slope_u": slope_u / F.nullif(slope, F.lit(0.0)) > 0.4, "negative_slope": slope < 0,
+        "momma": bed > bankfull, "incomplete": (there > 0) & (there < len(models)), "none": there == 0, **{name: d_area + base < 0 for name, base in bases.items()},
     }
-    total = F.lit(0).cast("long")
-    for name, test in tests.items():
-        total = total + F.when(test, 1 << BITS[name]).otherwise(0)
-    return total
+    return quality.flag(tests, quality.DISCHARGE_BITS)
 
 
 def metroman_random(width: Column, width_u: Column, slope: Column, slope_u: Column, d_area: Column, d_area_u: Column, base: Column, p: Column) -> Column:

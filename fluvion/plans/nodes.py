@@ -65,8 +65,7 @@ w as (select reach, (coalesce(any_flag, 0) & ~(1 + 16 + 512 + 1024 + 2048 + 8388
 select reach, flag::bigint as flag, case when flag = 0 then 0 when flag < 262144 then 1 when flag < 4194304 then 2 else 3 end as q from w""")
 def reach_quality(spark, sf_dir):
     n = flagged(spark, sf_dir).where("pixels > 2")
-    seen = F.count("*") / 50 - 0.4  # the operator's bound is half of the nodes; these reaches see nearly all
-    g = n.groupBy("reach").agg(quality.reach_flag(c("flag"), c("node") % 9 > 0, c("wse").between(quality.LOWEST, quality.HIGHEST), seen, 30).alias("flag"))
+    g = n.groupBy("reach").agg(quality.reach_flag(c("flag"), c("node") % 9 > 0, c("wse").between(quality.LOWEST, quality.HIGHEST), F.count("*") / 50, 30, least_observed=0.9).alias("flag"))
     return g.select("reach", "flag", quality.summary(c("flag")).alias("q"))
 
 

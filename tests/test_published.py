@@ -90,11 +90,11 @@ def test_flag_and_consensus(spark):
     names = ("metroman", "bam", "hivdi", "momma", "sads", "sic4dvar")
     none, one = F.lit(None).cast("double"), F.lit(2.0)
     base = {k: F.lit(10.0) for k in names if k != "momma"}
-    f = lambda **k: spark.range(1).select(discharge.flag(**({"quality": F.lit(0), "slope": F.lit(1e-4), "slope_u": F.lit(1e-6), "d_area": F.lit(0.0), "bases": base, "bed": F.lit(1.0), "bankfull": F.lit(2.0), "models": dict.fromkeys(names, one)} | k))).first()[0]
+    f = lambda **k: spark.range(1).select(discharge.flag(**({"reach_q": F.lit(0), "slope": F.lit(1e-4), "slope_u": F.lit(1e-6), "d_area": F.lit(0.0), "bases": base, "bed": F.lit(1.0), "bankfull": F.lit(2.0), "models": dict.fromkeys(names, one)} | k))).first()[0]
     assert f() == 0
-    assert f(quality=F.lit(3), slope=F.lit(-1e-4), slope_u=F.lit(1e-3), d_area=F.lit(-11.0), bed=F.lit(3.0), models=dict.fromkeys(names, none)) == sum(1 << k for k in (22, 24, 3, 4, 5, 6, 7, 8, 23))
-    assert f(quality=F.lit(1), slope_u=F.lit(1e-4), models=dict.fromkeys(names, one) | {"bam": none}) == (1 << 0) + (1 << 1) + (1 << 11)
-    assert f(quality=F.lit(2), slope=F.lit(0.0)) == 1 << 18
+    assert f(reach_q=F.lit(3), slope=F.lit(-1e-4), slope_u=F.lit(1e-3), d_area=F.lit(-11.0), bed=F.lit(3.0), models=dict.fromkeys(names, none)) == sum(1 << k for k in (22, 24, 3, 4, 5, 6, 7, 8, 23))
+    assert f(reach_q=F.lit(1), slope_u=F.lit(1e-4), models=dict.fromkeys(names, one) | {"bam": none}) == (1 << 0) + (1 << 1) + (1 << 11)
+    assert f(reach_q=F.lit(2), slope=F.lit(0.0)) == 1 << 18
     parts = discharge.consensus_parts([F.lit(1.0), F.lit(5.0), none], [F.lit(0.3), F.lit(0.5), none], [F.lit(0.2), F.lit(0.4), none])
     row = spark.range(1).select(*(v.alias(k) for k, v in parts.items())).first()
     s = math.sqrt(math.pi / 2 * 0.4**2 / 2)

@@ -6,7 +6,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from fluvion.plans import assignment, lines, more, network, nodes, published, rasters, scenes, scoring, spatial  # noqa: F401
+from fluvion.plans import assignment, completing, lines, more, network, nodes, published, rasters, scenes, scoring, spatial  # noqa: F401
 from fluvion.plans.catalogue import QUERIES, SQL
 
 DATA = Path("/root/testdata/sf0.001")
