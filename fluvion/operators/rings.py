@@ -33,7 +33,7 @@ def nearest(points: DataFrame, nodes: DataFrame, id: str, cell: float, farthest:
     """Each point's nearest node, all groups' if several are equally near: id, d2 and the columns of nodes. Points farther than farthest from all have no row.
 
     Of a group's equally near nodes the one with the least columns, in their order, counts. A ring answers for the points that have a node within its cell, as
-    no other node can be nearer; the others go on to one with twice the cell. Rings are written tables.
+    no other node can be nearer; the others go on to one with twice the cell. Each ring is a written table.
     """
     keys = [group] if group else []
     rest = [c for c in nodes.columns if c not in keys]
@@ -45,11 +45,10 @@ def nearest(points: DataFrame, nodes: DataFrame, id: str, cell: float, farthest:
         if group:
             least = best.groupBy(id).agg(F.min("d2").alias("_least"))
             best = best.join(least, id).where("d2 = _least").drop("_least")
-        found.append(written(best, "ring"))
-        if cell >= farthest:
-            break
-        open_points = written(open_points.join(found[-1].select(id), id, "left_anti"), "ring-open")
-        if not open_points.take(1):
+        ring = written(open_points.withColumnsRenamed({"x": "_x", "y": "_y"}).join(best, id, "left"), "ring")
+        found.append(ring.where("d2 is not null").drop("_x", "_y"))
+        open_points = ring.where("d2 is null").select(id, F.col("_x").alias("x"), F.col("_y").alias("y"))
+        if cell >= farthest or not open_points.take(1):
             break
         cell = min(2 * cell, farthest)
     return functools.reduce(DataFrame.unionByName, found).select(id, "d2", *nodes.columns)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import two_pass
+from . import river_tile
 from .catalogue import c, query, r, table
 
 _SCENE = """rk as (select s_suppkey as k, s_suppkey * 10 + 1 + s_suppkey % 6 as reach_id, case when s_suppkey % 11 = 10 then 1 when s_suppkey % 7 = 6 then 3 else 8 end as m from supplier),
@@ -68,3 +69,29 @@ def two_pass_ext_dist(spark, sf_dir):
 @query(f"with {_SCENE}, {_HALF} select reach_id, node_id, round(half, 5) as half_width from w3")
 def search_widths(spark, sf_dir):
     return two_pass.search_widths(scene(spark, sf_dir)[1]).select("reach_id", "node_id", r("half_width").alias("half_width"))
+
+
+def tile(spark, sf_dir):
+    """The scene's assigned pixels with their measurements, and its prior nodes."""
+    pixels, nodes, neighbours = scene(spark, sf_dir)
+    pixel_id = (c("l_orderkey") * 8 + c("l_linenumber")) * 20000000 + F.floor(c("l_extendedprice") * 100 + 0.5)
+    measured = table(spark, sf_dir, "lineitem").select(
+        pixel_id.alias("pixel_id"), (c("l_extendedprice") / 9970 + 30).alias("height"), (0.1 + c("l_tax")).alias("sigma"), c("l_linenumber").alias("klass"), (c("l_discount") * 10).alias("water_frac"), (c("l_quantity") * 20).alias("pixel_area"), (c("l_returnflag") == "A").alias("degraded")
+    )
+    return two_pass.assign_reaches(pixels, nodes, neighbours).join(measured, "pixel_id"), nodes.select("reach_id", "node_id", c("spacing").alias("node_length"))
+
+
+@query(f"""with {_SCENE}, {_HALF}, {_PASSES}, att as (select (l_orderkey * 8 + l_linenumber) * 20000000 + floor(l_extendedprice * 100 + 0.5)::bigint as pixel_id, l_extendedprice / 9970 + 30 as h, 0.1 + l_tax as sg, l_linenumber as klass, l_discount * 10 as wf, l_quantity * 20 as pa, l_returnflag = 'A' as bad from lineitem),
+t as (select reach_id, node_id, att.*, klass in (3, 4, 6, 7) and not bad as good from pop join att using (pixel_id)), g as (select reach_id, node_id, count(*) as n_pix, count(*) filter (where good) as n_good, sum(h / (sg * sg)) filter (where good) / sum(1 / (sg * sg)) filter (where good) as hg, sum(h / (sg * sg)) / sum(1 / (sg * sg)) as ha,
+1 / sqrt(sum(1 / (sg * sg))) as u, sum(case when klass in (4, 6, 7, 5) then pa when klass in (2, 3) then pa * greatest(least(wf, 3), -3) else 0 end) as area from t group by 1, 2)
+select reach_id, node_id, n_pix, n_good, round(case when n_good >= 3 then hg else ha end, 5) as wse, round(u, 6) as wse_u, round(area, 4) as area, ((n_good < 3)::bigint * 2048 + (n_good = 0)::bigint * 262144)::bigint as node_flag from g""")
+def river_tile_nodes(spark, sf_dir):
+    """Nodes of the scene, from pixels assigned in two passes."""
+    out = river_tile.nodes(tile(spark, sf_dir)[0])
+    return out.select("reach_id", "node_id", "n_pix", "n_good", r("wse").alias("wse"), r("wse_u", 6).alias("wse_u"), r("area", 4).alias("area"), "node_flag")
+
+
+def river_tile_reaches(spark, sf_dir):
+    """The chain from pixels to reaches: two passes, nodes, outliers, the fitted line, every prior reach."""
+    assigned, prior = tile(spark, sf_dir)
+    return river_tile.reaches(river_tile.nodes(assigned), prior)

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from fluvion.operators import assign, discharge, metrics, quantiles
+from fluvion.operators import assign, completion, discharge, metrics, quantiles
 from fluvion.sources import scenes
 
 
@@ -116,3 +116,34 @@ def test_science_of_nulls_is_outside(spark):
     df = spark.createDataFrame(rows, ", ".join(f"{n} {'long' if n == 'flag' else 'double'}" for n in names))
     assert [r.in_science for r in metrics.science(df).collect()] == [True, False, False]
     assert tuple(metrics.outside_counts(df).first()) == (3, 1, 1, 1, 1, 1, 1, 1, 1)
+
+
+def test_products_cover_the_prior_database(spark):
+    prior = spark.createDataFrame([(11, 1, 0.0, 0.0), (11, 2, 200.0, 0.0), (26, 1, 0.0, 0.0), (26, 2, 0.0, 9.0), (31, 1, 0.0, 0.0)], "reach_id long, node_id long, x_prior double, y_prior double")
+    seen = spark.createDataFrame([(11, 1, 3.0, 4.0, 12, 1, 1024, 0, None), (99, 1, 1.0, 1.0, 5, 0, 0, 0, 2.0)], "reach_id long, node_id long, x double, y double, n_good_pix long, node_q int, node_q_b long, xovr_cal_q int, wse double")
+    rows = {(r.reach_id, r.node_id): r for r in completion.complete_nodes(prior, seen).collect()}
+    assert sorted(rows) == [(11, 1), (11, 2)]  # ghosts, reaches of one node and unknown ones aren't there
+    one, two = rows[11, 1], rows[11, 2]
+    assert (one.node_dist, one.node_q, one.node_q_b, one.wse, one.n_good_pix) == (5.0, 1, 1024, completion.FILL_FLOAT, 12)
+    assert (two.node_q, two.node_q_b, two.xovr_cal_q, two.n_good_pix, two.wse, two.node_dist) == (3, sum(1 << k for k in (24, 25, 26, 27, 28)), 2, completion.FILL_LONG, completion.FILL_FLOAT, completion.FILL_FLOAT)
+    reaches = spark.createDataFrame([(11, [21, 0], [0]), (26, [], []), (31, [], []), (41, [0], [11, 0])], "reach_id long, up array<long>, down array<long>")
+    nodes = prior.union(spark.createDataFrame([(41, 1, 0.0, 0.0), (41, 2, 0.0, 0.0)], prior.schema))
+    got = spark.createDataFrame([(11, 0.6, 1, 5, 0)], "reach_id long, obs_frac_n double, reach_q int, reach_q_b long, dschg_q_b long")
+    rows = {r.reach_id: r for r in completion.complete_reaches(reaches, got, nodes).collect()}
+    assert sorted(rows) == [11, 41]
+    assert (rows[11].n_up, rows[11].up, rows[11].down, rows[11].partial_f, rows[11].reach_q) == (1, [21, completion.FILL_LONG], [completion.FILL_LONG], 0, 1)
+    assert (rows[41].reach_q, rows[41].reach_q_b, rows[41].dschg_q_b, rows[41].partial_f, rows[41].n_down) == (3, (1 << 26) + (1 << 27) + (1 << 28), (1 << 22) + (1 << 23), 1, 1)
+
+
+def test_field_checks_name_what_is_broken(spark):
+    rows = spark.createDataFrame([(1.0, 4, None), (float("nan"), 8, 1.0), (float("inf"), 3, 2.0), (-9999.0, 0, None), (-5.0, 16, 3.0)], "v double, flags long, maybe double")
+    fields = {"v": {"valid_min": 0.0, "valid_max": 10.0, "fill": -9999.0}, "flags": {"flag_masks": [1, 2, 4]}, "maybe": {"nullable": True, "valid_max": 2.5}}
+    got = {(r.field, r.problem): r.n for r in completion.check_fields(rows, fields).collect()}
+    assert got == {("v", "missing"): 1, ("v", "infinite"): 1, ("v", "low"): 1, ("v", "high"): 1, ("flags", "bits"): 2, ("maybe", "high"): 1}
+    assert completion.check_fields(rows.where("false"), fields).count() == 0
+
+
+def test_passes_are_unions_in_order(spark):
+    a, b = spark.createDataFrame([(5, 1.0)], "reach_id long, wse double"), spark.createDataFrame([(3, 7)], "reach_id long, extra long")
+    assert [(r.reach_id, r.wse, r.extra) for r in completion.pass_product([a, b], ["reach_id"]).collect()] == [(3, None, 7), (5, 1.0, None)]
+    assert completion.every(spark.range(10).withColumnRenamed("id", "az"), 3, "az").count() == 4
