@@ -12,32 +12,39 @@ from .common import table
 
 
 def op1_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token-id sequences in training order."""
     return ordering.materialise(table(spark, sf_dir, "documents"))
 
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes of every document, with its source's size and target."""
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 def op3_audio_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recordings rendered from vectors: those whose id 50 divides, aligned with all."""
     return audio.align(audio.fingerprints(audio.rendered(table(spark, sf_dir, "embeddings"))))
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probabilities of every document and whether it is rejected."""
     scored = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored.select("doc_id", "p_low_quality", "p_toxic", "rejected")
 
 
 def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document and its place in a sequence."""
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
 def op6_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words, removed words and a digest of the kept ones, of every document."""
     return passages.digest(passages.remove_passages(table(spark, sf_dir, "documents")))
 
 
 def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document, by the law rows: counts differ by one at most."""
     rows = sharding.external_shuffle(table(spark, sf_dir, "documents"))
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 8
     crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
@@ -45,28 +52,34 @@ def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class, component and whether it is kept, of every document."""
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "component_id", "kept")
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
     return counting.count_tokens(table(spark, sf_dir, "documents"))
 
 
 def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, component and whether it is kept, of every vector."""
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
 def op11_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from four fifths of them."""
     docs = table(spark, sf_dir, "documents")
     found = languages.identify(docs.select("doc_id", "text"), languages.fit(languages.learned(docs)))
     return found.select("doc_id", languages.held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code and error of every vector that has finite components."""
     return codes.compress(table(spark, sf_dir, "embeddings"))
 
 
 def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How every document is cut, with digests of the output and of the text rebuilt from it."""
     cut = fill_middle.fill_in_middle(table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(fill_middle.restored(), 256).alias("restored_sha256"))
 
