@@ -29,13 +29,14 @@ def constant_n(width: Column, slope: Column, d_area: Column, base: Column, n: Co
 
 
 def hivdi(width: Column, slope: Column, d_area: Column, base: Column, alpha: Column, beta: Column) -> Column:
-    n = 1 / (alpha * F.pow((d_area + base) / width, beta))
-    return F.when(_guard(width, slope, base, base + d_area) & (alpha > 0), manning(width, slope, base + d_area, n))
+    """By the inverse of the roughness, which is 0 for an empty section."""
+    inverse = alpha * F.pow((d_area + base) / width, beta)
+    return F.when(_guard(width, slope, base, base + d_area) & (alpha > 0), manning(width, slope, base + d_area, F.lit(1.0)) * inverse)
 
 
 def momma(width: Column, slope: Column, height: Column, bed: Column, bankfull: Column, mean_slope: Column) -> Column:
     nb = 0.11 * F.pow(mean_slope, 0.18)
-    part = F.log10((bankfull - bed) / (height - bed))
+    part = F.log10((bankfull - bed) / F.nullif(height - bed, F.lit(0.0)))  # both branches take it, so it may be computed before the guard
     n = nb * F.when(height <= bankfull, 1 + part).otherwise(1 - part)
     ok = (width > 0) & (slope > 0) & (height > bed) & (mean_slope > 0) & (bankfull > bed)
     return F.when(ok & (n > 0), F.pow((height - bed) * 2 / 3, 5 / 3) * width * F.sqrt(slope) / n)

@@ -1,12 +1,15 @@
 """Percentiles by counting, scenes, discharge and filters against independent versions."""
 
 import math
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from fluvion.operators import assign, completion, discharge, metrics, quantiles
+from fluvion.plans import catalogue, published
+from fluvion.plans.catalogue import SQL
 from fluvion.sources import scenes
 
 
@@ -147,3 +150,34 @@ def test_passes_are_unions_in_order(spark):
     a, b = spark.createDataFrame([(5, 1.0)], "reach_id long, wse double"), spark.createDataFrame([(3, 7)], "reach_id long, extra long")
     assert [(r.reach_id, r.wse, r.extra) for r in completion.pass_product([a, b], ["reach_id"]).collect()] == [(3, None, 7), (5, 1.0, None)]
     assert completion.every(spark.range(10).withColumnRenamed("id", "az"), 3, "az").count() == 4
+
+
+def _bases(spark, path, **rows):
+    for name, (values, schema) in rows.items():
+        spark.createDataFrame(values, schema).write.parquet(f"{path}/{name}.parquet")
+    return str(path)
+
+
+def _lineitem(spark, path, rows, **others):
+    """Rows of order, part, supplier, line, quantity, price, returnflag."""
+    values = [(*x[:6], 0.02, 0.04, x[6], "F") for x in rows]
+    return _bases(spark, path, lineitem=(values, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string"), **others)
+
+
+def _sql(path, sql):
+    import duckdb
+
+    con = duckdb.connect()
+    for p in Path(path).glob("*.parquet"):
+        con.execute(f"create view {p.stem} as select * from '{p}/*.parquet'")
+    return sorted(con.execute(sql).fetchall())
+
+
+def test_models_of_an_empty_section_are_zero(spark, tmp_path):
+    one = F.lit(1.0)
+    got = spark.range(1).select(discharge.hivdi(one, one, F.lit(-800.0), F.lit(800.0), F.lit(30.0), F.lit(0.05)).alias("hivdi"), discharge.momma(one, one, F.col("id") + 35.5, F.lit(35.5), F.lit(38.0), one).alias("momma")).first()
+    assert got.hivdi == 0 and got.momma is None
+    # 49 nodes of 300 each: the section of 14,700 - 15,500 + 800 is empty
+    rows = [(k, k, 7, 4, 300.0, 40000.0, "N") for k in range(49)]
+    path = _lineitem(spark, tmp_path, rows)
+    assert [tuple(x) for x in published.discharge_flag(spark, path).collect()] == _sql(path, SQL["discharge_flag"])
