@@ -108,9 +108,10 @@ def area_uncertainty(
 
     Each is the root of a pixel-size term (edges only), a term of the prior elevation, a random term of the rates of classification and a
     bias term, over the edge and interior pixels; dark water counts for none. The composite mixes detection and fraction by the share of edge pixels, for
-    which, as for its bias, all pixels count, whatever mask.
+    which, as for its bias, all pixels count, whatever mask. A node without a pixel in mask has no deviation: null, not 0.
     """
-    edge, used = klass.isin(*edges).cast("double"), klass.isin(*edges, *interior).cast("double")
+    total = lambda v, m=None: F.sum(only(v, m))
+    edge, used = (F.coalesce(klass.isin(*k), F.lit(False)).cast("double") for k in (edges, (*edges, *interior)))
     wrong = 1 - p_class
     p_found = p_class * p_true + wrong * (1 - p_true)
     bias_found = wrong * (1 - p_true) - wrong * p_found

@@ -181,3 +181,10 @@ def test_models_of_an_empty_section_are_zero(spark, tmp_path):
     rows = [(k, k, 7, 4, 300.0, 40000.0, "N") for k in range(49)]
     path = _lineitem(spark, tmp_path, rows)
     assert [tuple(x) for x in published.discharge_flag(spark, path).collect()] == _sql(path, SQL["discharge_flag"])
+
+
+def test_nodes_without_good_pixels_have_no_area_deviation(spark, tmp_path):
+    rows = [(k, k % 2, 3, 1 + k % 7, 10.0 + k, 1000.0 * k, "A" if k % 2 else "N") for k in range(12)]
+    path = _lineitem(spark, tmp_path, rows)
+    got = sorted(tuple(x) for x in published.area_uncertainty_terms(spark, path).select("reach", "node", "detected", "fraction", "composite", "width_u").collect())
+    assert got == _sql(path, SQL["area_uncertainty_terms"]) and got[0][2] > 0 and got[1][2:] == (None,) * 4
