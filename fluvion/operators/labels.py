@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -140,30 +142,41 @@ def eroded_labels(cells: DataFrame, erosion: int, block: int = BLOCK) -> DataFra
     return mask.join(labelled, CELL, "left").join(by_orphan, CELL, "left").select(*CELL, F.coalesce("given", "label").alias("label"))
 
 
-def labels_of_reaches(pixels: DataFrame, nodes: DataFrame, cell: float, min_pixels: int = 3200, max_pixels: int = 100_000, seed: int = 1) -> DataFrame:
+#: Pixels that a node meets on average in the first ring, about.
+MET = 64
+
+
+def _first_cell(points: DataFrame, nodes: DataFrame, cell: float) -> float:
+    """cell, halved until nodes meet some MET pixels in the nine cells around, as though pixels lay evenly within a cell. Counts of cells tell, not pairs."""
+    held = points.groupBy(F.floor(F.col("nx") / cell).alias("cx"), F.floor(F.col("ny") / cell).alias("cy")).count()
+    places = nodes.select("x", "y").distinct()
+    met = places.select(rings.around("x", "y", cell).alias("_c")).select("_c.*").join(held, ["cx", "cy"]).agg(F.sum("count")).first()[0] or 0
+    return cell / 2 ** max(0, math.ceil(math.log(max(met / (MET * places.count()), 1e-9), 4)))
+
+
+def labels_of_reaches(pixels: DataFrame, nodes: DataFrame, cell: float, min_pixels: int = 3200, max_pixels: int | None = 100_000, seed: int = 1) -> DataFrame:
     """reach_id, label, distance: the label whose pixels lie nearest to each reach, by the mean over its nodes of the distance to the nearest pixel.
 
     pixels: x, y, label. nodes: reach_id, node_id, x, y. Labels of fewer than min_pixels pixels don't count; of larger ones than max_pixels so many are
-    compared, the first by a seeded hash of the place. On ties the label of more pixels, then the lower one, counts. No reach meets all labels:
-    within rings of growing cells a node meets the pixels nearby, and a label it hasn't met yet lies farther than the ring. A reach is done when the mean
+    compared, the first by a seeded hash of the place; all without max_pixels. On ties (to 1e-9) the label of more pixels, then the lower one, counts. No reach meets
+    all labels: the first ring is as small as the pixels around the nodes are dense (cell at most), and within rings of growing cells a node meets the pixels nearby, and a label it hasn't met yet lies farther than the ring. A reach is done when the mean
     of a label that all its nodes have met is below what every other label can still reach. Reaches without any label have no row.
     """
     pixels = pixels.where("label > 0 and x is not null and y is not null").select("label", "x", "y")
     sizes = pixels.groupBy("label").agg(F.count("*").alias("size"))
     sizes = written(sizes.where(F.col("size") >= min_pixels), "reach-labels-sizes")
     rows = pixels.join(sizes, "label")
-    # a label's first places by hash: the share of hashes that holds twice as many as wanted is ranked, not the whole label
-    h = F.xxhash64(F.lit(seed), "x", "y")
-    part = (F.shiftrightunsigned(h, 11).cast("double") / float(1 << 53)).alias("h")
-    large = rows.where(F.col("size") > max_pixels).select("label", "x", "y", part, "size")
-    kept = []
-    if large.take(1):
-        few = large.where(F.col("h") < 2.0 * max_pixels / F.col("size"))
-        rank = F.row_number().over(Window.partitionBy("label").orderBy("h", "x", "y"))
-        kept.append(few.withColumn("_k", rank).where(F.col("_k") <= max_pixels).select("label", "x", "y"))
-    points = rows.where(F.col("size") <= max_pixels).select("label", "x", "y")
-    for more in kept:
-        points = points.unionByName(more)
+    points = rows.select("label", "x", "y")
+    if max_pixels is not None:
+        # a label's first places by hash: the share of hashes that holds twice as many as wanted is ranked, not the whole label
+        h = F.xxhash64(F.lit(seed), "x", "y")
+        part = (F.shiftrightunsigned(h, 11).cast("double") / float(1 << 53)).alias("h")
+        large = rows.where(F.col("size") > max_pixels).select("label", "x", "y", part, "size")
+        points = rows.where(F.col("size") <= max_pixels).select("label", "x", "y")
+        if large.take(1):
+            few = large.where(F.col("h") < 2.0 * max_pixels / F.col("size"))
+            rank = F.row_number().over(Window.partitionBy("label").orderBy("h", "x", "y"))
+            points = points.unionByName(few.withColumn("_k", rank).where(F.col("_k") <= max_pixels).select("label", "x", "y"))
     points = written(points.select("label", F.col("x").alias("nx"), F.col("y").alias("ny")).distinct(), "reach-labels-points")
 
     nodes = written(nodes.select("reach_id", "node_id", "x", "y"), "reach-labels-nodes")
@@ -173,19 +186,20 @@ def labels_of_reaches(pixels: DataFrame, nodes: DataFrame, cell: float, min_pixe
         return nodes.select("reach_id", F.lit(None).cast(pixels.schema["label"].dataType).alias("label"), F.lit(0.0).alias("distance")).where("false")
     widest = float(np.hypot(max(box[1], far[1]) - min(box[0], far[0]), max(box[3], far[3]) - min(box[2], far[2]))) + 1.0
     counts = nodes.groupBy("reach_id").agg(F.count("*").alias("n"))
-    undecided, done = nodes, None
+    undecided, done, cell = nodes, None, _first_cell(points, nodes, cell)
     while True:
-        # few nodes, many pixels: nodes are dealt to nine cells
-        met = rings.within_cell(points.withColumnsRenamed({"nx": "x", "ny": "y"}), undecided.withColumnsRenamed({"x": "nx", "y": "ny"}), cell)
-        near = met.groupBy("reach_id", "node_id", "label").agg(F.sqrt(F.min("d2")).alias("d"))
+        # few places, many pixels: places are dealt to nine cells, one that many nodes share is compared once
+        places = undecided.where("x is not null and y is not null").select(F.col("x").alias("nx"), F.col("y").alias("ny")).distinct()
+        met = rings.within_cell(points.withColumnsRenamed({"nx": "x", "ny": "y"}), places, cell)
+        near = met.groupBy("nx", "ny", "label").agg(F.sqrt(F.min("d2")).alias("d")).withColumnsRenamed({"nx": "x", "ny": "y"}).join(undecided, ["x", "y"])
         sums = near.groupBy("reach_id", "label").agg(F.sum("d").alias("sum"), F.count("*").alias("k")).join(counts, "reach_id")
         bound = (F.col("sum") + (F.col("n") - F.col("k")) * cell) / F.col("n")
         sums = written(sums.select("reach_id", "label", bound.alias("bound"), (F.col("k") == F.col("n")).alias("whole")), "reach-labels-ring")
-        best = sums.where("whole").join(sizes, "label").groupBy("reach_id").agg(F.min(F.struct("bound", (-F.col("size")).alias("m"), "label")).alias("b"))
+        best = sums.where("whole").join(sizes, "label").groupBy("reach_id").agg(F.min(F.struct(F.round("bound", 9).alias("_r"), (-F.col("size")).alias("m"), "label", "bound")).alias("b"))
         open_bound = sums.where("not whole").groupBy("reach_id").agg(F.min("bound").alias("open"))
         best = best.join(open_bound, "reach_id", "left").select("reach_id", "b.label", F.col("b.bound").alias("distance"), F.least(F.coalesce("open", F.lit(cell)), F.lit(cell)).alias("open"))
         last = cell >= widest
-        found = written(best.where(F.lit(last) | (F.col("distance") < F.col("open"))).select("reach_id", "label", "distance"), "reach-labels-done")
+        found = written(best.where(F.lit(last) | (F.col("distance") + 1e-8 < F.col("open"))).select("reach_id", "label", "distance"), "reach-labels-done")
         done = found if done is None else done.unionByName(found)
         undecided = written(undecided.join(found, "reach_id", "left_anti"), "reach-labels-open")
         if last or not undecided.take(1):

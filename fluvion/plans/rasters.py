@@ -67,4 +67,4 @@ def reach_labels(spark, sf_dir):
     s, node = c("s_suppkey"), c("node_id")
     nodes = table(spark, sf_dir, "supplier").select(s.alias("reach_id"), F.explode(F.sequence(F.lit(0), F.lit(5))).alias("node_id"))
     nodes = nodes.select("reach_id", "node_id", (c("reach_id") * 17 % 2000 * 1.0 + node * 20).alias("x"), (c("reach_id") * 29 % 100 * 25.0 + node % 2 * 30).alias("y"))
-    return labels.labels_of_reaches(pixels, nodes, cell=64.0, min_pixels=30).withColumn("distance", r("distance", 4))
+    return labels.labels_of_reaches(pixels, nodes, cell=64.0, min_pixels=30, max_pixels=None).withColumn("distance", r("distance", 4))

@@ -243,6 +243,21 @@ def test_labels_of_reaches_equal_brute_force(spark):
     assert labels.labels_of_reaches(p.where("false"), q, cell=50.0).count() == 0
 
 
+def test_labels_of_reaches_take_all_pixels_and_meet_few(spark, monkeypatch):
+    rng = np.random.default_rng(10)
+    pixels = [(int(k), float(x), float(y)) for k in (1, 2, 3) for x, y in rng.uniform(0, 200, (1500, 2))]
+    nodes = [(k, n, 40.0 * (k % 4) + 3 * n, 50.0) for k in range(40) for n in range(3)]
+    p, q = spark.createDataFrame(pixels, "label long, x double, y double"), spark.createDataFrame(nodes, "reach_id long, node_id long, x double, y double")
+    met = []
+    plain = rings.within_cell
+    monkeypatch.setattr(rings, "within_cell", lambda *a, **k: met.append(plain(*a, **k)) or met[-1])
+    got = {x.reach_id: (x.label, x.distance) for x in labels.labels_of_reaches(p, q, cell=64.0, min_pixels=20, max_pixels=None).collect()}
+    for k in range(40):
+        mean = {v: np.mean([min(np.hypot(x - a, y - b) for w, a, b in pixels if w == v) for r, _, x, y in nodes if r == k]) for v in (1, 2, 3)}
+        assert got[k][0] == min(mean, key=mean.get) and got[k][1] == pytest.approx(min(mean.values()))
+    assert sum(m.count() for m in met) < 20_000  # all pixels around all nodes are some 160,000 pairs
+
+
 def test_refinement_settles_on_a_shifted_line(spark):
     rng = np.random.default_rng(1)
     pixels = [(k, i, float(x), float(y)) for k, shift in ((1, 80.0), (2, 0.0)) for i, (x, y) in enumerate(zip(rng.uniform(-100, 3900, 4000), shift + rng.uniform(-50, 50, 4000), strict=True))]
