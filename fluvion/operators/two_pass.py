@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.scratch import written
-from . import assign, joins, network, rings
+from . import assign, network, rings
 
 #: Reaches of at most so many nodes give no labels.
 SHORT = 3
@@ -34,25 +34,34 @@ def _offsets() -> tuple[Column, Column]:
     return dx * F.col("tx") + dy * F.col("ty"), dy * F.col("tx") - dx * F.col("ty")
 
 
-def _in_channels(pixels: DataFrame, nodes: DataFrame, half: str) -> DataFrame:
-    """pixel_id, reach_id, label of the pixels in the channel of a reach, by the reach's nearest node. Reaches search as far as their own widths ask for."""
-    far = F.hypot(F.col(half), 3 * F.col("spacing"))
+def _in_channels(pixels: DataFrame, nodes: DataFrame, halves: list[str]) -> DataFrame:
+    """pixel_id, reach_id, label of the pixels in a channel of a reach, by the reach's nearest node, and whether they are in that of each of halves.
+
+    Reaches search as far as their own widths ask for; all channels are told in one search, for which pixels are shuffled once.
+    """
+    far = F.hypot(F.greatest(*halves) if len(halves) > 1 else F.col(halves[0]), 3 * F.col("spacing"))
     level = F.ceil(F.log2(F.greatest(F.max(far), F.lit(1.0))))
     levels = nodes.groupBy("reach_id").agg(level.alias("level"))
     nodes = nodes.join(levels, "reach_id")
-    columns = ["node_id", "nx", "ny", "tx", "ty", "spacing", half]
+    columns = ["node_id", "nx", "ny", "tx", "ty", "spacing", *halves]
     out = None
     for k in sorted(r.level for r in levels.select("level").distinct().collect()):  # powers of two: some ten at most
-        met = rings.within_cell(pixels, nodes.where(F.col("level") == k).select("reach_id", *columns), float(2**k))
-        best = met.groupBy("pixel_id", "reach_id", "x", "y", "label").agg(F.min(F.struct("d2", *columns)).alias("b")).select("pixel_id", "reach_id", "x", "y", "label", "b.*")
+        best = rings.nearest_within_cell(pixels, nodes.where(F.col("level") == k).select("reach_id", *columns), float(2**k), columns, group="reach_id")
+        best = best.select("pixel_id", "reach_id", "x", "y", "label", "b.*")
         s, n = _offsets()
-        inside = best.where((F.abs(n) <= F.col(half)) & (F.abs(s) <= 3 * F.col("spacing"))).select("pixel_id", "reach_id", "label")
-        out = inside if out is None else out.unionByName(inside)
-    return out if out is not None else pixels.select("pixel_id", F.lit(None).cast(nodes.schema["reach_id"].dataType).alias("reach_id"), "label").where("false")
+        inside = [((F.abs(n) <= F.col(h)) & (F.abs(s) <= 3 * F.col("spacing"))).alias(f"in_{h}") for h in halves]
+        found = best.select("pixel_id", "reach_id", "label", *(F.coalesce(i, F.lit(False)).alias(f"in_{h}") for i, h in zip(inside, halves, strict=True)))
+        found = found.where(" or ".join(f"in_{h}" for h in halves))
+        out = found if out is None else out.unionByName(found)
+    if out is None:
+        out = pixels.select("pixel_id", F.lit(None).cast(nodes.schema["reach_id"].dataType).alias("reach_id"), "label", *(F.lit(False).alias(f"in_{h}") for h in halves)).where("false")
+    return out
 
 
-def _main_labels(rows: DataFrame) -> DataFrame:
-    return joins.dominant_label(rows, ["reach_id"], "label").select("reach_id", F.col("label").alias("main"))
+def _main_labels(counts: DataFrame) -> DataFrame:
+    """reach_id, main: the most frequent positive label, the least on ties, from counts (reach_id, label, n)."""
+    sums = counts.where("label > 0").groupBy("reach_id", "label").agg(F.sum("n").alias("n"))
+    return sums.groupBy("reach_id").agg(F.min(F.struct((-F.col("n")).alias("n"), "label")).alias("m")).select("reach_id", F.col("m.label").alias("main"))
 
 
 def assign_reaches(pixels: DataFrame, nodes: DataFrame, neighbours: DataFrame, max_width: float = 600.0, min_obs: int = 10, use_ext_dist_coef: bool = False) -> DataFrame:
@@ -75,13 +84,15 @@ def assign_reaches(pixels: DataFrame, nodes: DataFrame, neighbours: DataFrame, m
     pixels = pixels.select("pixel_id", "x", "y", "label")
     counts = nodes.groupBy("reach_id").agg(F.count("*").alias("n_nodes"))
 
-    first = _main_labels(_in_channels(pixels, nodes, "scalar_half")).join(counts.where(F.col("n_nodes") > SHORT), "reach_id", "left_semi")
+    channels = written(_in_channels(pixels, nodes, ["scalar_half", "half_width"]), "pass-channels")
+    counted = channels.groupBy("reach_id", "label").agg(F.count_if("in_scalar_half").alias("first"), F.count_if("in_half_width").alias("n"))
+    counted = written(counted, "pass-counts")
+    first = _main_labels(counted.where("first > 0").select("reach_id", "label", F.col("first").alias("n"))).join(counts.where(F.col("n_nodes") > SHORT), "reach_id", "left_semi")
     first = written(first, "pass-labels")
     # which labels count as a reach's own: those of neighbours are read as the reach's
     near = neighbours.join(first.select(F.col("reach_id").alias("neighbour"), F.col("main").alias("label")), "neighbour").select("reach_id", "label").distinct()
     renamed = near.join(first, "reach_id").select("reach_id", "label", F.col("main").alias("renamed"))
-    inside = written(_in_channels(pixels, nodes, "half_width"), "pass-channels")
-    seen = inside.join(renamed, ["reach_id", "label"], "left").select("pixel_id", "reach_id", F.coalesce("renamed", "label").alias("label"))
+    seen = counted.where("n > 0").join(renamed, ["reach_id", "label"], "left").select("reach_id", F.coalesce("renamed", "label").alias("label"), "n")
     second = written(_main_labels(seen), "pass-mains")
 
     # labels of pixels that make them part of a reach beyond its channel: its own, if no neighbour's reading changes it, and those read as it
@@ -90,14 +101,16 @@ def assign_reaches(pixels: DataFrame, nodes: DataFrame, neighbours: DataFrame, m
     labels = own.select("reach_id", F.col("main").alias("label")).unionByName(renamed.join(second, (renamed.reach_id == second.reach_id) & (renamed.renamed == second.main)).select(renamed.reach_id, "label")).distinct()
     labels = written(labels, "pass-far-labels")
 
-    asked = pixels.join(inside.select("pixel_id").distinct().withColumn("_in", F.lit(True)), "pixel_id", "left").join(labels.select("label").distinct().withColumn("_far", F.lit(True)), "label", "left")
-    asked = written(asked.where(F.col("_in") | F.col("_far")).select("pixel_id", "x", "y", "label"), "pass-asked")
+    inside = channels.where("in_half_width").select("pixel_id").distinct().withColumn("_in", F.lit(True))
+    asked = pixels.join(inside, "pixel_id", "left").join(labels.select("label").distinct().withColumn("_far", F.lit(True)), "label", "left")
+    asked = asked.where(F.col("_in") | F.col("_far")).select("pixel_id", "x", "y", "label")
     reach = nodes.agg(F.max(20 * F.greatest("spacing", "half_width")).alias("far"), F.max(F.hypot(F.col("half_width"), 3 * F.col("spacing"))).alias("near"), F.avg("spacing").alias("spacing")).first()
     columns = ["reach_id", "node_id", "nx", "ny", "tx", "ty", "spacing", "half_width", "ext_dist_coef"]
-    closest = rings.nearest(asked, nodes.select(*columns), "pixel_id", max(reach.spacing or 0.0, 1.0), max(math.hypot(reach.far or 0.0, reach.far or 0.0), reach.near or 0.0), group="reach_id")
+    asked = asked.withColumns({"_px": F.col("x"), "_py": F.col("y")})
+    closest = rings.nearest(asked, nodes.select(*columns), "pixel_id", max(reach.spacing or 0.0, 1.0), max(math.hypot(reach.far or 0.0, reach.far or 0.0), reach.near or 0.0), group="reach_id", carried=["label", "_px", "_py"])
 
     s, n = _offsets()
-    rows = asked.join(closest, "pixel_id").withColumns({"s": s, "n": n}).join(second.select("reach_id"), "reach_id", "left_semi")
+    rows = closest.withColumnsRenamed({"_px": "x", "_py": "y"}).withColumns({"s": s, "n": n}).join(second.select("reach_id"), "reach_id", "left_semi")
     rows = rows.join(labels.withColumn("_main", F.lit(True)), ["reach_id", "label"], "left")
     wide = F.greatest("spacing", "half_width")
     channel = (F.abs("n") <= F.col("half_width")) & (F.abs("s") <= 3 * F.col("spacing"))

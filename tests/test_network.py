@@ -143,6 +143,19 @@ def test_two_passes_equal_the_loop_over_reaches(spark, seed):
         assert got == want and len({k for k, _ in want.values()}) >= 2
 
 
+def test_nearest_within_cell_shuffles_points_once(spark):
+    rng = np.random.default_rng(4)
+    points = [(k % 300, float(x), float(y)) for k, (x, y) in enumerate(np.round(rng.uniform(0, 100, (300, 2))).tolist() * 2)]
+    nodes = [(g, n, float(x), float(y)) for g in range(4) for n, (x, y) in enumerate(np.round(rng.uniform(0, 100, (12, 2))))]
+    p, q = spark.createDataFrame(points, "id long, x double, y double"), spark.createDataFrame(nodes, "g long, n long, nx double, ny double")
+    out = rings.nearest_within_cell(p, q, 30.0, ["n", "nx", "ny"], group="g")
+    got = sorted((r.id, r.g, r.b.d2, r.b.n) for r in out.collect())
+    best = {(i, g): min(((x - a) ** 2 + (y - b) ** 2, n) for h, n, a, b in nodes if h == g) for i, x, y in points for g in range(4)}
+    assert got == sorted((*k, *v) for k, v in best.items() if v[0] <= 900)  # repeated points are one
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Initial Plan")[-1].count("Exchange hashpartitioning") <= 2  # points to their cells, nodes to lists
+
+
 def test_two_passes_of_empty_tables(spark):
     a = spark.createDataFrame([(1, 0.0, 0.0, 1)], "pixel_id long, x double, y double, label long")
     b = spark.createDataFrame([], "reach_id long, node_id long, x double, y double, tx double, ty double, spacing double, width double, max_width double, wth_coef double, ext_dist_coef double")
