@@ -87,8 +87,7 @@ def refine_centerlines(pixels: DataFrame, nodes: DataFrame, max_width: float = 6
     for _ in range(rounds):
         cell = max_width  # half the width across, and as much along as between neighbouring nodes
         held = lines.select("reach_id", "node_id", F.col("x").alias("nx"), F.col("y").alias("ny"), "tx", "ty")
-        met = rings.within_cell(pixels.join(lines.select("reach_id").distinct(), "reach_id", "left_semi"), held, cell, by=["reach_id"])
-        near = met.groupBy("reach_id", "pixel_id", "x", "y").agg(F.min(F.struct("d2", "node_id", "nx", "ny", "tx", "ty")).alias("b"))
+        near = rings.nearest_within_cell(pixels, held, cell, ["node_id", "nx", "ny", "tx", "ty"], by=["reach_id"])
         across = F.abs((F.col("y") - F.col("b.ny")) * F.col("b.tx") - (F.col("x") - F.col("b.nx")) * F.col("b.ty"))
         near = near.where(across <= max_width / 2).groupBy("reach_id", F.col("b.node_id").alias("node_id"))
         centres = near.agg(F.avg("x").alias("xc"), F.avg("y").alias("yc"), F.stddev_pop("x").alias("xs"), F.stddev_pop("y").alias("ys"))
