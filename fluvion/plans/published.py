@@ -135,9 +135,14 @@ _REACHED = """q as (select reach, sum(area) filter (where side = 'F') * 100 as a
 
 def _scored(spark, sf_dir):
     of = lambda s, v: F.when(c("side") == s, v)
-    g = pixels(spark, sf_dir).groupBy("reach").agg(
-        (F.sum(of("F", c("area"))) * 100).alias("area"), (F.sum("area") * 2 / 100).alias("width"), (F.count_distinct("node") * 170.0).alias("length"), (F.min("h") * 12000).alias("xtrk"),
-        (F.count_distinct(of("O", c("node"))) / 52.0).alias("obs_frac"), (F.avg("frac") / 10).alias("dark_frac"), (0.4 + F.max("tax") * 12).alias("data_dark_frac"), (F.count_distinct(F.when(c("h").between(10, 60), c("node"))) / 60.0).alias("xtrk_ratio"),
+    # by node first: distinct nodes are counted as rows, without a copy of every pixel for each count
+    n = pixels(spark, sf_dir).groupBy("reach", "node").agg(
+        F.sum(of("F", c("area"))).alias("area_F"), F.sum("area").alias("area"), F.min("h").alias("h"), F.count_if(c("side") == "O").alias("seen"), F.sum("frac").alias("frac"), F.count("frac").alias("fracs"), F.max("tax").alias("tax"), F.count_if(c("h").between(10, 60)).alias("near"),
+    )
+    nodes = lambda ok: F.count_if(ok & c("node").isNotNull())
+    g = n.groupBy("reach").agg(
+        (F.sum("area_F") * 100).alias("area"), (F.sum("area") * 2 / 100).alias("width"), (F.count("node") * 170.0).alias("length"), (F.min("h") * 12000).alias("xtrk"),
+        (nodes(c("seen") > 0) / 52.0).alias("obs_frac"), (F.sum("frac") / F.nullif(F.sum("fracs"), F.lit(0)) / 10).alias("dark_frac"), (0.4 + F.max("tax") * 12).alias("data_dark_frac"), (nodes(c("near") > 0) / 60.0).alias("xtrk_ratio"),
     )
     k = c("reach")
     return g.withColumns({"truth_obs_frac": 1 - 0.2 * (k % 5 == 0).cast("int"), "flag": k % 6 * 8000000, "data_dark_frac": c("data_dark_frac") - k % 3 * 0.01})

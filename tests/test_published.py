@@ -195,3 +195,12 @@ def test_a_pixel_given_for_two_reaches_keeps_the_nearest_node(spark, tmp_path):
     path = _lineitem(spark, tmp_path, rows, supplier=([(1,), (2,)], "s_suppkey long"))
     got = sorted(tuple(x) for x in catalogue.channel_filter(spark, path).collect())
     assert got == _sql(path, SQL["channel_filter"]) and len(got) == 2
+
+
+def test_science_counts_nodes_without_copies_of_the_pixels(spark, tmp_path):
+    rows = [(k, k % 50, 3 + k % 2, 1 + k % 7, 10.0 + k % 9, 9000.0 + 997 * (k % 40), "A" if k % 2 else "N") for k in range(400)]
+    path = _lineitem(spark, tmp_path, rows)
+    for name in ("science_bounds", "science_bound_counts"):
+        out = getattr(published, name)(spark, path)
+        assert sorted(tuple(x) for x in out.collect()) == _sql(path, SQL[name])
+        assert "Expand" not in out._jdf.queryExecution().executedPlan().toString()
