@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -61,27 +62,54 @@ def _joined(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
             root[:] = shorter
 
 
-def _block(table: pa.Table) -> pa.Table:
-    az, rg = table["az"].to_numpy(), table["rg"].to_numpy()
-    keys = np.unique(az * _ROW + rg)
-    run = np.cumsum(np.concatenate(([0], np.diff(keys) != 1))) if len(keys) else keys  # cells next to each other in a row
-    above = np.searchsorted(keys, keys - _ROW)
-    met = keys[np.minimum(above, len(keys) - 1)] == keys - _ROW
+def _blocks(i: np.ndarray, j: np.ndarray, az: np.ndarray, rg: np.ndarray, block: int) -> pa.RecordBatch:
+    """az, rg, part of the cells of whole blocks (i, j), sorted by them: all blocks at once. Repeated cells are one."""
+    first = np.concatenate(([True], (np.diff(i) != 0) | (np.diff(j) != 0)))
+    keys, at = np.unique((np.cumsum(first) - 1) * block * block + (az - i * block) * block + rg - j * block, return_index=True)
+    az, rg = az[at], rg[at]
+    run = np.cumsum(np.concatenate(([0], (np.diff(keys) != 1) | (keys[1:] % block == 0))))  # cells next to each other in a row of a block
+    above = np.minimum(np.searchsorted(keys, keys - block), len(keys) - 1)
+    met = (keys[above] == keys - block) & (keys // block % block > 0)
     root = np.arange(run[-1] + 1)
     _joined(root, run[met], run[above[met]])
-    first = keys[np.searchsorted(run, np.arange(run[-1] + 1))]
-    return pa.table({"az": keys // _ROW, "rg": keys % _ROW, "part": first[root[run]]})
+    start = np.searchsorted(run, root)[run]  # the first cell of the part
+    return pa.record_batch({"az": az, "rg": rg, "part": az[start] * _ROW + rg[start]})
+
+
+def _labelled(batches: Iterator[pa.RecordBatch], block: int) -> Iterator[pa.RecordBatch]:
+    """Blocks come whole and sorted; a call labels those that end in a batch."""
+    held: list[pa.RecordBatch] = []
+
+    def columns(parts: list[pa.RecordBatch]) -> list[np.ndarray]:
+        table = pa.Table.from_batches(parts)
+        return [table[k].to_numpy() for k in ("_i", "_j", "az", "rg")]
+
+    for batch in batches:
+        if not len(batch):
+            continue
+        i, j = batch.column("_i").to_numpy(), batch.column("_j").to_numpy()
+        last = int(np.flatnonzero((i != i[-1]) | (j != j[-1])).max(initial=-1)) + 1  # the last block may go on in the next batch
+        if held and (held[-1].column("_i")[0].as_py(), held[-1].column("_j")[0].as_py()) != (i[0], j[0]):
+            yield _blocks(*columns(held), block)
+            held = []
+        if last:
+            yield _blocks(*columns([*held, batch.slice(0, last)]), block)
+            held = []
+        held.append(batch.slice(last))
+    if held:
+        yield _blocks(*columns(held), block)
 
 
 def components(cells: DataFrame, block: int = BLOCK) -> DataFrame:
     """az, rg, part: the key of the first cell, in scan order, of each cell's 4-connected component.
 
-    Each block of cells is labelled in a task, by runs in its rows. Cells on two sides of a block's border tell which parts belong together; the graph of
+    Each block of cells is labelled in a task, many blocks in a call of Python, by runs in their rows. Cells on two sides of a block's border tell which parts belong together; the graph of
     these parts, not of cells, gives the components. Repeated cells are one.
     """
     dealt = cells.select(F.col("az").cast("long").alias("az"), F.col("rg").cast("long").alias("rg")).where("az is not null and rg is not null")
     blocks = dealt.withColumn("_i", F.floor(F.col("az") / block)).withColumn("_j", F.floor(F.col("rg") / block))
-    own = written(blocks.groupBy("_i", "_j").applyInArrow(_block, "az long, rg long, part long"), "labels-blocks")
+    sorted_blocks = blocks.repartition("_i", "_j").sortWithinPartitions("_i", "_j")
+    own = written(sorted_blocks.mapInArrow(lambda batches: _labelled(batches, block), "az long, rg long, part long"), "labels-blocks")
     edges = None
     for side, other in (("az", "rg"), ("rg", "az")):
         last = own.where(F.col(side) % block == block - 1).select((F.col(side) + 1).alias(side), other, F.col("part").alias("a"))

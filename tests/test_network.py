@@ -256,6 +256,24 @@ def test_labels_of_reaches_equal_brute_force(spark):
     assert labels.labels_of_reaches(p.where("false"), q, cell=50.0).count() == 0
 
 
+def test_many_blocks_are_labelled_in_a_call(spark):
+    rng = np.random.default_rng(3)
+    cells = sorted({(int(a), int(b)) for a, b in rng.integers(0, 60, (2200, 2))}, key=lambda x: (x[0] // 8, x[1] // 8))
+    az, rg = (np.array(v) for v in zip(*cells, strict=True))
+    out = labels._blocks(az // 8, rg // 8, az, rg, 8)
+    got = {(a, b): p for a, b, p in zip(*(out[k].to_pylist() for k in ("az", "rg", "part")), strict=True)}
+    want, held = {}, set(cells)
+    for start in sorted(held):  # a flood within each block
+        todo = [] if start in want else [start]
+        while todo:
+            a, b = todo.pop()
+            want[a, b] = start[0] * (1 << 31) + start[1]
+            todo += [(x, y) for x, y in ((a + 1, b), (a - 1, b), (a, b + 1), (a, b - 1)) if (x, y) in held and (x, y) not in want and x // 8 == a // 8 and y // 8 == b // 8]
+    assert got == want
+    p = spark.createDataFrame(cells, "az long, rg long")
+    assert {(x.az, x.rg): x.part for x in labels.components(p, block=8).collect()} == {(x.az, x.rg): x.part for x in labels.components(p, block=64).collect()}
+
+
 def test_labels_of_reaches_take_all_pixels_and_meet_few(spark, monkeypatch):
     rng = np.random.default_rng(10)
     pixels = [(int(k), float(x), float(y)) for k in (1, 2, 3) for x, y in rng.uniform(0, 200, (1500, 2))]
