@@ -60,21 +60,34 @@ def _weights(order: int, t: Column) -> list[Column]:
     return [u * u * u / 6, (4 - 6 * t * t + 3 * t * t * t) / 6, (4 - 6 * u * u + 3 * u * u * u) / 6, t * t * t / 6]
 
 
-def raster_tiles(cells: DataFrame, tile: int, halo: int = 2) -> DataFrame:
-    """Cells (i, j, v) as tiles (ti, tj, values): rows of tile + 2 halo cells each way, row by row; null where the raster has none.
+def _mirrored(k: str, n: int, halo: int) -> Column:
+    """The places along an axis of n cells, up to halo beyond its ends, whose value is that of cell k: taps are mirrored at the ends."""
+    other = 2 * (n - 1) - F.col(k)
+    places = F.array_distinct(F.array(*(p.cast("long") for p in (F.col(k), -F.col(k), other, -other))))
+    source = lambda g: F.when(F.abs(g) > n - 1, 2 * (n - 1) - F.abs(g)).otherwise(F.abs(g))
+    return F.filter(places, lambda g: (source(g) == F.col(k)) & g.between(-halo, n - 1 + halo))
 
-    A cell goes to its own tile and to the neighbours in whose halo it lies.
+
+def raster_tiles(cells: DataFrame, shape: tuple[int, int], tile: int, halo: int = 2) -> DataFrame:
+    """Cells (i, j, v) of a grid of that shape as tiles (ti, tj, values): rows of tile + 2 halo cells each way, row by row; null where the raster has none.
+
+    A cell goes to its own tile and to the neighbours in whose halo it lies, and to the halo beyond the grid's ends where it is mirrored.
     """
     wide = tile + 2 * halo
+    c = cells.select("i", "j", F.col("v").cast("double").alias("v"))
+    for k, n in zip("ij", shape, strict=True):
+        first, last = F.greatest(F.floor((F.col(f"g{k}") - halo) / tile), F.lit(0)), F.least(F.floor((F.col(f"g{k}") + halo) / tile), F.lit((n - 1) // tile))
+        c = c.withColumn(f"g{k}", F.explode(_mirrored(k, n, halo))).withColumn(f"t{k}", F.explode(F.sequence(first, last)))
+    local = {k: (F.col(f"g{k}") - F.col(f"t{k}") * tile + halo).cast("int") for k in "ij"}
 
-    def tiles_of(k: str) -> Column:
-        return F.explode(F.sequence(F.floor((F.col(k) - halo) / tile), F.floor((F.col(k) + halo) / tile)))
+    def filled(places: Column, values: Column, nothing: Column) -> Column:
+        held = F.map_from_entries(F.collect_list(F.struct(places, values)))
+        return F.transform(F.sequence(F.lit(0), F.lit(wide - 1)), lambda k: F.coalesce(F.element_at(held, k), nothing))
 
-    c = cells.withColumn("ti", tiles_of("i")).withColumn("tj", tiles_of("j"))
-    place = (F.col("i") - F.col("ti") * tile + halo) * wide + F.col("j") - F.col("tj") * tile + halo
-    found = c.groupBy("ti", "tj").agg(F.map_from_entries(F.collect_list(F.struct(place.cast("int"), F.col("v").cast("double")))).alias("m"))
-    values = F.transform(F.sequence(F.lit(0), F.lit(wide * wide - 1)), lambda k: F.element_at("m", k))
-    return found.select("ti", "tj", values.alias("values"))
+    # rows of a tile first, then the tile: a place is looked up among the cells of its row only
+    rows = c.select("ti", "tj", local["i"].alias("li"), local["j"].alias("lj"), "v").repartition("ti", "tj").groupBy("ti", "tj", "li").agg(filled(F.col("lj"), F.col("v"), F.lit(None).cast("double")).alias("row"))
+    nothing = F.array_repeat(F.lit(None).cast("double"), wide)
+    return rows.groupBy("ti", "tj").agg(F.flatten(filled(F.col("li"), F.col("row"), nothing)).alias("values"))
 
 
 def sample_raster(points: DataFrame, cells: DataFrame, shape: tuple[int, int], order: int = 1, tile: int = 16, outside: float | None = 0.0) -> DataFrame:
@@ -82,25 +95,26 @@ def sample_raster(points: DataFrame, cells: DataFrame, shape: tuple[int, int], o
 
     order 0 takes the nearest cell, 1 interpolates between four, 3 lays a cubic B-spline through the sixteen cells around as they stand (no
     prefilter). Places before the first or beyond the last cell get outside; near an edge missing taps are mirrored.
-    Cells become tiles with a halo, so that all taps of a point lie in its tile; points meet tiles by key. A missing or
-    null cell that has a weight makes the value null, as does a null place.
+    Cells become tiles with a halo, so that all taps of a point lie in its tile, at fixed distances from its first; points meet tiles by key.
+    A missing or null cell that has a weight makes the value null, as does a null place.
     """
     halo, wide = 2, tile + 4
     inside = F.lit(True)
     for k, n in zip("ij", shape, strict=True):
         inside = inside & F.col(f"f{k}").between(0, n - 1)
     p = points.withColumn("_inside", inside).withColumn("_bi", F.floor("fi")).withColumn("_bj", F.floor("fj"))
-    p = p.withColumn("ti", F.when(F.col("_inside"), F.floor(F.col("_bi") / tile))).withColumn("tj", F.when(F.col("_inside"), F.floor(F.col("_bj") / tile)))
-    met = p.join(raster_tiles(cells, tile, halo), ["ti", "tj"], "left")
-
-    def local(k: str, tap: int, n: int) -> Column:
-        at = F.abs(F.col(f"_b{k}") + tap)
-        return F.when(at > n - 1, 2 * (n - 1) - at).otherwise(at) - F.col(f"t{k}") * tile + halo
-
-    value = F.lit(0.0)
-    weights = {k: _weights(order, F.col(f"f{k}") - F.col(f"_b{k}")) for k in "ij"}
-    for a, wi in zip(_TAPS[order], weights["i"], strict=True):
-        for b, wj in zip(_TAPS[order], weights["j"], strict=True):
-            place = (local("i", a, shape[0]) * wide + local("j", b, shape[1]) + 1).cast("int")
-            value = value + F.when(wi * wj == 0, 0.0).otherwise(wi * wj * F.try_element_at("values", place))
+    away = -1 - F.pmod(F.xxhash64("fi", "fj"), F.lit(1009))  # places without a tile are spread over keys that no tile has
+    p = p.withColumn("ti", F.when(F.col("_inside"), F.floor(F.col("_bi") / tile)).otherwise(away)).withColumn("tj", F.when(F.col("_inside"), F.floor(F.col("_bj") / tile)).otherwise(0))
+    met = p.join(raster_tiles(cells, shape, tile, halo), ["ti", "tj"], "left")
+    # Java leaves methods beyond 8000 bytes uncompiled: so weights and the place below are columns of their own, never null (places that are null
+    # have no value in any case), and only weights that can vanish are asked
+    below = F.coalesce(((F.col("_bi") - F.col("ti") * tile + halo) * wide + F.col("_bj") - F.col("tj") * tile + halo).cast("int"), F.lit(0))
+    names = {k: [f"_w{k}{a}" for a in range(len(_TAPS[order]))] for k in "ij"}
+    met = met.withColumns({"_below": below} | {name: w for k in "ij" for name, w in zip(names[k], _weights(order, F.coalesce(F.col(f"f{k}") - F.col(f"_b{k}"), F.lit(0.0))), strict=True)})
+    value, last = F.lit(0.0), _TAPS[order][-1]
+    for a, wi in zip(_TAPS[order], names["i"], strict=True):
+        for b, wj in zip(_TAPS[order], names["j"], strict=True):
+            weight = F.col(wi) * F.col(wj)
+            term = weight * F.get("values", F.col("_below") + (a * wide + b))
+            value = value + (F.when(weight == 0, 0.0).otherwise(term) if a == last or b == last or order == 0 else term)
     return met.withColumn("value", F.when(F.col("_inside"), value).when(~F.col("_inside"), F.lit(outside).cast("double"))).select(*points.columns, "value")
