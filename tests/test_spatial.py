@@ -40,6 +40,16 @@ def test_nearest_on_axis_without_a_key_and_of_empty_tables(spark):
     assert [x.node for x in joins.nearest_on_axis(p, n.where("false"), [], "x", "at", "node", 1.0).collect()] == [None, None]
 
 
+def test_nearest_on_axis_merges_crowded_stretches_in_parts(spark):
+    p = spark.range(3000).select("id", (F.col("id") % 2).alias("k"), F.when(F.col("id") % 7 > 0, F.col("id") % 101 / 10).alias("x"))
+    n = spark.createDataFrame([(0, float(a), a) for a in range(0, 10, 3)] + [(1, 4.0, 4)], "k long, at double, node long")
+    rows = lambda d: sorted(tuple(x) for x in d.select("id", "_at", "_lo", "_hi").collect())
+    whole, parts = (joins.bracketed(p, n, ["k"], "x", "at", "node", 4.0, chunk=c) for c in (10_000, 50))
+    assert rows(parts) == rows(whole)
+    held = joins._in_chunks(p.withColumn("_stretch", F.floor(F.col("x") / 4)), n.withColumn("_stretch", F.floor(F.col("at") / 4)), ["k", "_stretch"], p.columns, 50)[0]
+    assert max(r["count"] for r in held.groupBy("k", "_stretch", "_part").count().collect()) < 100
+
+
 def brute_boxes(left, right):
     """Overlaps by fine points along each axis' arcs: arcs overlap if either begins inside the other."""
     out = []
@@ -108,3 +118,28 @@ def test_samples_of_missing_cells_and_places(spark):
     p = spark.createDataFrame([(1, 0.0, 0.0), (2, 0.0, 0.5), (3, 1.5, 0.0), (4, None, 0.0), (5, 2.0, 0.0), (6, 9.0, 0.0)], "id long, fi double, fj double")
     assert {x.id: x.value for x in spatial.sample_raster(p, cells, (3, 2)).collect()} == {1: 1.0, 2: None, 3: None, 4: None, 5: 5.0, 6: 0.0}
     assert {x.value for x in spatial.sample_raster(p, cells.where("false"), (3, 2), outside=-9.0).collect()} == {None, -9.0}
+
+
+def test_splines_mirror_at_all_edges_of_small_rasters(spark):
+    rng = np.random.default_rng(3)
+    for n, m in ((2, 3), (3, 2), (5, 16), (17, 4)):
+        v = rng.normal(size=(n, m))
+        cells = spark.createDataFrame([(i, j, float(v[i, j])) for i in range(n) for j in range(m)], "i long, j long, v double")
+        places = [(a * (n - 1) / 6, b * (m - 1) / 6) for a in range(7) for b in range(7)]
+        p = spark.createDataFrame([(k, float(a), float(b)) for k, (a, b) in enumerate(places)], "id long, fi double, fj double")
+        got = {x.id: x.value for x in spatial.sample_raster(p, cells, (n, m), order=3, tile=4).collect()}
+        assert all(got[k] == pytest.approx(brute_sample(v, a, b, 3), abs=1e-12) for k, (a, b) in enumerate(places))
+
+
+def test_code_of_splines_is_small_enough_to_be_compiled(spark):
+    import re
+
+    p = spark.range(5).select("id", (F.col("id") / 3).alias("fi"), (F.col("id") / 4).alias("fj"))
+    cells = spark.range(30).select(F.floor(F.col("id") / 6).alias("i"), (F.col("id") % 6).alias("j"), F.col("id").cast("double").alias("v"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = spatial.sample_raster(p, cells, (5, 6), order=3)._jdf.queryExecution()
+        text = plan.explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert max(int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)) < 8000
