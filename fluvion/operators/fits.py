@@ -47,8 +47,8 @@ def weighted_line(rows: DataFrame, key: list[str], x: str, y: str, w: str) -> Da
     return sums.select(*key, slope.alias("slope"), (F.col("_my") - slope * F.col("_mx")).alias("intercept"), "n")
 
 
-def by_reach(rows: DataFrame, columns: list[str], kernel: Callable[..., dict[str, np.ndarray]], schema: str) -> DataFrame:
-    """kernel(arrays of columns) for every reach_id; its arrays become rows. The first of columns orders a reach's rows.
+def by_reach(rows: DataFrame, columns: list[str], kernel: Callable[..., dict[str, np.ndarray] | list[dict[str, np.ndarray]]], schema: str, together: bool = False) -> DataFrame:
+    """kernel(arrays of columns) for every reach_id; its arrays become rows. The first of columns orders a reach's rows. A kernel for reaches together gets a list of many reaches' arrays.
 
     Reaches are dealt to partitions and come sorted, so a call of Python serves a batch of many reaches; a reach is some hundred rows. Rows
     without a reach belong to none and are left out.
@@ -62,9 +62,9 @@ def by_reach(rows: DataFrame, columns: list[str], kernel: Callable[..., dict[str
             ids = table["reach_id"].to_numpy()
             edges = [0, *(np.flatnonzero(ids[1:] != ids[:-1]) + 1).tolist(), len(ids)]
             values = [table[c].to_numpy(zero_copy_only=False) for c in columns]
+            reaches = [tuple(v[i:j] for v in values) for i, j in zip(edges[:-1], edges[1:], strict=True)]
             out = []
-            for i, j in zip(edges[:-1], edges[1:], strict=True):
-                found = kernel(*(v[i:j] for v in values))
+            for i, found in zip(edges[:-1], kernel(reaches) if together else (kernel(*r) for r in reaches), strict=True):
                 n = len(next(iter(found.values())))
                 out.append({"reach_id": np.full(n, ids[i]), **found})
             yield pa.record_batch({k: pa.array(np.concatenate([o[k] for o in out]), from_pandas=True) for k in out[0]})
@@ -84,7 +84,9 @@ def by_reach(rows: DataFrame, columns: list[str], kernel: Callable[..., dict[str
         if held:
             yield from done(held)
 
-    return rows.where("reach_id is not null").select("reach_id", *columns).repartition("reach_id").sortWithinPartitions("reach_id", columns[0]).mapInArrow(run, f"reach_id long, {schema}")
+    # a number of partitions that is told stays: rows are few for their work, so joining partitions by their size would leave most cores idle
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.where("reach_id is not null").select("reach_id", *columns).repartition(parts, "reach_id").sortWithinPartitions("reach_id", columns[0]).mapInArrow(run, f"reach_id long, {schema}")
 
 
 def smooth(s: np.ndarray, y: np.ndarray, window: float, sigma: float, u: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -210,69 +212,117 @@ def linear_outliers(nodes: DataFrame, absolute: float | None = 10.0, per_km: flo
     return by_reach(nodes, ["s", "node_id", "wse", "wse_u"], kernel, "node_id long, good boolean")
 
 
-class BrokenLine:
-    """A continuous line with breaks, fitted by weighted least squares: the slopes change at breaks that are moved until they settle."""
+class BrokenLines:
+    """Continuous lines with breaks, one for each of many reaches, fitted by weighted least squares: the slopes change at breaks that are moved until they settle.
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, w: np.ndarray, apart: float, edge: float):
-        self.x, self.y, self.root = x, y, np.sqrt(w)
-        self.low, self.high = np.quantile(x, edge), np.quantile(x, 1 - edge)
-        self.apart = apart * np.ptp(x)
-
-    def solve(self, breaks: np.ndarray, pick: np.ndarray | slice = slice(None), moves: bool = False) -> tuple[np.ndarray, float]:
-        x, y, root = self.x[pick], self.y[pick], self.root[pick]
-        bent = np.maximum(x[:, None] - breaks, 0)
-        parts = [np.ones((len(x), 1)), x[:, None], bent, *([-(x[:, None] > breaks).astype(float)] if moves else [])]
-        a = np.hstack(parts)
-        c = np.linalg.lstsq(a * root[:, None], y * root, rcond=None)[0]
-        return c, float((((y - a @ c) * root) ** 2).sum())
+    Points are padded with ones of no weight to those of the longest reach. All fits of a round are solved in one call; of names which reach each is of.
+    """
 
-    def settle(self, breaks: np.ndarray, pick: np.ndarray | slice = slice(None), rounds: int = 30) -> np.ndarray | None:
-        """Breaks where the fit's jumps vanish, or None if they leave the range, come too close or don't settle."""
-        k = len(breaks)
+    def __init__(self, points: list[tuple[np.ndarray, np.ndarray, np.ndarray]], apart: list[float], edge: list[float]):
+        self.n = np.array([len(x) for x, _, _ in points])
+        self.x, self.y, self.root = (np.zeros((len(points), self.n.max() + 1)) for _ in range(3))
+        for i, (x, y, w) in enumerate(points):
+            self.x[i, : len(x)], self.y[i, : len(x)], self.root[i, : len(x)] = x, y, np.sqrt(w)
+        self.low, self.high = (np.array([np.quantile(x, e if low else 1 - e) for (x, _, _), e in zip(points, edge, strict=True)]) for low in (True, False))
+        self.apart = np.array([a * np.ptp(x) for (x, _, _), a in zip(points, apart, strict=True)])
+
+    def solve(self, of: np.ndarray, breaks: np.ndarray, picks: np.ndarray | None = None, moves: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """For each row of breaks, on all points or those picked for it: coefficients (with moves also of jumps at the breaks) and the sum of squares left."""
+        x, y, root = (v[of] if picks is None else v[of[:, None], picks] for v in (self.x, self.y, self.root))
+        k = breaks.shape[1]
+        m = 2 + k * (1 + moves)
+        past, a = x[:, :, None] - breaks[:, None], np.empty((*x.shape, m + 1))
+        a[..., 0], a[..., 1], a[..., 2 : 2 + k], a[..., m] = 1, x, np.maximum(past, 0), y
+        if moves:
+            a[..., 2 + k : m] = -(past > 0).astype(float)
+        a *= root[:, :, None]
+        # the triangle of the columns and y holds all; where columns nearly depend on others, lstsq takes the least coefficients
+        r = np.linalg.qr(a, mode="r")
+        c, left, fine = np.empty((len(a), m)), np.empty(len(a)), np.zeros(len(a), bool)
+        if r.shape[1] > m:
+            square = r[:, :m, :m]
+            fine = (np.abs(square.diagonal(axis1=1, axis2=2)) > 1e-7 * np.sqrt((square * square).sum(axis=1))).all(axis=1)
+            c[fine], left[fine] = np.linalg.solve(square[fine], r[fine, :m, m:])[..., 0], r[fine, m, m] ** 2
+        for i in np.flatnonzero(~fine):
+            own = a[i, : self.n[of[i]]]
+            c[i] = np.linalg.lstsq(own[:, :m], own[:, m], rcond=None)[0]
+            left[i] = ((own[:, m] - own[:, :m] @ c[i]) ** 2).sum()
+        return c, left
+
+    def settle(self, of: np.ndarray, breaks: np.ndarray, picks: np.ndarray | None = None, rounds: int = 30) -> np.ndarray:
+        """For each row of breaks those where the fit's jumps vanish; NaN if they leave the range, come too close or don't settle."""
+        k, live, out = breaks.shape[1], np.arange(len(breaks)), np.full(breaks.shape, np.nan)
         for _ in range(rounds):
-            c, _ = self.solve(breaks, pick, True)
-            if (c[2 : 2 + k] == 0).any():
-                return None
-            moved = np.sort(breaks + c[2 + k :] / c[2 : 2 + k])
-            if moved[0] < self.low or moved[-1] > self.high or (np.diff(moved) < self.apart).any():
-                return None
-            if np.abs(moved - breaks).max() < 1e-5 * (self.high - self.low):
-                return moved
-            breaks = moved
-        return None
-
-    def fit(self, k: int, boots: int, rounds: int) -> np.ndarray | None:
-        """The values of the best fit with k breaks; restarts from fits to resampled points, drawn by a seed from the data."""
-        start = np.linspace(self.low, self.high, k + 2)[1:-1] if k == 1 else np.linspace(self.low, self.high, k)
-        best, least = self.settle(start, rounds=rounds), np.inf
-        if best is not None:
-            least = self.solve(best)[1]
-        draw = np.random.default_rng(abs(int(np.nanmean(self.y) * 1e6)) % 2**32)
-        for _ in range(boots):
-            pick = draw.integers(0, len(self.x), len(self.x))
-            from_sample = self.settle(start if best is None else best, pick, rounds)
-            again = self.settle(from_sample, rounds=rounds) if from_sample is not None else None
-            if again is not None and (off := self.solve(again)[1]) < least:
-                best, least = again, off
-        if best is None:
-            return None
-        c, _ = self.solve(best)
-        return c[0] + c[1] * self.x + np.maximum(self.x[:, None] - best, 0) @ c[2:]
-
-
-def piecewise_good(s, y, w, quality, absolute: float, upper: float, apart: float, edge: float, boots: int, rounds: int) -> np.ndarray:
-    """Which nodes are good: near a broken line with as many breaks as settle, from one for each ten nodes less one downwards, else near a plain one.
-
-    Nodes count 4, 3, 2 or 1 times by their quality, 0 to 3.
+            if not len(live):
+                break
+            c, _ = self.solve(of, breaks, picks, True)
+            low, high = self.low[of], self.high[of]
+            with np.errstate(divide="ignore", invalid="ignore"):
+                moved = np.sort(breaks + c[:, 2 + k :] / c[:, 2 : 2 + k], axis=1)
+            bad = (c[:, 2 : 2 + k] == 0).any(axis=1) | (moved[:, 0] < low) | (moved[:, -1] > high) | (moved[:, 1:] - moved[:, :-1] < self.apart[of, None]).any(axis=1)
+            done = ~bad & (np.abs(moved - breaks).max(axis=1) < 1e-5 * (high - low))
+            out[live[done]] = moved[done]
+            on = ~bad & ~done
+            of, breaks, live, picks = of[on], moved[on], live[on], picks if picks is None else picks[on]
+        return out
+
+    def fit(self, reaches: np.ndarray, k: int, boots: int, rounds: int) -> list[np.ndarray | None]:
+        """For each of reaches the values of the best fit with k breaks; restarts from fits to resampled points, drawn by a seed from the data."""
+        low, high = self.low[reaches], self.high[reaches]
+        start = np.linspace(low, high, k + 2, axis=1)[:, 1:-1] if k == 1 else np.linspace(low, high, k, axis=1)
+        settled = self.settle(reaches, start, rounds=rounds)
+        found = np.isfinite(settled).all(axis=1)
+        best, least = np.where(found[:, None], settled, start), np.full(len(reaches), np.inf)
+        if found.any():
+            least[found] = self.solve(reaches[found], best[found])[1]
+        picks = np.full((boots, len(reaches), self.x.shape[1]), self.x.shape[1] - 1)
+        for i, reach in enumerate(reaches.tolist()):
+            n = self.n[reach]
+            draw = np.random.default_rng(abs(int(np.nanmean(self.y[reach, :n]) * 1e6)) % 2**32)
+            for boot in range(boots):
+                picks[boot, i, :n] = draw.integers(0, n, n)
+        for pick in picks:  # a sample starts from the best fit so far
+            sampled = self.settle(reaches, best, pick, rounds)
+            at = np.flatnonzero(np.isfinite(sampled).all(axis=1))
+            again = self.settle(reaches[at], sampled[at], rounds=rounds)
+            ok = np.isfinite(again).all(axis=1)
+            at, again = at[ok], again[ok]
+            if len(at):
+                left = self.solve(reaches[at], again)[1]
+                better = left < least[at]
+                best[at[better]], least[at[better]], found[at[better]] = again[better], left[better], True
+        out: list[np.ndarray | None] = [None] * len(reaches)
+        if found.any():
+            c = self.solve(reaches[found], best[found])[0]
+            for i, own, breaks in zip(np.flatnonzero(found).tolist(), c, best[found], strict=True):
+                x = self.x[reaches[i], : self.n[reaches[i]]]
+                out[i] = own[0] + own[1] * x + np.maximum(x[:, None] - breaks, 0) @ own[2:]
+        return out
+
+
+#: Points, with those that pad them, of the reaches that are fitted together.
+TOGETHER = 10_000
+
+
+def piecewise_good(reaches: list[tuple[np.ndarray, ...]], upper: float, apart: float, edge: float, boots: int, rounds: int) -> list[np.ndarray]:
+    """Which nodes are good, of each reach (s, y, w, quality, absolute): near a broken line with as many breaks as settle, from one for each ten nodes less one downwards, else near a plain one.
+
+    Nodes count 4, 3, 2 or 1 times by their quality, 0 to 3. Reaches of like length are fitted together.
     """
-    n = len(s)
-    times = np.clip(4 - np.nan_to_num(quality, nan=3.0), 1, 4)
-    share = lambda v: v if 0 < v < 1 else v / n
-    for k in range(n // 10 - 1, 0, -1) if n > 10 else ():
-        level = BrokenLine(s, y, times, share(apart), share(edge)).fit(k, boots, rounds)
-        if level is not None:
-            return last_cut(np.abs(y - level), absolute, upper)
-    return iterative_line(s, y, w, absolute, 68.0, upper, 3)
+    levels: list[np.ndarray | None] = [None] * len(reaches)
+    order = [i for i in sorted(range(len(reaches)), key=lambda i: len(reaches[i][0])) if len(reaches[i][0]) > 10]
+    while order:
+        held = max(1, TOGETHER // len(reaches[order[-1]][0]))  # the longest of those left
+        ids, order = order[-held:], order[:-held]
+        share = lambda v, i: v if 0 < v < 1 else v / len(reaches[i][0])
+        points = [(reaches[i][0], reaches[i][1], np.clip(4 - np.nan_to_num(reaches[i][3], nan=3.0), 1, 4)) for i in ids]
+        lines = BrokenLines(points, [share(apart, i) for i in ids], [share(edge, i) for i in ids])
+        for k in range(int(lines.n.max()) // 10 - 1, 0, -1):
+            asked = np.array([a for a, i in enumerate(ids) if levels[i] is None and lines.n[a] // 10 - 1 >= k], np.int64)
+            if len(asked):
+                for a, level in zip(asked.tolist(), lines.fit(asked, k, boots, rounds), strict=True):
+                    levels[ids[a]] = level
+    return [iterative_line(s, y, w, absolute, 68.0, upper, 3) if level is None else last_cut(np.abs(y - level), absolute, upper) for (s, y, w, _, absolute), level in zip(reaches, levels, strict=True)]
 
 
 def piecewise_outliers(
@@ -283,18 +333,23 @@ def piecewise_outliers(
     apart and edge are the least distances of breaks from each other and from the ends, as shares of the reach if below 1, else in nodes.
     """
 
-    def kernel(s, node, y, u, q) -> dict[str, np.ndarray]:
-        w = np.where(np.isfinite(u) & (u > 0), 1 / np.maximum(u, 1e-6) ** 2, 0)
-        ok = np.isfinite(s) & np.isfinite(y) & (w > 0)
-        good = np.zeros(len(s), bool)
-        if ok.sum() > 2 and np.ptp(s[ok]) > 0:
-            bound = reach_bound(s[ok], y[ok], w[ok], per_km) if absolute is None else absolute
-            good[ok] = piecewise_good(s[ok], y[ok], w[ok], q[ok].astype(float), bound, upper, apart, edge, boots, rounds)
-        return {"node_id": node, "good": good}
+    def kernel(reaches: list[tuple[np.ndarray, ...]]) -> list[dict[str, np.ndarray]]:
+        masks, fitted, asked = [], [], []
+        for s, _, y, u, q in reaches:
+            w = np.where(np.isfinite(u) & (u > 0), 1 / np.maximum(u, 1e-6) ** 2, 0)
+            ok = np.isfinite(s) & np.isfinite(y) & (w > 0)
+            masks.append(np.zeros(len(s), bool))
+            if ok.sum() > 2 and np.ptp(s[ok]) > 0:
+                bound = reach_bound(s[ok], y[ok], w[ok], per_km) if absolute is None else absolute
+                fitted.append((s[ok], y[ok], w[ok], q[ok].astype(float), bound))
+                asked.append((masks[-1], ok))
+        for (mask, ok), good in zip(asked, piecewise_good(fitted, upper, apart, edge, boots, rounds), strict=True):
+            mask[ok] = good
+        return [{"node_id": r[1], "good": mask} for r, mask in zip(reaches, masks, strict=True)]
 
     if "node_q" not in nodes.columns:
         nodes = nodes.withColumn("node_q", F.lit(0))
-    return by_reach(nodes, ["s", "node_id", "wse", "wse_u", "node_q"], kernel, "node_id long, good boolean")
+    return by_reach(nodes, ["s", "node_id", "wse", "wse_u", "node_q"], kernel, "node_id long, good boolean", together=True)
 
 
 def flow_distance(nodes: DataFrame, key: list[str], order: list[str], length: str) -> DataFrame:

@@ -135,3 +135,20 @@ def test_drifter_text_and_grid(spark, tmp_path):
     np.array([[1, -9999, 3], [4, 5, -9999]], "<f4").tofile(tmp_path / "g.bin")
     cells = {(r.longitude, r.latitude): r.value for r in field.grid(spark, str(tmp_path / "g.bin"), header).collect()}
     assert cells == {(-125.0, 35.5): 1.0, (-124.0, 35.5): 3.0, (-125.0, 35.0): 4.0, (-124.5, 35.0): 5.0}
+
+
+def test_broken_lines_of_many_reaches_together_and_alone():
+    rng = np.random.default_rng(6)
+    reaches = []
+    for n in (3, 11, 20, 21, 34, 50, 50):
+        s = np.sort(rng.choice(200, n, replace=False)) * 100.0
+        y = 20 + 0.002 * s + np.maximum(s - 9000, 0) * 0.01 + rng.normal(0, 4, n) + 80 * (rng.random(n) < 0.1)
+        reaches.append((s, y, np.ones(n), rng.integers(0, 4, n).astype(float), 10.0))
+    together = fits.piecewise_good(reaches, 80.0, 0.1, 0.1, 10, 30)
+    assert [len(g) for g in together] == [len(r[0]) for r in reaches]
+    for reach, good in zip(reaches, together, strict=True):
+        assert fits.piecewise_good([reach], 80.0, 0.1, 0.1, 10, 30)[0].tolist() == good.tolist()
+    s = np.arange(40) * 200.0  # the line that is told, with its break, and one node off it
+    y = 10 + 0.001 * s + np.maximum(s - 4100, 0) * 0.05
+    y[7] += 100
+    assert np.flatnonzero(~fits.piecewise_good([(s, y, np.ones(40), np.zeros(40), 10.0)], 80.0, 0.1, 0.1, 10, 30)[0]).tolist() == [7]
