@@ -23,30 +23,33 @@ _SECOND = np.uint64(0xA0761D6478BD642F)
 
 
 class Windows:
-    """The windows of one text. Each has a phrase, the one of least hash among those in it, so equal windows have equal phrases.
+    """The windows of a text, or of several of so many words each (sizes), none across two. Each has a phrase, the one of least hash among those in it, so equal windows have equal phrases.
 
     Neighbouring windows with one phrase form a run, which begins at one of starts and ends before the place in ends.
     """
 
-    def __init__(self, words: np.ndarray, window: int = WINDOW, phrase: int = PHRASE):
+    def __init__(self, words: np.ndarray, window: int = WINDOW, phrase: int = PHRASE, sizes: list[int] | None = None):
         self.words, self.window, self.phrase_words = words, window, phrase
         self.n = max(0, len(words) - window + 1)
         self.phrases = grams(words, phrase) if self.n else np.zeros(0, np.uint64)
         least = sliding_min(self.phrases, window - phrase + 1) if self.n else np.zeros(0, np.uint64)
-        self.starts = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1]))) if self.n else np.zeros(0, np.int64)
-        self.ends = np.append(self.starts[1:], self.n) if self.n else self.starts
-        self.phrase = least[self.starts]
+        self.text = np.repeat(np.arange(len(sizes or [0])), sizes or [len(words)])  # of each word
+        self.at = np.flatnonzero(self.text[: self.n] == self.text[window - 1 :]) if self.n else np.zeros(0, np.int64)
+        least = least[self.at]
+        self.first = np.flatnonzero(np.concatenate(([True], (least[1:] != least[:-1]) | (np.diff(self.text[self.at]) > 0)))) if len(self.at) else self.at
+        self.starts, self.phrase = self.at[self.first], least[self.first]
+        self.ends = self.at[np.append(self.first[1:], len(self.at)) - 1] + 1 if len(self.at) else self.at
 
     def twice(self) -> np.ndarray:
         """Which runs hold their phrase more than once: its first place in the first window is not its last in the last one."""
         inside = self.ends[:, None] - 1 + np.arange(self.window - self.phrase_words, -1, -1)
-        last = self.ends - 1 + self.window - self.phrase_words - self.phrases[inside].argmin(axis=1) if self.n else self.starts
+        last = self.ends - 1 + self.window - self.phrase_words - self.phrases[inside].argmin(axis=1) if len(self.at) else self.starts
         return last != self.phrase_places()
 
     def phrase_places(self) -> np.ndarray:
         """Where each run's phrase stands first in its first window."""
         inside = self.starts[:, None] + np.arange(self.window - self.phrase_words + 1)
-        return self.starts + self.phrases[inside].argmin(axis=1) if self.n else self.starts
+        return self.starts + self.phrases[inside].argmin(axis=1) if len(self.at) else self.starts
 
     def hashes(self) -> tuple[np.ndarray, np.ndarray]:
         """128 bits of each window."""
@@ -54,7 +57,7 @@ class Windows:
 
     def contexts(self, hashes: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """128 bits of each run's windows: runs with equal ones have equal windows, as often."""
-        return tuple(np.add.reduceat(mix(h), self.starts) for h in hashes)
+        return tuple(np.add.reduceat(mix(h[self.at]), self.first) if len(self.at) else np.zeros(0, np.uint64) for h in hashes)
 
 
 def own_repeats(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -82,17 +85,34 @@ def _lists(values: list[np.ndarray], kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.view(np.int64) if flat.dtype == np.uint64 else flat).cast(kind))
 
 
+#: Words of short texts whose windows are found in one pass.
+TOGETHER = 1 << 14
+
+
+def _together(texts: list[bytes], window: int, phrase: int) -> Iterator[tuple[int, int, Windows]]:
+    """Windows of texts from the first number to before the second, of many short ones at once."""
+    held: list[np.ndarray] = []
+    at = words = 0
+    for k, hashes in enumerate(hashes_of_texts(texts)):
+        if held and words + len(hashes) > TOGETHER:
+            yield at, k, Windows(np.concatenate(held), window, phrase, [len(h) for h in held])
+            at, held, words = k, [], 0
+        held.append(hashes)
+        words += len(hashes)
+    if held:
+        yield at, len(texts), Windows(np.concatenate(held), window, phrase, [len(h) for h in held])
+
+
 def _phrases(batches: Iterator[pa.RecordBatch], window: int, phrase: int) -> Iterator[pa.RecordBatch]:
-    """(block, phrase, n): hashes of the runs' phrases of each text, and how often it has them."""
+    """(block, phrase, n): the hash of each run's phrase of each text, 1, and 2 if the run holds it twice."""
     for batch in batches:
-        blocks, hashes, numbers = [np.zeros(0, np.int32)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-        for block, words in zip(batch.column(0).to_pylist(), hashes_of_texts(text_bytes(t.as_py()) for t in batch.column(1)), strict=True):
-            w = Windows(words, window, phrase)
-            found, at = np.unique(w.phrase, return_inverse=True)
-            hashes.append(found)
-            numbers.append(np.bincount(at, 1 + w.twice(), len(found)).astype(np.int64))
-            blocks.append(np.full(len(found), block, np.int32))
-        yield pa.record_batch([pa.array(np.concatenate(blocks)), pa.array(np.concatenate(hashes).view(np.int64)), pa.array(np.concatenate(numbers))], ["block", "phrase", "n"])
+        block, hashes, numbers = batch.column(0).to_numpy(), [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        blocks = [block[:0]]
+        for at, _, w in _together([text_bytes(t.as_py()) for t in batch.column(1)], window, phrase):
+            hashes.append(w.phrase)
+            numbers.append(1 + w.twice())
+            blocks.append(block[at + w.text[w.starts]])
+        yield pa.record_batch([pa.array(np.concatenate(blocks)), pa.array(np.concatenate(hashes).view(np.int64)), pa.array(np.concatenate(numbers).astype(np.int64))], ["block", "phrase", "n"])
 
 
 def _stretches(text: bytes, hashes: np.ndarray, told: np.ndarray, window: int, phrase: int) -> tuple[list[int], list[str]]:
@@ -114,16 +134,18 @@ def _runs(batches: Iterator[pa.RecordBatch], window: int, phrase: int) -> Iterat
     for batch in batches:
         for at in range(0, len(batch), 500):
             blocks, phrases, first, second, places = [], [], [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+            of, texts = [], []
             for block, parts in zip(batch.column(0)[at : at + 500].to_pylist(), batch.column(1)[at : at + 500].to_pylist(), strict=True):
-                texts = [text_bytes(part) for part in parts]
-                for data, hashes in zip(texts, hashes_of_texts(texts), strict=True):
-                    w, words = Windows(hashes, window, phrase), data.split()
-                    c1, c2 = w.contexts(w.hashes())
-                    first.append(c1)
-                    second.append(c2)
-                    places.append(1 + w.twice())
-                    phrases += [b" ".join(words[p : p + phrase]).decode("utf-8", "surrogatepass") for p in w.phrase_places().tolist()]
-                    blocks += [block] * len(c1)
+                texts += [text_bytes(part) for part in parts]
+                of += [block] * len(parts)
+            for begin, end, w in _together(texts, window, phrase):
+                words = [word for data in texts[begin:end] for word in data.split()]
+                c1, c2 = w.contexts(w.hashes())
+                first.append(c1)
+                second.append(c2)
+                places.append(1 + w.twice())
+                phrases += [b" ".join(words[p : p + phrase]).decode("utf-8", "surrogatepass") for p in w.phrase_places().tolist()]
+                blocks += [of[begin + t] for t in w.text[w.starts].tolist()]
             c1, c2 = (pa.array(np.concatenate(x).view(np.int64)) for x in (first, second))
             yield pa.record_batch([pa.array(blocks, pa.int32()), pa.array(phrases, pa.string()), c1, c2, pa.array(np.ones(len(blocks), np.int64)), pa.array(np.concatenate(places).astype(np.int64))], ["block", "words", "c1", "c2", "n", "places"])
 
@@ -153,21 +175,17 @@ class Automata:
         return out
 
 
-RUN = np.dtype([("phrase", "i8"), ("c1", "i8"), ("c2", "i8")])
-
-
 def _settle(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table, window: int, phrase: int) -> pa.Table:
     """What a block's automata find in its stretches: covered words (from, to), windows to ask for and windows given out."""
     told = right["told"].combine_chunks().flatten() if len(right) else None
     dictionary = told.field("words").dictionary_encode() if told is not None else pa.array([], pa.string()).dictionary_encode()
     automata = Automata(dictionary.dictionary.to_pylist())
-    runs, settled, gives = np.zeros(0, RUN), np.zeros(0, bool), np.zeros(0, bool)
+    known: dict[tuple[int, int, int], int] = {}
+    settled, gives = np.zeros(0, bool), np.zeros(0, bool)
     if told is not None:
-        runs = np.empty(len(told), RUN)
-        runs["phrase"], runs["c1"], runs["c2"] = dictionary.indices.to_numpy(), told.field("c1").to_numpy(), told.field("c2").to_numpy()
-        order = np.argsort(runs)
-        runs, settled, gives = (runs[order], *(told.field(k).to_numpy(zero_copy_only=False).astype(bool)[order] for k in ("settled", "gives")))
-    gave = np.zeros(len(runs), bool)
+        known = {run: k for k, run in enumerate(zip(dictionary.indices.to_pylist(), told.field("c1").to_pylist(), told.field("c2").to_pylist(), strict=True))}
+        settled, gives = (told.field(k).to_numpy(zero_copy_only=False).astype(bool) for k in ("settled", "gives"))
+    gave = np.zeros(len(settled), bool)
     none, out = np.zeros(0, np.int64), {n: [] for n in ("froms", "tos", "places", "w1", "w2", "g1", "g2")}
     every = left["parts"].to_pylist()
     hashed = hashes_of_texts(text_bytes(part) for parts in every for part in parts)
@@ -180,18 +198,17 @@ def _settle(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table, window:
             if not len(hit):
                 continue
             hashes = w.hashes()
-            mine = np.empty(len(hit), RUN)
-            mine["phrase"], mine["c1"], mine["c2"] = phrase_at[hit], *(c[hit].view(np.int64) for c in w.contexts(hashes))
-            for run, k in zip(hit.tolist(), np.searchsorted(runs, mine).tolist(), strict=True):
-                windows = np.arange(w.starts[run], w.ends[run])
-                seen.append((start + windows, *(h[windows] for h in hashes)))
-                if settled[k]:
-                    full.append(start + windows)
-                    if gives[k] and not gave[k]:
-                        gave[k] = True
-                        given.append(tuple(h[windows] for h in hashes))
-                elif gives[k]:
-                    asks.append(start + windows)
+            c1, c2 = (c[hit].view(np.int64).tolist() for c in w.contexts(hashes))
+            k = np.array([known[run] for run in zip(phrase_at[hit].tolist(), c1, c2, strict=True)])
+            lengths = w.ends[hit] - w.starts[hit]
+            windows = np.repeat(w.starts[hit] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+            seen.append((start + windows, *(h[windows] for h in hashes)))
+            full.append(start + windows[np.repeat(settled[k], lengths)])
+            asks.append(start + windows[np.repeat(~settled[k] & gives[k], lengths)])
+            for run, one in zip(hit[settled[k] & gives[k]].tolist(), k[settled[k] & gives[k]].tolist(), strict=True):
+                if not gave[one]:
+                    gave[one] = True
+                    given.append(tuple(h[w.starts[run] : w.ends[run]] for h in hashes))
         places, h1, h2 = (np.concatenate(x) for x in zip(*seen, strict=True)) if seen else (none, *given[0])
         again, firsts = own_repeats(h1, h2)
         covered = np.unique(np.concatenate([*full, places[again]]))

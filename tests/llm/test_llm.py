@@ -304,6 +304,18 @@ def test_op6_equals_brute_force(spark, awkward, awkward_rows, empty):
     assert passages.remove_passages(empty).count() == 0
 
 
+def test_op6_windows_of_texts_together_and_alone():
+    texts = [prose(k, n).encode() for k, n in enumerate((0, 34, 35, 36, 5, 120, 0, 80, 35))] + [b"la " * 50, prose(5, 120).encode()]
+    hashes = list(common.hashes_of_texts(texts))
+    both, alone = passages.Windows(np.concatenate(hashes), sizes=[len(h) for h in hashes]), [passages.Windows(h) for h in hashes]
+    base, full = np.cumsum([0, *map(len, hashes)]), both.contexts(both.hashes())
+    for name in ("starts", "ends"):
+        assert getattr(both, name).tolist() == [x + b for b, w in zip(base, alone, strict=False) for x in getattr(w, name).tolist()]
+    assert both.phrase.tolist() == [x for w in alone for x in w.phrase.tolist()] and both.twice().tolist() == [x for w in alone for x in w.twice().tolist()]
+    for k in (0, 1):
+        assert full[k].tolist() == [x for w in alone for x in w.contexts(w.hashes())[k].tolist()]
+
+
 def test_op6_automata_find_whole_words():
     r = random.Random(8)
     words = [r.choice(["a", "ab", "b", "ba", "é日"]) for _ in range(400)]
