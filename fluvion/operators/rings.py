@@ -50,38 +50,45 @@ def nearest_within_cell(points: DataFrame, nodes: DataFrame, cell: float, column
     """The columns of points, group and b (d2 and columns): the nearest node at most cell apart, of each group, with the least columns on ties.
 
     Columns in by must be equal, too. A point meets the nodes of its cell as one list for each group, so it is shuffled once, to its cell, and
-    no pairs of points and nodes are sorted or shuffled. Repeated points are one. columns hold nx and ny.
+    no pairs of points and nodes are sorted or shuffled. Repeated points are one. columns hold nx and ny. Lists are many times what a plan
+    takes their nodes for, so they are never broadcast.
     """
     placed = points.withColumns({"_cx": F.floor(F.col("x") / cell), "_cy": F.floor(F.col("y") / cell)})
     here = [*(by or []), "_cx", "_cy"]
     placed = placed.repartition(*here).distinct()  # within the cell's partition: no shuffle of its own
-    met = placed.join(_lists(nodes, columns, cell, by or [], group), here).withColumn("_d", _squares()).withColumn("_d2", F.array_min("_d"))
+    met = placed.join(_lists(nodes, columns, cell, by or [], group).hint("merge"), here).withColumn("_d", _squares()).withColumn("_d2", F.array_min("_d"))
     first = F.get("_nodes", (F.array_position("_d", F.col("_d2")) - 1).cast("int"))
-    best = F.struct(F.col("_d2").alias("d2"), *(first[k].alias(k) for k in columns)).alias("b")
-    return met.where(F.col("_d2") <= cell * cell).select(*points.columns, *([group] if group else []), best)
+    best = F.struct(F.col("_d2").alias("d2"), *(first[k].alias(k) for k in columns))
+    # an outer generator, as a filter on _d2 would be put into the join and squares be made twice
+    found = met.select(*points.columns, *([group] if group else []), F.explode_outer(F.when(F.col("_d2") <= cell * cell, F.array(best))).alias("b"))
+    return found.where("b is not null")
 
 
 def nearest(points: DataFrame, nodes: DataFrame, id: str, cell: float, farthest: float, group: str | None = None, carried: list[str] | None = None) -> DataFrame:
-    """Each point's nearest node, all groups' if several are equally near: id, the carried columns of points, d2 and the columns of nodes. Points farther than farthest from all have no row.
+    """Each point's nearest node, all groups' if several are equally near: id, the carried columns of points (x and y, too, if named), d2 and the columns of nodes. Points farther than farthest from all have no row.
 
     Of a group's equally near nodes the one with the least columns, in their order, counts. A ring answers for the points that have a node within its cell, as
-    no other node can be nearer; the others go on to one with twice the cell. Each ring is a written table, for which points are shuffled once.
+    no other node can be nearer; the others go on to one with twice the cell. Each ring is a written table, for which points are shuffled once. Lists of
+    nodes are never broadcast.
     """
     own = [id, *(carried or [])]
+    place = [k for k in ("x", "y") if k not in own]
     columns = [*([group] if group else []), *(c for c in nodes.columns if c != group)]
-    open_points, found = points.select(*own, "x", "y").where("x is not null and y is not null"), []
+    open_points, found = points.select(*own, *place).where("x is not null and y is not null"), []
     while True:
         placed = open_points.withColumns({"_cx": F.floor(F.col("x") / cell), "_cy": F.floor(F.col("y") / cell)})
-        met = placed.join(_lists(nodes, columns, cell, []), ["_cx", "_cy"], "left").withColumn("_d", _squares()).withColumn("_d2", F.array_min("_d"))
-        # nodes are sorted by group and columns, so the first of a group at the least distance is its least
-        least = F.filter(F.arrays_zip("_d", "_nodes"), lambda p: p["_d"] == F.col("_d2"))
+        met = placed.join(_lists(nodes, columns, cell, []).hint("merge"), ["_cx", "_cy"], "left").withColumn("_d", _squares()).withColumn("_d2", F.array_min("_d"))
+        # nodes are sorted by group and columns, so the first of a group at the least distance is its least; mostly one node is that near
+        one = F.array(F.struct(F.col("_d2").alias("_d"), F.get("_nodes", (F.array_position("_d", F.col("_d2")) - 1).cast("int")).alias("_nodes")))
+        several = F.filter(F.arrays_zip("_d", "_nodes"), lambda p: p["_d"] == F.col("_d2"))
+        least = F.when(F.size("_d") - F.size(F.array_remove("_d", F.col("_d2"))) == 1, one).otherwise(several)
         same = lambda p, k: (k == 0) | (p["_nodes"][group] != F.get("_least", k - 1)["_nodes"][group]) if group else k == 0
         near = F.col("_d2") <= cell * cell
         met = met.withColumn("_least", F.when(near, least))
         met = met.withColumn("_n", F.explode_outer(F.filter("_least", same)))
-        ring = written(met.select(*own, "x", "y", F.when(near, F.col("_d2")).alias("d2"), *(F.col("_n._nodes")[k].alias(f"_{k}") for k in columns)), "ring")
+        ring = written(met.select(*own, *place, F.when(near, F.col("_d2")).alias("d2"), *(F.col("_n._nodes")[k].alias(f"_{k}") for k in columns)), "ring")
         found.append(ring.where("d2 is not null").select(*own, "d2", *(F.col(f"_{k}").alias(k) for k in columns)))
-        open_points = ring.where("d2 is null").select(*own, "x", "y")
+        open_points = ring.where("d2 is null").select(*own, *place)
         if cell >= farthest or not open_points.take(1):
             break
         cell = min(2 * cell, farthest)

@@ -6,6 +6,7 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..sources.scratch import written
 from . import assign, network, rings
@@ -22,9 +23,9 @@ def search_widths(nodes: DataFrame) -> DataFrame:
     wide = F.when(F.isnan("max_width") | F.isnan("width") | F.col("max_width").isNull() | F.col("width").isNull(), None).otherwise(F.greatest("max_width", "width"))
     rows = nodes.withColumn("_wide", wide)
     fill = rows.groupBy("reach_id").agg(F.median("_wide").alias("_fill"))
-    rows = rows.join(fill, "reach_id").withColumn("_wide", F.coalesce("_wide", "_fill"))
+    rows = rows.join(fill.hint("merge"), "reach_id").withColumn("_wide", F.coalesce("_wide", "_fill"))
     again = rows.groupBy("reach_id").agg(F.median("_wide").alias("_fill"))
-    rows = rows.drop("_fill").join(again, "reach_id")
+    rows = rows.drop("_fill").join(again.hint("merge"), "reach_id")
     return rows.withColumn("half_width", F.when(F.col("_wide") <= 0, F.col("_fill")).otherwise(F.col("_wide")) * F.col("wth_coef")).drop("_wide", "_fill")
 
 
@@ -42,7 +43,7 @@ def _in_channels(pixels: DataFrame, nodes: DataFrame, halves: list[str]) -> Data
     far = F.hypot(F.greatest(*halves) if len(halves) > 1 else F.col(halves[0]), 3 * F.col("spacing"))
     level = F.ceil(F.log2(F.greatest(F.max(far), F.lit(1.0))))
     levels = nodes.groupBy("reach_id").agg(level.alias("level"))
-    nodes = nodes.join(levels, "reach_id")
+    nodes = nodes.join(levels.hint("merge"), "reach_id")
     columns = ["node_id", "nx", "ny", "tx", "ty", "spacing", *halves]
     out = None
     for k in sorted(r.level for r in levels.select("level").distinct().collect()):  # powers of two: some ten at most
@@ -79,6 +80,8 @@ def assign_reaches(pixels: DataFrame, nodes: DataFrame, neighbours: DataFrame, m
        found by growing rings, for pixels in a channel or with a label that a reach has.
     4. With use_ext_dist_coef, pixels of extended reaches stay up to ext_dist_coef times the larger of spacing and half width, in all parts.
     5. Ghost reaches (id ends in 6), those of one node, and those without a node of min_obs pixels go.
+
+    Joins of nodes and reaches are told not to broadcast, as both grow with the river and their files are small for their rows.
     """
     nodes = written(search_widths(nodes).withColumns({"nx": F.col("x"), "ny": F.col("y"), "scalar_half": F.lit(max_width / 2)}).drop("x", "y"), "pass-nodes")
     pixels = pixels.select("pixel_id", "x", "y", "label")
@@ -87,38 +90,38 @@ def assign_reaches(pixels: DataFrame, nodes: DataFrame, neighbours: DataFrame, m
     channels = written(_in_channels(pixels, nodes, ["scalar_half", "half_width"]), "pass-channels")
     counted = channels.groupBy("reach_id", "label").agg(F.count_if("in_scalar_half").alias("first"), F.count_if("in_half_width").alias("n"))
     counted = written(counted, "pass-counts")
-    first = _main_labels(counted.where("first > 0").select("reach_id", "label", F.col("first").alias("n"))).join(counts.where(F.col("n_nodes") > SHORT), "reach_id", "left_semi")
+    first = _main_labels(counted.where("first > 0").select("reach_id", "label", F.col("first").alias("n"))).join(counts.where(F.col("n_nodes") > SHORT).hint("merge"), "reach_id", "left_semi")
     first = written(first, "pass-labels")
     # which labels count as a reach's own: those of neighbours are read as the reach's
-    near = neighbours.join(first.select(F.col("reach_id").alias("neighbour"), F.col("main").alias("label")), "neighbour").select("reach_id", "label").distinct()
-    renamed = near.join(first, "reach_id").select("reach_id", "label", F.col("main").alias("renamed"))
-    seen = counted.where("n > 0").join(renamed, ["reach_id", "label"], "left").select("reach_id", F.coalesce("renamed", "label").alias("label"), "n")
+    near = neighbours.join(first.select(F.col("reach_id").alias("neighbour"), F.col("main").alias("label")).hint("merge"), "neighbour").select("reach_id", "label").distinct()
+    renamed = near.join(first.hint("merge"), "reach_id").select("reach_id", "label", F.col("main").alias("renamed"))
+    seen = counted.where("n > 0").join(renamed.hint("merge"), ["reach_id", "label"], "left").select("reach_id", F.coalesce("renamed", "label").alias("label"), "n")
     second = written(_main_labels(seen), "pass-mains")
 
     # labels of pixels that make them part of a reach beyond its channel: its own, if no neighbour's reading changes it, and those read as it
     changed = renamed.select("reach_id", F.col("label").alias("main")).withColumn("away", F.lit(True))
-    own = second.join(changed, ["reach_id", "main"], "left").join(first.withColumnRenamed("main", "first"), "reach_id", "left").where(F.col("away").isNull() | (F.col("first") == F.col("main")))
-    labels = own.select("reach_id", F.col("main").alias("label")).unionByName(renamed.join(second, (renamed.reach_id == second.reach_id) & (renamed.renamed == second.main)).select(renamed.reach_id, "label")).distinct()
+    own = second.join(changed.hint("merge"), ["reach_id", "main"], "left").join(first.withColumnRenamed("main", "first").hint("merge"), "reach_id", "left").where(F.col("away").isNull() | (F.col("first") == F.col("main")))
+    labels = own.select("reach_id", F.col("main").alias("label")).unionByName(renamed.join(second.hint("merge"), (renamed.reach_id == second.reach_id) & (renamed.renamed == second.main)).select(renamed.reach_id, "label")).distinct()
     labels = written(labels, "pass-far-labels")
 
     inside = channels.where("in_half_width").select("pixel_id").distinct().withColumn("_in", F.lit(True))
-    asked = pixels.join(inside, "pixel_id", "left").join(labels.select("label").distinct().withColumn("_far", F.lit(True)), "label", "left")
+    asked = pixels.join(inside.hint("merge"), "pixel_id", "left").join(labels.select("label").distinct().withColumn("_far", F.lit(True)), "label", "left")
     asked = asked.where(F.col("_in") | F.col("_far")).select("pixel_id", "x", "y", "label")
     reach = nodes.agg(F.max(20 * F.greatest("spacing", "half_width")).alias("far"), F.max(F.hypot(F.col("half_width"), 3 * F.col("spacing"))).alias("near"), F.avg("spacing").alias("spacing")).first()
-    columns = ["reach_id", "node_id", "nx", "ny", "tx", "ty", "spacing", "half_width", "ext_dist_coef"]
-    asked = asked.withColumns({"_px": F.col("x"), "_py": F.col("y")})
-    closest = rings.nearest(asked, nodes.select(*columns), "pixel_id", max(reach.spacing or 0.0, 1.0), max(math.hypot(reach.far or 0.0, reach.far or 0.0), reach.near or 0.0), group="reach_id", carried=["label", "_px", "_py"])
+    # nodes tell their reach's far labels (null without a label in the channel) and size, so that pixels meet these with their node
+    known = second.select("reach_id").join(labels.groupBy("reach_id").agg(F.collect_list("label").alias("mains")).hint("merge"), "reach_id", "left").withColumn("mains", F.coalesce("mains", F.array().cast(T.ArrayType(labels.schema["label"].dataType))))
+    columns = ["reach_id", "node_id", "nx", "ny", "tx", "ty", "spacing", "half_width", "ext_dist_coef", "n_nodes", "mains"]
+    searched = written(nodes.join(counts.hint("merge"), "reach_id").join(known.hint("merge"), "reach_id", "left").select(*columns), "pass-searched")
+    closest = rings.nearest(asked, searched, "pixel_id", max(reach.spacing or 0.0, 1.0), max(math.hypot(reach.far or 0.0, reach.far or 0.0), reach.near or 0.0), group="reach_id", carried=["label", "x", "y"])
 
     s, n = _offsets()
-    rows = closest.withColumnsRenamed({"_px": "x", "_py": "y"}).withColumns({"s": s, "n": n}).join(second.select("reach_id"), "reach_id", "left_semi")
-    rows = rows.join(labels.withColumn("_main", F.lit(True)), ["reach_id", "label"], "left")
+    rows = closest.withColumns({"s": s, "n": n}).where("mains is not null")
     wide = F.greatest("spacing", "half_width")
     channel = (F.abs("n") <= F.col("half_width")) & (F.abs("s") <= 3 * F.col("spacing"))
-    rows = rows.where(channel | (F.col("_main") & assign.extended(F.col("s"), F.col("n"), 2 * F.col("half_width"), F.col("spacing"))))
-    best = F.max(F.struct("reach_id", "node_id", F.sqrt("d2").alias("d"), "s", "n", (F.col("ext_dist_coef") * wide).alias("bound"))).alias("b")
-    rows = rows.groupBy("pixel_id").agg(best).select("pixel_id", "b.*")
-    rows = rows.join(counts.where("n_nodes > 1"), "reach_id", "left_semi").where(F.col("reach_id") % 10 != network.GHOST)
-    rows = populated(rows, min_obs)
+    rows = rows.where(channel | (F.array_contains("mains", F.col("label")) & assign.extended(F.col("s"), F.col("n"), 2 * F.col("half_width"), F.col("spacing"))))
+    best = F.max(F.struct("reach_id", "node_id", F.sqrt("d2").alias("d"), "s", "n", (F.col("ext_dist_coef") * wide).alias("bound"), "n_nodes")).alias("b")
+    rows = rows.groupBy("pixel_id").agg(best).select("pixel_id", "b.*").where((F.col("n_nodes") > 1) & (F.col("reach_id") % 10 != network.GHOST))
+    rows = populated(written(rows, "pass-rows"), min_obs)  # read twice
     if use_ext_dist_coef:
         rows = populated(rows.where((F.abs("s") <= F.col("bound")) & (F.abs("n") <= F.col("bound"))), min_obs)
     return rows.select("pixel_id", "reach_id", "node_id", "d", "s", "n")

@@ -43,7 +43,7 @@ def scene(spark, sf_dir):
         (k % 9 * 40.0 - 30).alias("width"), F.when((k + node) % 5 == 3, None).otherwise(60.0 + k % 4 * 30).alias("max_width"), (0.5 + k % 3 * 0.25).alias("wth_coef"), (1.0 + k % 3).alias("ext_dist_coef"),
     )
     a, b = rk.withColumn("row", F.floor(k / 10)), rk.select(F.floor(k / 10).alias("row"), k.alias("k2"), c("reach_id").alias("neighbour"))
-    neighbours = a.join(b, "row").where(F.abs(k - c("k2")) == 1).select("reach_id", "neighbour")
+    neighbours = a.join(b.hint("merge"), "row").where(F.abs(k - c("k2")) == 1).select("reach_id", "neighbour")
     sup, part = c("l_suppkey"), c("l_partkey")
     label = F.when(part % 13 == 0, 0).when(part % 5 == 0, sup + 2).otherwise(sup - sup % 3 + 1)
     x, y = sup % 10 * 1500 + part * 37 % 2000 - 300 + c("l_quantity") / 7, F.floor(sup / 10) * 1100 + c("l_extendedprice") * 7 % 1500 - 700
