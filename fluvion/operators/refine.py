@@ -70,6 +70,7 @@ def refine_centerlines(pixels: DataFrame, nodes: DataFrame, max_width: float = 6
     lower one on ties); nodes move to (1 - alpha) of their place and alpha of their pixels' mean. Nodes without pixels go. A reach whose greatest change is below tol
     is done and stays as it is; change is the last one measured, moves how often the reach moved. With smooth, the places are smoothed along the reach, each coordinate
     with its pixels' deviations as weights, to a weighted squared distance of smooth for each node. Rounds are written tables; only reaches that still move are read again.
+    Their files are small for their rows, so their joins are told not to broadcast.
     """
     lines = written(nodes.select("reach_id", "node_id", "x", "y", "tx", "ty").withColumns({"moves": F.lit(0), "change": F.lit(None).cast("double")}), "refine")
     pixels = pixels.select("reach_id", "pixel_id", "x", "y")
@@ -91,9 +92,9 @@ def refine_centerlines(pixels: DataFrame, nodes: DataFrame, max_width: float = 6
         across = F.abs((F.col("y") - F.col("b.ny")) * F.col("b.tx") - (F.col("x") - F.col("b.nx")) * F.col("b.ty"))
         near = near.where(across <= max_width / 2).groupBy("reach_id", F.col("b.node_id").alias("node_id"))
         centres = near.agg(F.avg("x").alias("xc"), F.avg("y").alias("yc"), F.stddev_pop("x").alias("xs"), F.stddev_pop("y").alias("ys"))
-        asked = lines.select("reach_id", "node_id", "x", "y").join(centres, ["reach_id", "node_id"])
+        asked = lines.select("reach_id", "node_id", "x", "y").join(centres.hint("merge"), ["reach_id", "node_id"])
         moved = fits.by_reach(asked, ["node_id", "x", "y", "xc", "yc", "xs", "ys"], kernel, "node_id long, px double, py double, ptx double, pty double, now double")
-        lines = written(lines.join(moved, ["reach_id", "node_id"]), "refine")
+        lines = written(lines.join(moved.hint("merge"), ["reach_id", "node_id"]), "refine")
         still = F.col("now") < tol
         done.append(lines.where(still).select("reach_id", "node_id", "x", "y", "tx", "ty", "moves", F.col("now").alias("change")))
         lines = lines.where(~still).select("reach_id", "node_id", F.col("px").alias("x"), F.col("py").alias("y"), F.col("ptx").alias("tx"), F.col("pty").alias("ty"), (F.col("moves") + 1).alias("moves"), F.col("now").alias("change"))
